@@ -1,0 +1 @@
+"""Kept empty: every report and load is one bounded batch, so no streaming operator exists."""
