@@ -17,8 +17,8 @@ def _renamed_keys(right: DataFrame, keys: Sequence[str]) -> DataFrame:
     return right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"__right_{k}"]) for k in keys])
+def _null_safe(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys])
 
 
 def left_lookup(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -35,7 +35,7 @@ def left_merge(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) ->
     """Left join in which a null key matches null keys."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     right = _renamed_keys(right, keys)
-    return left.join(right, _null_safe(left, right, keys), "left").drop(*[f"__right_{k}" for k in keys])
+    return left.join(right, _null_safe(keys), "left").drop(*[f"__right_{k}" for k in keys])
 
 
 def left_merge_large_right(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -47,9 +47,9 @@ def left_merge_large_right(left: DataFrame, right: DataFrame, keys: str | Sequen
     keys = [keys] if isinstance(keys, str) else list(keys)
     hidden = [f"__right_{k}" for k in keys]
     renamed = _renamed_keys(right, keys)
-    matched = left.join(renamed, _null_safe(left, renamed, keys), "inner").drop(*hidden)
+    matched = left.join(renamed, _null_safe(keys), "inner").drop(*hidden)
     present = renamed.select(*hidden).distinct()
-    unmatched = left.join(present, _null_safe(left, present, keys), "left_anti")
+    unmatched = left.join(present, _null_safe(keys), "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 

@@ -20,8 +20,13 @@ def underscore_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.replace(" ", "_") for c in df.columns])
 
 
-def with_header(df: DataFrame, header: Mapping[str, Column]) -> DataFrame:
-    return df.withColumns(dict(header))
+def with_header(df: DataFrame, header: Mapping[str, Column], prefix: str = "") -> DataFrame:
+    """Header values on every row; `prefix` keeps them apart from columns of the same name."""
+    named = {f"{prefix}{k}": v for k, v in header.items()}
+    taken = sorted(set(named) & set(df.columns))
+    if taken:
+        raise ValueError(f"header values would replace columns: {taken}")
+    return df.withColumns(named)
 
 
 def text_columns(df: DataFrame) -> list[str]:

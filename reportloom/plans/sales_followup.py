@@ -92,4 +92,4 @@ def sales_report(*args, now: datetime, **kwargs) -> DataFrame:
         F.col("form_id").asc_nulls_last(),
     )
     shown = fill_all_as_text(df.drop("order_rank"), keep=["has_report"])
-    return with_header(shown, report_header(now, SHEET))
+    return with_header(shown, report_header(now, SHEET), prefix="header_")

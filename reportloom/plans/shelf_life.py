@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reportloom.functions.dates import whole_days_left
@@ -96,9 +96,26 @@ def shelf_life_report(lots: DataFrame, now: datetime, parts_in_use: DataFrame |
     )
 
 
+def _blank(name: str) -> Column:
+    return F.col(name).isNull() | (F.col(name) == "")
+
+
+def bom_view(heads: DataFrame, items: DataFrame, plant: int = 1001) -> DataFrame:
+    """Active heads of bills of materials and active items, without repeated rows."""
+    uses = items.select(F.col("IDNRK").alias("MATNR"), F.col("parent_id").alias("PARENT_ID"), F.col("DUMPS").alias("V_STATUS"))
+    active_heads = heads.where((F.col("WERKS") == plant) & _blank("LOEKZ") & (F.col("STLST") != 3))
+    as_heads = active_heads.join(uses, "MATNR", "left")
+    active_items = items.where((F.col("WERKS") == plant) & _blank("DUMPS"))
+    as_items = active_items.select(
+        "WERKS", F.col("IDNRK").alias("MATNR"), F.col("parent_id").alias("PARENT_ID"), F.col("DUMPS").alias("V_STATUS")
+    ).join(heads.select("self_id", "WERKS", "MATNR", "LOEKZ", "STLST"), ["MATNR", "WERKS"], "left")
+    columns = ["self_id", "WERKS", "MATNR", "PARENT_ID", "LOEKZ", "STLST", "V_STATUS"]
+    both = as_heads.select(*columns).union(as_items.select(*columns)).distinct()
+    return both.withColumnsRenamed({"self_id": "ID", "LOEKZ": "MARK", "STLST": "STATUS"})
+
+
 def parts_in_bom(heads: DataFrame, items: DataFrame, plant: int = 1001) -> DataFrame:
-    """Part codes that head an active bill of materials or are an item of one."""
-    blank = lambda c: F.col(c).isNull() | (F.col(c) == "")
-    active_heads = heads.where((F.col("WERKS") == plant) & blank("LOEKZ") & (F.col("STLST") != 3)).select("MATNR")
-    active_items = items.where((F.col("WERKS") == plant) & blank("DUMPS")).select(F.col("IDNRK").alias("MATNR"))
+    """Distinct part codes of `bom_view`. Its left joins add no code, so they are left out here."""
+    active_heads = heads.where((F.col("WERKS") == plant) & _blank("LOEKZ") & (F.col("STLST") != 3)).select("MATNR")
+    active_items = items.where((F.col("WERKS") == plant) & _blank("DUMPS")).select(F.col("IDNRK").alias("MATNR"))
     return active_heads.union(active_items).distinct()
