@@ -35,10 +35,10 @@ def in_last_days_text(c: Column, as_of: date | datetime, days: int = 14) -> Colu
     return (c >= F.lit(str(end - timedelta(days=days)))) & (c < F.lit(str(end)))
 
 
-def in_month(c: Column, as_of: date | datetime, back: int = 0) -> Column:
-    """Calendar month of `as_of`, or `back` months earlier, as a range so that it prunes."""
+def in_month(c: Column, as_of: date | datetime, back: int = 0, months: int = 1) -> Column:
+    """Calendar month of `as_of`, or `months` of them from `back` months earlier, as a range so that it prunes."""
     day = _day(as_of)
-    return (c >= F.lit(month_start(day, back))) & (c < F.lit(month_start(day, back - 1)))
+    return (c >= F.lit(month_start(day, back))) & (c < F.lit(month_start(day, back - months)))
 
 
 def month_to_yesterday(c: Column, as_of: date | datetime, inclusive_day: bool = False) -> Column:

@@ -16,35 +16,34 @@ LEVEL_ALL, LEVEL_GROUP, LEVEL_DAY = 1, 2, 3
 def daily_by_category(
     fact: DataFrame,
     products: DataFrame,
-    day: str,
-    group: str,
+    keys: Sequence[str],
     product: str,
     category: str,
     measures: Sequence[str],
 ) -> DataFrame:
-    """Daily sums by group and product category; facts without a known product drop out.
+    """Sums by the keys (day, group, ...) and product category; facts without a known product drop out.
 
-    The fact is summed per product before the join, so a hot product shuffles one row per task and day, and
+    The fact is summed per product before the join, so a hot product shuffles one row per task and key, and
     the join only sees sums.
     """
-    per_product = fact.groupBy(day, group, product).agg(*[F.sum(m).alias(m) for m in measures])
+    per_product = fact.groupBy(*keys, product).agg(*[F.sum(m).alias(m) for m in measures])
     joined = per_product.join(products.select(product, category), product)
-    return joined.groupBy(day, group, category).agg(*[F.sum(m).alias(m) for m in measures])
+    return joined.groupBy(*keys, category).agg(*[F.sum(m).alias(m) for m in measures])
 
 
-def three_levels(daily: DataFrame, day: str, group: str, category: str, measures: Sequence[str]) -> DataFrame:
-    """Level 1 (day, group, category), level 2 (day, group) and level 3 (day) in one pass.
+def three_levels(
+    daily: DataFrame, day: str, group: str, category: str, measures: Sequence[str], within: Sequence[str] = ()
+) -> DataFrame:
+    """Level 1 (day, group, category), level 2 (day, group) and level 3 (day) in one pass, per `within` columns.
 
     Levels 2 and 3 are report sums: null keys of the level drop out and an all-null sum is 0.
     """
-    sets = [[day, group, category], [day, group], [day]]
+    within = list(within)
+    sets = [[*within, day, group, category], [*within, day, group], [*within, day]]
     code = F.grouping_id()
-    levels = (
-        daily.groupingSets(sets, day, group, category)
-        .agg(
-            F.when(code == 0, LEVEL_ALL).when(code == 1, LEVEL_GROUP).otherwise(LEVEL_DAY).alias("level"),
-            *[F.sum(m).alias(m) for m in measures],
-        )
+    levels = daily.groupingSets(sets, *within, day, group, category).agg(
+        F.when(code == 0, LEVEL_ALL).when(code == 1, LEVEL_GROUP).otherwise(LEVEL_DAY).alias("level"),
+        *[F.sum(m).alias(m) for m in measures],
     )
     top = F.col("level") != LEVEL_ALL
     known = (F.col("level") == LEVEL_ALL) | (
@@ -71,6 +70,12 @@ def latest_known(value: Column, moment: Column, where: Column | None = None) ->
     return F.max_by(value, F.when(known, F.struct(moment, value)))
 
 
+def _month_pair(day: str, as_of: date) -> tuple[Column, Column, Column]:
+    """This month, last month, and both as one range for the scan."""
+    c = F.col(day)
+    return in_month(c, as_of), in_month(c, as_of, 1), in_month(c, as_of, 1, months=2)
+
+
 def month_pair_orders(
     orders: DataFrame, key: str, day: str, amount: str, representative: str, as_of: date
 ) -> DataFrame:
@@ -78,7 +83,7 @@ def month_pair_orders(
 
     A month without rows gives nulls; a month with only null amounts gives 0. Null customers drop out.
     """
-    this, last = in_month(F.col(day), as_of), in_month(F.col(day), as_of, 1)
+    this, last, either = _month_pair(day, as_of)
     amounts = {
         f"{label}_month_order_amount": F.when(F.count_if(hit) > 0, F.coalesce(F.sum(F.when(hit, F.col(amount))), F.lit(0)))
         for label, hit in (("this", this), ("last", last))
@@ -88,7 +93,7 @@ def month_pair_orders(
         for label, hit in (("this", this), ("last", last))
     }
     return (
-        orders.where(this | last)
+        orders.where(either)
         .where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(*[c.alias(n) for n, c in {**amounts, **people}.items()])
@@ -97,9 +102,9 @@ def month_pair_orders(
 
 def month_pair_sums(df: DataFrame, key: str, day: str, amount: str, as_of: date, suffix: str) -> DataFrame:
     """This and last month's SQL sum per key from one scan; the null key stays a group."""
-    this, last = in_month(F.col(day), as_of), in_month(F.col(day), as_of, 1)
+    this, last, either = _month_pair(day, as_of)
     return (
-        df.where(this | last)
+        df.where(either)
         .groupBy(key)
         .agg(
             F.sum(F.when(last, F.col(amount))).alias(f"last_month_{suffix}"),

@@ -10,8 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reportloom.functions.predicates import all_equal
-
 
 @dataclass(frozen=True)
 class Slice:
@@ -31,33 +29,58 @@ def date_spine(spark: SparkSession, as_of: date, days: int = 14, name: str = "Da
     return spark.range(1).select(F.explode(spine_days(as_of, days)).alias(name))
 
 
-def cut_slices(frame: DataFrame, slices: Sequence[Slice], day: str) -> DataFrame:
-    """Long frame of (slice, row): each row once per slice it belongs to, in one narrow pass."""
-    hits = F.array_compact(F.array(*[F.when(all_equal(s.filters), F.lit(s.slice_id)) for s in slices]))
-    cut = frame.withColumn("slice_id", F.explode(hits))
-    shown = sorted({c for s in slices for c in s.columns}, key=frame.columns.index)
-    return cut.select("slice_id", day, *[_shown(c, slices).alias(c) for c in shown])
+def _literal(value: object) -> str:
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    return str(value)
 
 
-def _shown(column: str, slices: Sequence[Slice]) -> Column:
+def _owned(slices: Sequence[Slice], column: str, expression: str) -> Column:
+    """The expression in slices that show the column, null in the others."""
     owners = [s.slice_id for s in slices if column in s.columns]
-    return F.col(column) if len(owners) == len(slices) else F.when(F.col("slice_id").isin(owners), F.col(column))
+    if len(owners) == len(slices):
+        return F.expr(expression)
+    listed = ", ".join(_literal(o) for o in owners)
+    return F.expr(f"CASE WHEN slice_id IN ({listed}) THEN {expression} END")
+
+
+def cut_slices(frame: DataFrame, slices: Sequence[Slice], day: str) -> DataFrame:
+    """Long frame of (slice, row): each row once per slice it belongs to, in one narrow pass.
+
+    The conditions are one SQL text, since a report has dozens of them and every Column call costs a round trip.
+    """
+    hits = []
+    for s in slices:
+        condition = " AND ".join(f"`{c}` = {_literal(v)}" for c, v in s.filters.items()) or "true"
+        hits.append(f"CASE WHEN {condition} THEN {_literal(s.slice_id)} END")
+    cut = frame.withColumn("slice_id", F.expr(f"explode(array({', '.join(hits)}))")).where("slice_id IS NOT NULL")
+    shown = sorted({c for s in slices for c in s.columns}, key=frame.columns.index)
+    return cut.select("slice_id", day, *[_owned(slices, c, f"`{c}`").alias(c) for c in shown])
 
 
-def fill_missing_days(cut: DataFrame, slices: Sequence[Slice], as_of: date, day: str, days: int = 14) -> DataFrame:
+def fill_missing_days(
+    cut: DataFrame, slices: Sequence[Slice], as_of: date, day: str, days: int = 14, row_level: bool = False
+) -> DataFrame:
     """Add a zero row for each day a slice lacks. Nulls on present days stay; text columns get `'0'`.
 
-    The spine has one row per slice and day, and only the distinct (slice, day) pairs of the frame meet it.
+    An aggregated frame has few rows per slice and day and is evaluated once, by a full join with the spine.
+    For a `row_level` frame, where one day of a slice may hold most rows, only the distinct (slice, day) pairs
+    meet the spine and the rows themselves are not shuffled.
     """
     spark = cut.sparkSession
-    wanted = spark.range(1).select(F.explode(F.array(*[F.lit(s.slice_id) for s in slices])).alias("slice_id"))
+    ids = ", ".join(_literal(s.slice_id) for s in slices)
+    wanted = spark.range(1).select(F.expr(f"explode(array({ids}))").alias("slice_id"))
     wanted = wanted.select("slice_id", F.explode(spine_days(as_of, days)).alias(day))
-    missing = wanted.join(cut.select("slice_id", day).distinct(), ["slice_id", day], "left_anti")
-    zeros = {}
-    for f in cut.schema.fields:
-        if f.name in ("slice_id", day):
-            continue
-        zero = F.lit("0") if isinstance(f.dataType, T.StringType) else F.lit(0).cast(f.dataType)
-        owners = [s.slice_id for s in slices if f.name in s.columns]
-        zeros[f.name] = F.when(F.col("slice_id").isin(owners), zero)
-    return cut.unionByName(missing.withColumns(zeros))
+    zeros = {f.name: _zero(f, slices) for f in cut.schema.fields if f.name not in ("slice_id", day)}
+    if row_level:
+        missing = wanted.join(cut.select("slice_id", day).distinct(), ["slice_id", day], "left_anti")
+        return cut.unionByName(missing.withColumns(zeros))
+    joined = wanted.join(cut.withColumn("__present", F.lit(True)), ["slice_id", day], "full")
+    filled = [F.when(F.col("__present"), F.col(c)).otherwise(zero).alias(c) for c, zero in zeros.items()]
+    return joined.select("slice_id", day, *filled)
+
+
+def _zero(f: T.StructField, slices: Sequence[Slice]) -> Column:
+    zero = "'0'" if isinstance(f.dataType, T.StringType) else f"CAST(0 AS {f.dataType.simpleString()})"
+    return _owned(slices, f.name, zero)

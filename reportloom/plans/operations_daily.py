@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,22 +22,24 @@ KPI_COLUMNS = ["MA0", "MA1", *KPI_TEXTS]
 
 
 def trade_totals(
-    fact: DataFrame, products: DataFrame, groups: list[str], as_of: date, left_out: str | None = None
+    facts: Mapping[str, DataFrame], products: DataFrame, groups: Sequence[str], as_of: date, left_out_of_backlog: str
 ) -> DataFrame:
-    """Three levels of daily totals of one fact with columns Date, Business_Group, product_code, quantity, amount."""
-    recent = fact.where(in_last_days(F.col("Date"), as_of, DAYS) & F.col("Business_Group").isin(groups))
+    """Three levels of daily totals per fact; facts have Date, Business_Group, product_code and the measures."""
+    recent = [
+        df.where(in_last_days(F.col("Date"), as_of, DAYS) & F.col("Business_Group").isin(list(groups))).select(
+            F.lit(name).alias("fact"), F.col("Date").cast("date").alias("Date"), "Business_Group", "product_code", *MEASURES
+        )
+        for name, df in facts.items()
+    ]
     daily = daily_by_category(
-        recent.select(F.col("Date").cast("date").alias("Date"), "Business_Group", "product_code", *MEASURES),
+        reduce(DataFrame.unionByName, recent),
         products,
-        "Date",
-        "Business_Group",
+        ["fact", "Date", "Business_Group"],
         "product_code",
         "product_categories",
         MEASURES,
-    )
-    if left_out is not None:
-        daily = daily.where(differs_or_null(F.col("product_categories"), left_out))
-    return three_levels(daily, "Date", "Business_Group", "product_categories", MEASURES)
+    ).where((F.col("fact") != "backlog") | differs_or_null(F.col("product_categories"), left_out_of_backlog))
+    return three_levels(daily, "Date", "Business_Group", "product_categories", MEASURES, within=["fact"])
 
 
 def trade_slices(names: DailyKpiNames) -> list[Slice]:
@@ -90,14 +94,8 @@ def daily_slices(names: DailyKpiNames) -> list[Slice]:
 def trade_series(
     orders: DataFrame, deliveries: DataFrame, backlog: DataFrame, products: DataFrame, as_of: date, names: DailyKpiNames
 ) -> DataFrame:
-    groups = list(names.groups.values())
-    facts = {
-        "orders": trade_totals(orders, products, groups, as_of),
-        "deliveries": trade_totals(deliveries, products, groups, as_of),
-        "backlog": trade_totals(backlog, products, groups, as_of, names.left_out_of_backlog),
-    }
-    tagged = [df.withColumn("fact", F.lit(name)) for name, df in facts.items()]
-    totals = tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+    facts = {"orders": orders, "deliveries": deliveries, "backlog": backlog}
+    totals = trade_totals(facts, products, list(names.groups.values()), as_of, names.left_out_of_backlog)
     slices = trade_slices(names)
     return fill_missing_days(cut_slices(totals, slices, "Date"), slices, as_of, "Date", DAYS)
 
@@ -116,7 +114,7 @@ def kpi_rows(kpis: DataFrame, as_of: date, names: DailyKpiNames) -> DataFrame:
 def kpi_series(kpis: DataFrame, as_of: date, names: DailyKpiNames) -> DataFrame:
     rows = kpi_rows(kpis, as_of, names)
     shown, summed = kpi_row_slices(names), kpi_sum_slices(names)
-    as_is = fill_missing_days(cut_slices(rows, shown, "Date"), shown, as_of, "Date", DAYS)
+    as_is = fill_missing_days(cut_slices(rows, shown, "Date"), shown, as_of, "Date", DAYS, row_level=True)
     # The cut leaves a measure null in slices that do not show it; the sum turns that into 0, so mask again.
     sums = report_sums(cut_slices(rows, summed, "Date"), ["slice_id", "Date"], ["MA0", "MA1"])
     masked = sums.withColumns(
@@ -138,7 +136,9 @@ def daily_series(
     """All series as (slice_id, Date as yyyyMMdd, columns of the slice), ordered by slice and day."""
     trade = trade_series(orders, deliveries, backlog, products, as_of, names)
     series = trade.unionByName(kpi_series(kpis, as_of, names), allowMissingColumns=True)
-    return series.withColumn("Date", int_date(F.col("Date"))).orderBy("slice_id", "Date")
+    # The other columns make equal rows only tie with copies of themselves, so a full day can be spread in the sort.
+    rest = [c for c in series.columns if c not in ("slice_id", "Date")]
+    return series.withColumn("Date", int_date(F.col("Date"))).orderBy("slice_id", "Date", *rest)
 
 
 def header_days(spark, as_of: date) -> DataFrame:

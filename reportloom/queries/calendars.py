@@ -82,10 +82,11 @@ def trade_sql() -> str:
 
 @query("trade_slices_c3", trade_sql())
 def trade_slices(spark, base):
+    shipments = S.shipment_lines(spark, base)
     series = trade_series(
         daily.from_order_table(S.order_lines(spark, base)),
-        daily.from_shipment_table(S.shipment_lines(spark, base)),
-        daily.from_backlog_table(S.backlog_lines(spark, base)),
+        daily.from_shipment_table(shipments),
+        daily.from_backlog_table(S.backlog_lines(shipments)),
         S.products(spark, base),
         S.AS_OF,
         S.KPI_NAMES,

@@ -66,10 +66,11 @@ def _kpi_sql() -> str:
         UNION ALL SELECT slice_id, CAST(strftime(d, '%Y%m%d') AS INTEGER), NULL, NULL, NULL, NULL, ROUND(m0, 4), m1, l1, l2, l3, d1 FROM kpis""",
 )
 def operations_daily_report(spark, base):
+    shipments = S.shipment_lines(spark, base)
     series = daily.daily_series(
         daily.from_order_table(S.order_lines(spark, base)),
-        daily.from_shipment_table(S.shipment_lines(spark, base)),
-        daily.from_backlog_table(S.backlog_lines(spark, base)),
+        daily.from_shipment_table(shipments),
+        daily.from_backlog_table(S.backlog_lines(shipments)),
         S.products(spark, base),
         S.kpi_forms(spark, base, S.VISIT_SHIFT),
         S.AS_OF,

@@ -22,7 +22,7 @@ from reportloom.queries.registry import query
 def _all_days(spark, base):
     fact = from_order_table(S.order_lines(spark, base)).withColumn("Date", F.col("Date").cast("date"))
     return daily_by_category(
-        fact, S.products(spark, base), "Date", "Business_Group", "product_code", "product_categories", MEASURES
+        fact, S.products(spark, base), ["Date", "Business_Group"], "product_code", "product_categories", MEASURES
     )
 
 

@@ -71,10 +71,9 @@ def shipment_lines(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def backlog_lines(spark: SparkSession, base: str) -> DataFrame:
+def backlog_lines(shipments: DataFrame) -> DataFrame:
     return (
-        shipment_lines(spark, base)
-        .where(F.col("l_linestatus") == "O")
+        shipments.where(F.col("l_linestatus") == "O")
         .select(
             F.col("Stock_Out_Date").alias("undelivered_date"),
             F.col("Business_Group").alias("Business_Group_Name"),
@@ -220,8 +219,7 @@ def comments(spark: SparkSession, base: str) -> DataFrame:
 
 def kpi_forms(spark: SparkSession, base: str, shift_days: int = 0) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
-    line = F.when(k % 4 == 1, "beta").when(k % 4 == 2, "gamma").otherwise("alpha")
-    factory = F.when(k % 4 == 1, "寮步").when(k % 4 == 2, "大岭山").when(k % 4 == 3, "外协").otherwise("松岗")
+    dimensions = F.array(*[F.lit(v) for v in ("alpha", "beta", "gamma", "alpha", "松岗", "寮步", "大岭山", "外协")])
     return table(spark, base, "events").select(
         F.date_sub(F.col("ts").cast("date"), shift_days).cast("string").alias("ReportDate"),
         F.lit("日报").alias("form_type"),
@@ -230,7 +228,7 @@ def kpi_forms(spark: SparkSession, base: str, shift_days: int = 0) -> DataFrame:
         F.lit("KPI").alias("L1Subject1"),
         F.col("event_type").alias("L2Subject2"),
         F.when(k < 50, "by产品线").otherwise("by工厂").alias("L3Subject3"),
-        F.when(k < 50, line).otherwise(factory).alias("D1"),
+        F.element_at(dimensions, F.floor(k / 50).cast("int") * 4 + k % 4 + 1).alias("D1"),
     )
 
 
