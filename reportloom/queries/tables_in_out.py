@@ -59,11 +59,11 @@ def order_feed(spark, base):
 @query(
     "feed_range_s3",
     _FEED + """ SELECT event_id, code AS "AUFNR", strftime(ts, '%Y-%m-%d') AS "GLTRP" FROM feed
-       WHERE event_type <> 'error' AND CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' AND event_id IN (SELECT doc_id FROM labels)""",
+       WHERE event_type <> 'error' AND CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' AND event_id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""",
 )
 def feed_range(spark, base):
     rows = feed_rows(feed_payloads(spark, base), fields=["AUFNR", "GLTRP"])
-    wanted = S.table(spark, base, "labels").select(F.col("doc_id").alias("event_id"))
+    wanted = S.table(spark, base, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("event_id"))
     return limit_feed(rows, "GLTRP", "2024-01-05", "2024-01-20", "event_id", wanted).select("event_id", "AUFNR", "GLTRP")
 
 
