@@ -1,12 +1,13 @@
 """Enrichment joins under the two null rules, and their forms for large or skewed sides.
 
 SQL joins never match null keys; merges of report frames match null with null. Broadcasting is left to
-the size statistics Spark has; hot keys on the left of these joins are split by adaptive skew handling.
+the size statistics Spark has. Adaptive skew handling splits hot keys on the left of a left join and on both sides of
+an inner join; a membership test only sees the distinct keys of its right side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -38,17 +39,20 @@ def left_merge(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) ->
     return left.join(right, _null_safe(keys), "left").drop(*[f"__right_{k}" for k in keys])
 
 
-def left_merge_large_right(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+def left_merge_large_right(
+    left: DataFrame, right: DataFrame, keys: str | Sequence[str], right_keys: DataFrame | None = None
+) -> DataFrame:
     """`left_merge` for a large right side that may hold hot keys.
 
     A left outer join can neither broadcast its left side nor split a hot key on its right. The inner part can
-    do both, and the unmatched left rows only need the distinct right keys.
+    do both, and the unmatched left rows only need the distinct right keys. `right_keys` may give a cheaper frame
+    with the same keys as `right`.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     hidden = [f"__right_{k}" for k in keys]
     renamed = _renamed_keys(right, keys)
     matched = left.join(renamed, _null_safe(keys), "inner").drop(*hidden)
-    present = renamed.select(*hidden).distinct()
+    present = _renamed_keys((right if right_keys is None else right_keys).select(*keys), keys).distinct()
     unmatched = left.join(present, _null_safe(keys), "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
@@ -57,19 +61,24 @@ def attribute_joins(
     header: DataFrame,
     cells: DataFrame,
     key: str,
-    attributes: dict[str, str],
+    attributes: Mapping[str, str],
     name: str = "name",
     value: str = "value",
 ) -> DataFrame:
-    """One left join per attribute: `{column: attribute name}`. Repeated attributes multiply rows.
+    """Each attribute as a column, as by one left join per attribute: `{column: attribute name}`.
 
-    All joins use the same key, so the header is shuffled once. Where (key, attribute) is unique,
+    Repeated attributes multiply rows. A form that lacks an attribute gets a null row for it first, so all joins
+    are inner and a form with very many cells can be split on either side. Where (key, attribute) is unique,
     `reshape.pivot_attributes` gives the same columns from one scan of the cells.
     """
+    wanted = cells.where(F.col(name).isin(list(attributes.values())))
+    found = wanted.groupBy(key).agg(*[F.bool_or(F.col(name) == a).alias(f"__has_{c}") for c, a in attributes.items()])
+    flagged = header.join(found, key, "left")
     out = header
     for column, attribute in attributes.items():
-        wanted = cells.where(F.col(name) == attribute).select(key, F.col(value).alias(column))
-        out = out.join(wanted, key, "left")
+        given = cells.where(F.col(name) == attribute).select(key, F.col(value).alias(column))
+        lacking = flagged.where(~F.coalesce(F.col(f"__has_{column}"), F.lit(False))).select(key, F.lit(None).alias(column))
+        out = out.join(given.union(lacking), key)
     return out
 
 
@@ -79,9 +88,9 @@ def snowflake(fact: DataFrame, *steps: tuple[DataFrame, str | Sequence[str]]) ->
 
 
 def in_use(df: DataFrame, parts: DataFrame, on: str) -> DataFrame:
-    return df.join(parts, on, "left_semi")
+    return df.join(parts.select(on).distinct(), on, "left_semi")
 
 
 def not_in_use(df: DataFrame, parts: DataFrame, on: str) -> DataFrame:
     """Rows whose part is not in use. Rows repeated in the input stay, one copy per input row."""
-    return df.join(parts, on, "left_anti")
+    return df.join(parts.select(on).distinct(), on, "left_anti")

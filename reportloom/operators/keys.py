@@ -66,12 +66,17 @@ def upsert_latest(existing: DataFrame, batch: DataFrame, key: str, order: str) -
     return latest_per_key(both, key, order)
 
 
-def upsert_into_clean(existing: DataFrame, batch: DataFrame, key: str, order: str) -> DataFrame:
+def upsert_into_clean(
+    existing: DataFrame, batch: DataFrame, key: str, order: str, broadcast_keys: int = 1_000_000
+) -> DataFrame:
     """`upsert_latest` for a table that is already its own result: only keys of the batch are worked on.
 
-    Other rows pass by; when the batch keys are small enough for Spark to broadcast, without a shuffle.
+    The batch keys are counted. Up to `broadcast_keys` of them are broadcast, so that untouched rows of the table
+    pass by without a shuffle; more of them are joined by shuffling.
     """
     touched_keys = batch.where(F.col(key).isNotNull()).select(key).distinct()
+    if touched_keys.limit(broadcast_keys + 1).count() <= broadcast_keys:
+        touched_keys = F.broadcast(touched_keys)
     untouched = existing.join(touched_keys, key, "left_anti").where(F.col(key).isNotNull())
     touched = existing.join(touched_keys, key, "left_semi")
     return untouched.unionByName(upsert_latest(touched, batch, key, order), allowMissingColumns=True)

@@ -61,16 +61,47 @@ def _indexed(df: DataFrame, *order: Column | str, name: str) -> DataFrame:
     )
 
 
-def with_position(df: DataFrame, sheet: str, *order: Column | str, first_row: int = 3, name: str = "position") -> DataFrame:
-    """Row number of each record within its sheet; data starts at `first_row`."""
-    return _positioned(df, sheet, *order, first_row=first_row, name=name).drop("__part", "__local", "__index")
+def _with_carried(rows: DataFrame, carried: DataFrame) -> DataFrame:
+    """Add columns of a summary with one row per partition: bounded by the number of partitions, not by the data."""
+    return rows.join(F.broadcast(carried), "__part")
+
+
+def _inside() -> W:
+    return W.partitionBy("__part").orderBy("__index")
+
+
+def _with_previous(rows: DataFrame, cells: dict[str, Column]) -> DataFrame:
+    """Each cell struct and, as `<name>_before`, the one of the row before, also across partitions."""
+    rows = rows.withColumns(cells)
+    tails = rows.groupBy("__part").agg(*[F.max_by(c, "__index").alias(f"{c}_tail") for c in cells])
+    carried = tails.select("__part", *[F.lag(f"{c}_tail").over(W.orderBy("__part")).alias(f"{c}_tail") for c in cells])
+    rows = _with_carried(rows, carried)
+    before = {f"{c}_before": F.coalesce(F.lag(c).over(_inside()), F.col(f"{c}_tail")) for c in cells}
+    return rows.withColumns(before).drop(*[f"{c}_tail" for c in cells])
 
 
-def _positioned(df: DataFrame, sheet: str, *order: Column | str, first_row: int, name: str) -> DataFrame:
-    indexed = _indexed(df, F.col(sheet), *order, name="__index")
-    firsts = indexed.groupBy(F.col(sheet).alias("__sheet")).agg(F.min("__index").alias("__first"))
-    joined = indexed.join(firsts, F.col(sheet).eqNullSafe(F.col("__sheet")))
-    return joined.withColumn(name, F.col("__index") - F.col("__first") + F.lit(first_row)).drop("__sheet", "__first")
+def _with_running_max(rows: DataFrame, marks: dict[str, Column]) -> DataFrame:
+    """The greatest mark up to each row in report order."""
+    rows = rows.withColumns(marks)
+    tops = rows.groupBy("__part").agg(*[F.max(m).alias(f"{m}_top") for m in marks])
+    carried = tops.select("__part", *[_before(F.max(f"{m}_top")).alias(f"{m}_top") for m in marks])
+    rows = _with_carried(rows, carried)
+    so_far = _inside().rowsBetween(W.unboundedPreceding, 0)
+    running = {m: F.coalesce(F.max(m).over(so_far), F.col(f"{m}_top")) for m in marks}
+    return rows.withColumns(running).drop(*[f"{m}_top" for m in marks])
+
+
+def _opening(cell: str) -> Column:
+    """Index of a row whose cell differs from the one before; a cell is a struct and never null."""
+    return F.when(~F.col(cell).eqNullSafe(F.col(f"{cell}_before")), F.col("__index"))
+
+
+def with_position(df: DataFrame, sheet: str, *order: Column | str, first_row: int = 3, name: str = "position") -> DataFrame:
+    """Row number of each record within its sheet; data starts at `first_row`."""
+    rows = _indexed(df, F.col(sheet), *order, name="__index")
+    rows = _with_previous(rows, {"__sheet": F.struct(sheet)})
+    rows = _with_running_max(rows, {"__start": _opening("__sheet")})
+    return rows.select(*df.columns, (F.col("__index") - F.col("__start") + F.lit(first_row)).alias(name))
 
 
 def value_spans(df: DataFrame, sheet: str, value: str, *order: Column | str, first_row: int = 3) -> DataFrame:
@@ -78,26 +109,15 @@ def value_spans(df: DataFrame, sheet: str, value: str, *order: Column | str, fir
 
     Reading a sheet stops at its first empty value, as for merged report cells.
     """
-    rows = _positioned(df, sheet, *order, first_row=first_row, name="position")
+    rows = _indexed(df, F.col(sheet), *order, name="__index").select("__part", "__index", sheet, value)
+    rows = _with_previous(rows, {"__sheet": F.struct(sheet), "__cell": F.struct(sheet, value)})
     empty = F.col(value).isNull() | (F.col(value) == "")
-    ends = rows.where(empty).groupBy(F.col(sheet).alias("__sheet")).agg(F.min("position").alias("__stop"))
-    rows = rows.join(ends, F.col(sheet).eqNullSafe(F.col("__sheet")), "left")
-    rows = rows.where(F.col("__stop").isNull() | (F.col("position") < F.col("__stop")))
-    rows = rows.select("__part", "__index", "position", F.col(sheet), F.col(value), F.struct(sheet, value).alias("__cell"))
-
-    inside = W.partitionBy("__part").orderBy("__index")
-    tails = rows.groupBy("__part").agg(F.max_by("__cell", "__index").alias("__tail"))
-    tails = tails.select("__part", F.lag("__tail").over(W.orderBy("__part")).alias("__carried"))
-    rows = rows.join(F.broadcast(tails), "__part")
-    previous = F.coalesce(F.lag("__cell").over(inside), F.col("__carried"))
-    rows = rows.withColumn("__opens", F.when(~F.col("__cell").eqNullSafe(previous), F.col("__index")))
-
-    opened = rows.groupBy("__part").agg(F.max("__opens").alias("__open"))
-    opened = opened.select("__part", _before(F.max("__open")).alias("__open_before"))
-    run = F.coalesce(F.max("__opens").over(inside.rowsBetween(W.unboundedPreceding, 0)), F.col("__open_before"))
-    rows = rows.join(F.broadcast(opened), "__part").withColumn("__run", run)
+    marks = {"__start": _opening("__sheet"), "__run": _opening("__cell"), "__empty": F.when(empty, F.col("__index"))}
+    rows = _with_running_max(rows, marks)
+    rows = rows.where(F.col("__empty").isNull() | (F.col("__empty") < F.col("__start")))
+    position = F.col("__index") - F.col("__start") + F.lit(first_row)
     return (
         rows.groupBy("__run", sheet, value)
-        .agg(F.min("position").alias("first_row"), F.max("position").alias("last_row"))
+        .agg(F.min(position).alias("first_row"), F.max(position).alias("last_row"))
         .drop("__run")
     )

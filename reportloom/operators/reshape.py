@@ -88,10 +88,14 @@ def to_records(df: DataFrame, keys: Sequence[str] = (), name: str = "record") ->
     return df.select(*keys, body.alias(name))
 
 
-def with_sentinel_row(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
-    """The frame, or one row that only has `values` if the frame is empty."""
+def with_sentinel_row(df: DataFrame, values: Mapping[str, object], probe: DataFrame | None = None) -> DataFrame:
+    """The frame, or one row that only has `values` if the frame is empty.
+
+    `probe` may give a cheaper frame that is empty exactly when `df` is; only its first row is looked for.
+    """
     sentinel = df.sparkSession.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()])
-    lonely = sentinel.join(df.select(F.lit(1).alias("__any")).limit(1), F.lit(True), "left_anti")
+    first = (df if probe is None else probe).select(F.lit(1).alias("__any")).limit(1)
+    lonely = sentinel.join(first, F.lit(True), "left_anti")
     return df.unionByName(lonely, allowMissingColumns=True)
 
 

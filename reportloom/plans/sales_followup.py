@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -37,14 +37,14 @@ def sales_users(users: DataFrame, department: str = SALES_DEPARTMENT, posts: Seq
     ).select("region3", "region4", "realname", F.col("systemEmail").alias("email"))
 
 
-def month_visits(
-    forms: DataFrame, cells: DataFrame, now: datetime, kinds: dict[str, str] | None = None, inclusive_day: bool = False
-) -> DataFrame:
-    """Forms of the month with visit date, amount and a link to their sheet."""
-    kinds = kinds or FORM_KINDS
-    month = forms.where(
+def month_forms(forms: DataFrame, now: datetime, kinds: Mapping[str, str], inclusive_day: bool = False) -> DataFrame:
+    return forms.where(
         F.col("form_key").isin(list(kinds)) & month_to_yesterday(F.col("local_time"), now, inclusive_day)
     ).select(*_HEADER)
+
+
+def month_visits(month: DataFrame, cells: DataFrame, kinds: Mapping[str, str] = FORM_KINDS) -> DataFrame:
+    """Forms of the month with visit date, amount and a link to their sheet."""
     wide = attribute_joins(
         month, cells, "form_id", {"visit_date": DATE_OF_VISIT, "visit_amount": MEETING_AMOUNT, "report_date": DATE_OF_REPORT}
     )
@@ -67,14 +67,15 @@ def sales_followup(
     department: str = SALES_DEPARTMENT,
     posts: Sequence[str] = SALES_POSTS,
     region_order: Sequence[str] = LARGE_REGIONS,
-    kinds: dict[str, str] | None = None,
+    kinds: Mapping[str, str] = FORM_KINDS,
     region: str | None = None,
 ) -> DataFrame:
     """Every sales user with each of their forms, typed; `region` keeps one large region."""
     people = sales_users(users, department, posts)
     if region is not None:
         people = people.where(F.col("region3") == region)
-    df = left_merge_large_right(people, month_visits(forms, cells, now, kinds), "email")
+    month = month_forms(forms, now, kinds)
+    df = left_merge_large_right(people, month_visits(month, cells, kinds), "email", right_keys=month)
     df = left_merge(df, customers.select("crm_code", "businessName"), "crm_code")
     return df.withColumns(
         {"has_report": F.col("form_key").isNotNull(), "order_rank": category_rank(F.col("region3"), region_order)}

@@ -44,15 +44,8 @@ def customer_amounts(customers: DataFrame, states: DataFrame) -> DataFrame:
     return left_lookup(base, states.select("bos_code", "no_order_days", *_AMOUNTS), "bos_code")
 
 
-def visit_forms(
-    forms: DataFrame,
-    cells: DataFrame,
-    attributes: Sequence[str],
-    now: datetime,
-    form_keys: Sequence[str] = VISIT_FORMS,
-    inclusive_day: bool = False,
-) -> DataFrame:
-    month = forms.where(
+def month_forms(forms: DataFrame, now: datetime, form_keys: Sequence[str], inclusive_day: bool = False) -> DataFrame:
+    return forms.where(
         F.col("form_key").isin(list(form_keys)) & month_to_yesterday(F.col("local_time"), now, inclusive_day)
     ).select(
         F.col("targetIntro").alias("Customer_Name"),
@@ -65,6 +58,9 @@ def visit_forms(
         "time_zone",
         F.col("email").alias("sales_email"),
     )
+
+
+def with_fields(month: DataFrame, cells: DataFrame, attributes: Sequence[str]) -> DataFrame:
     field = composite_attribute(F.col("name"), F.col("child_name"))
     wide = forms_with_attributes(month, cells, "form_id", attributes, field)
     return rename_fields(underscore_names(wide), FIELD_NAMES)
@@ -87,7 +83,8 @@ def visit_reports(
 
     Without any visit the result is one row that only names its sheet.
     """
-    df = left_merge(visit_forms(forms, cells, attributes, now, form_keys), customer_amounts(customers, states), "crm_code")
+    month = month_forms(forms, now, form_keys)
+    df = left_merge(with_fields(month, cells, attributes), customer_amounts(customers, states), "crm_code")
     df = left_lookup(df, joined_text(comments, "form_id", "remark", comment_order), "form_id")
     if region is not None:
         df = df.where(F.col("region3") == region)
@@ -108,7 +105,7 @@ def visit_reports(
         }
     )
     # A region without visits gives no file, the full report a sheet that says so.
-    reported = df if region is not None else with_sentinel_row(df, {"sheet_name": NO_VISITS})
+    reported = df if region is not None else with_sentinel_row(df, {"sheet_name": NO_VISITS}, probe=month)
     return reported.orderBy(
         F.col("Submit_Time").desc_nulls_last(), F.col("Customer_Name").asc_nulls_last(), F.col("form_id").asc_nulls_last()
     )

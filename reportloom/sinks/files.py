@@ -10,11 +10,14 @@ from reportloom.operators.keys import upsert_into_clean, upsert_latest
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (), mode: str = "error") -> None:
-    """Write a report; `partition_by` gives one folder per sheet, region or report date."""
-    writer = df.write.format(fmt).mode(mode)
+    """Write a report; `partition_by` gives one folder per sheet, region or report date.
+
+    Rows are rebalanced over the folders first: Spark splits a large folder over tasks and joins small ones.
+    """
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+        df.hint("rebalance", *partition_by).write.format(fmt).mode(mode).partitionBy(*partition_by).save(path)
+    else:
+        df.write.format(fmt).mode(mode).save(path)
 
 
 def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reportloom.operators.joins import in_use
+
 # Fixed values of the feed: field codes in payload order and the names they are stored under.
 ORDER_FIELDS = {
     "AUFNR": "Order_Id",
@@ -65,5 +67,5 @@ def limit_feed(
     if orders is None or (not isinstance(orders, DataFrame) and not orders):
         return out
     if isinstance(orders, DataFrame):
-        return out.join(orders, key, "left_semi")
+        return in_use(out, orders, key)
     return out.where(F.col(key).isin(list(orders)))
