@@ -22,6 +22,11 @@ def _null_safe(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys])
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame | None:
+    """The frame marked for broadcast if it has at most `max_rows` rows, counted no further than that; else None."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else None
+
+
 def left_lookup(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """SQL left join: a null key finds nothing."""
     return left.join(right, on, "left")
@@ -71,13 +76,15 @@ def attribute_joins(
     are inner and a form with very many cells can be split on either side. Where (key, attribute) is unique,
     `reshape.pivot_attributes` gives the same columns from one scan of the cells.
     """
-    wanted = cells.where(F.col(name).isin(list(attributes.values())))
-    found = wanted.groupBy(key).agg(*[F.bool_or(F.col(name) == a).alias(f"__has_{c}") for c, a in attributes.items()])
-    flagged = header.join(found, key, "left")
+    # One bit per attribute, so that every branch below needs the same columns and Spark reuses their shuffle.
+    bits = {column: 1 << i for i, column in enumerate(attributes)}
+    bit = F.coalesce(*[F.when(F.col(name) == a, bits[c]) for c, a in attributes.items()])
+    found = cells.where(F.col(name).isin(list(attributes.values()))).groupBy(key).agg(F.bit_or(bit).alias("__found"))
+    flagged = header.select(key).join(found, key, "left").withColumn("__found", F.coalesce("__found", F.lit(0)))
     out = header
     for column, attribute in attributes.items():
         given = cells.where(F.col(name) == attribute).select(key, F.col(value).alias(column))
-        lacking = flagged.where(~F.coalesce(F.col(f"__has_{column}"), F.lit(False))).select(key, F.lit(None).alias(column))
+        lacking = flagged.where(F.col("__found").bitwiseAND(F.lit(bits[column])) == 0).select(key, F.lit(None).alias(column))
         out = out.join(given.union(lacking), key)
     return out
 

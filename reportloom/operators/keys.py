@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from reportloom.operators.joins import broadcast_if_small
 from reportloom.operators.ordering import with_dense_index
 
 # Fixed values of the id layout: epoch in ms, bits of worker and sequence, first usable sequence.
@@ -74,9 +75,9 @@ def upsert_into_clean(
     The batch keys are counted. Up to `broadcast_keys` of them are broadcast, so that untouched rows of the table
     pass by without a shuffle; more of them are joined by shuffling.
     """
-    touched_keys = batch.where(F.col(key).isNotNull()).select(key).distinct()
-    if touched_keys.limit(broadcast_keys + 1).count() <= broadcast_keys:
-        touched_keys = F.broadcast(touched_keys)
+    batch_keys = batch.where(F.col(key).isNotNull()).select(key).distinct()
+    small = broadcast_if_small(batch_keys, broadcast_keys)
+    touched_keys = batch_keys if small is None else small
     untouched = existing.join(touched_keys, key, "left_anti").where(F.col(key).isNotNull())
     touched = existing.join(touched_keys, key, "left_semi")
     return untouched.unionByName(upsert_latest(touched, batch, key, order), allowMissingColumns=True)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from reportloom.functions.dates import in_month
+from reportloom.operators.joins import broadcast_if_small
 
 LEVEL_ALL, LEVEL_GROUP, LEVEL_DAY = 1, 2, 3
 
@@ -20,15 +21,21 @@ def daily_by_category(
     product: str,
     category: str,
     measures: Sequence[str],
+    broadcast_products: int = 2_000_000,
 ) -> DataFrame:
     """Sums by the keys (day, group, ...) and product category; facts without a known product drop out.
 
-    The fact is summed per product before the join, so a hot product shuffles one row per task and key, and
-    the join only sees sums.
+    Up to `broadcast_products` products are broadcast, so that only sums by category are shuffled. With more, the
+    fact is summed per product before the join: a hot product shuffles one row per task and key.
     """
-    per_product = fact.groupBy(*keys, product).agg(*[F.sum(m).alias(m) for m in measures])
-    joined = per_product.join(products.select(product, category), product)
-    return joined.groupBy(*keys, category).agg(*[F.sum(m).alias(m) for m in measures])
+    sums = [F.sum(m).alias(m) for m in measures]
+    products = products.select(product, category)
+    small = broadcast_if_small(products, broadcast_products)
+    if small is None:
+        joined = fact.groupBy(*keys, product).agg(*sums).join(products, product)
+    else:
+        joined = fact.join(small, product)
+    return joined.groupBy(*keys, category).agg(*sums)
 
 
 def three_levels(

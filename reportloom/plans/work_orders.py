@@ -30,9 +30,11 @@ def normalised_orders(rows: DataFrame, now: datetime) -> DataFrame:
 
 
 def order_batch(rows: DataFrame, now: datetime, *arrival: Column | str) -> DataFrame:
-    """A batch ready to store: normalised rows with ids in the order of arrival."""
-    arrival = arrival or ("__file", "__pos")
-    batch = with_load_id(normalised_orders(rows, now), *arrival, now=now)
+    """A batch ready to store: normalised rows with ids in the order of arrival.
+
+    Ids come first: their range partitioning reads its input twice, so it gets the bare feed rows.
+    """
+    batch = normalised_orders(with_load_id(rows, *(arrival or ("__file", "__pos")), now=now), now)
     return batch.drop(*[c for c in batch.columns if c.startswith("__")])
 
 

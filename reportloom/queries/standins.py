@@ -6,6 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from reportloom.plans.settings import DailyKpiNames
 from reportloom.sources.warehouse import read_table
@@ -27,8 +28,13 @@ KPI_NAMES = DailyKpiNames(
 )
 
 
+_schemas: dict[tuple[str, str], StructType] = {}
+
+
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    return read_table(spark, base, name)
+    df = read_table(spark, base, name, schema=_schemas.get((base, name)))
+    _schemas.setdefault((base, name), df.schema)
+    return df
 
 
 def money(c: str) -> Column:
@@ -189,8 +195,8 @@ def crm_form_cells(spark: SparkSession, base: str, shift_days: int = 0) -> DataF
         F.when(kind == "signup", _cell("Date of Report", day)),
         F.when(kind.isin("click", "view") & (F.col("value") >= 5), _cell("Order Amount Confirmed in the Meeting (CNY)", F.col("value").cast("string"))),
     )
-    rows = table(spark, base, "events").select(F.col("event_id").cast("string").alias("form_id"), F.explode(F.array_compact(cells)).alias("cell"))
-    return rows.select("form_id", "cell.*")
+    rows = table(spark, base, "events").select(F.col("event_id").cast("string").alias("form_id"), F.explode(cells).alias("cell"))
+    return rows.where(F.col("cell").isNotNull()).select("form_id", "cell.*")
 
 
 def _cell(name: str, value: Column) -> Column:

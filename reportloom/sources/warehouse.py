@@ -3,12 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
-def read_table(spark: SparkSession, base: str, name: str, fmt: str = "parquet") -> DataFrame:
-    """A table stored as files under `base`; filters and column choice reach the scan."""
+def read_table(
+    spark: SparkSession, base: str, name: str, fmt: str = "parquet", schema: StructType | None = None
+) -> DataFrame:
+    """A table stored as files under `base`; filters and column choice reach the scan.
+
+    A known schema saves the job that reads it from the files.
+    """
     suffix = f".{fmt}" if fmt == "parquet" else ""
-    return spark.read.format(fmt).load(f"{base.rstrip('/')}/{name}{suffix}")
+    reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.load(f"{base.rstrip('/')}/{name}{suffix}")
 
 
 def read_database(

@@ -176,13 +176,15 @@ def test_form_with_a_third_of_the_cells_is_split(spark):
     assert out.count() == plain.count() and out.exceptAll(plain).count() == 0
 
 
-def test_hot_product_is_summed_before_its_join(spark):
-    fact = spark.range(9000).select(F.lit(1).alias("d"), F.lit("g").alias("g"), F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(0).alias("p"), F.lit(1).alias("v"))
+def test_products_are_broadcast_up_to_a_size(spark):
+    p = F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(0).alias("p")
+    fact = spark.range(9000).select(F.lit(1).alias("d"), F.lit("g").alias("g"), p, F.lit(1).alias("v"))
     products = spark.range(9000).select(F.col("id").alias("p"), (F.col("id") % 2).cast("string").alias("c"))
-    out = rollup.daily_by_category(fact, products, ["d", "g"], "p", "c", ["v"])
-    assert sum(r.v for r in out.collect()) == 9000
-    plan = plan_of(rollup.daily_by_category(fact, products, ["d", "g"], "p", "c", ["v"]))
-    assert plan.rindex("partial_sum") > plan.index("Join")
+    small = rollup.daily_by_category(fact, products, ["d", "g"], "p", "c", ["v"])
+    large = rollup.daily_by_category(fact, products, ["d", "g"], "p", "c", ["v"], broadcast_products=100)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect())) == [(1, "g", "0", 6000), (1, "g", "1", 3000)]
+    assert plan_of(small).count("partial_sum") < plan_of(large).count("partial_sum")
+    assert plan_of(large).rindex("partial_sum") > plan_of(large).index("Join")  # a hot product is summed before its join
 
 
 @pytest.mark.parametrize(
