@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _renamed_keys(right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -22,9 +23,29 @@ def _null_safe(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys])
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame | None:
-    """The frame marked for broadcast if it has at most `max_rows` rows, counted no further than that; else None."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else None
+BROADCAST_BYTES = 128 << 20
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame | None:
+    """The frame marked for broadcast if its measured values fit in `max_bytes`, else None.
+
+    Texts count with their length and other atomic values with 16 bytes; nested columns are never called small.
+    """
+    width = F.lit(0)
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + 16 + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            return None
+        else:
+            width = width + 16
+    size = df.agg(F.sum(width)).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else None
+
+
+def restrict_to(df: DataFrame, small_keys: DataFrame | None, key: str) -> DataFrame:
+    """Rows whose key is in a frame found small, without a shuffle; all rows if it was not small."""
+    return df if small_keys is None else df.join(small_keys, key, "left_semi")
 
 
 def left_lookup(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:

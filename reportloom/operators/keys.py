@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from reportloom.operators.joins import broadcast_if_small
+from reportloom.operators.joins import BROADCAST_BYTES, broadcast_if_small
 from reportloom.operators.ordering import with_dense_index
 
 # Fixed values of the id layout: epoch in ms, bits of worker and sequence, first usable sequence.
@@ -68,15 +68,15 @@ def upsert_latest(existing: DataFrame, batch: DataFrame, key: str, order: str) -
 
 
 def upsert_into_clean(
-    existing: DataFrame, batch: DataFrame, key: str, order: str, broadcast_keys: int = 1_000_000
+    existing: DataFrame, batch: DataFrame, key: str, order: str, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """`upsert_latest` for a table that is already its own result: only keys of the batch are worked on.
 
-    The batch keys are counted. Up to `broadcast_keys` of them are broadcast, so that untouched rows of the table
-    pass by without a shuffle; more of them are joined by shuffling.
+    The batch keys are measured. Up to `broadcast_bytes` they are broadcast, so that untouched rows of the table
+    pass by without a shuffle; larger ones are joined by shuffling.
     """
     batch_keys = batch.where(F.col(key).isNotNull()).select(key).distinct()
-    small = broadcast_if_small(batch_keys, broadcast_keys)
+    small = broadcast_if_small(batch_keys, broadcast_bytes)
     touched_keys = batch_keys if small is None else small
     untouched = existing.join(touched_keys, key, "left_anti").where(F.col(key).isNotNull())
     touched = existing.join(touched_keys, key, "left_semi")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from reportloom.functions.dates import in_month
-from reportloom.operators.joins import broadcast_if_small
+from reportloom.operators.joins import BROADCAST_BYTES, broadcast_if_small
 
 LEVEL_ALL, LEVEL_GROUP, LEVEL_DAY = 1, 2, 3
 
@@ -21,16 +21,16 @@ def daily_by_category(
     product: str,
     category: str,
     measures: Sequence[str],
-    broadcast_products: int = 2_000_000,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Sums by the keys (day, group, ...) and product category; facts without a known product drop out.
 
-    Up to `broadcast_products` products are broadcast, so that only sums by category are shuffled. With more, the
+    Products of up to `broadcast_bytes` are broadcast, so that only sums by category are shuffled. Beyond that the
     fact is summed per product before the join: a hot product shuffles one row per task and key.
     """
     sums = [F.sum(m).alias(m) for m in measures]
     products = products.select(product, category)
-    small = broadcast_if_small(products, broadcast_products)
+    small = broadcast_if_small(products, broadcast_bytes)
     if small is None:
         joined = fact.groupBy(*keys, product).agg(*sums).join(products, product)
     else:

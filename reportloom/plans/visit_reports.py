@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reportloom.functions.dates import month_to_yesterday
 from reportloom.functions.text import contact_lines, day_prefix, decode, display, sheet_title, without_quotes
-from reportloom.operators.joins import left_lookup, left_merge
+from reportloom.operators.joins import broadcast_if_small, left_lookup, left_merge, restrict_to
 from reportloom.operators.project import rename_fields, underscore_names
 from reportloom.operators.reshape import composite_attribute, forms_with_attributes, with_sentinel_row
 from reportloom.operators.rollup import joined_text
@@ -81,9 +81,12 @@ def visit_reports(
 ) -> DataFrame:
     """Visits with customer and comments; `comment_order` gives the order in which comments are joined.
 
+    A month's form ids, if few enough, drop the cells and comments of all other months before their shuffle.
     Without any visit the result is one row that only names its sheet.
     """
     month = month_forms(forms, now, form_keys)
+    ids = broadcast_if_small(month.select("form_id"))
+    cells, comments = restrict_to(cells, ids, "form_id"), restrict_to(comments, ids, "form_id")
     df = left_merge(with_fields(month, cells, attributes), customer_amounts(customers, states), "crm_code")
     df = left_lookup(df, joined_text(comments, "form_id", "remark", comment_order), "form_id")
     if region is not None:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reportloom.functions.dates import month_to_yesterday
 from reportloom.functions.text import day_prefix, decode, sheet_title
-from reportloom.operators.joins import left_lookup
+from reportloom.operators.joins import broadcast_if_small, left_lookup, restrict_to
 from reportloom.operators.project import underscore_names
 from reportloom.operators.reshape import forms_with_attributes
 from reportloom.plans.settings import BACK_LINK, DAILY_FORM, DAILY_TITLE
@@ -42,6 +42,7 @@ def work_reports(
     header = left_lookup(month, regions, "email")
     if region is not None:
         header = header.where(F.col("region3") == region)
+    cells = restrict_to(cells, broadcast_if_small(month.select("form_id")), "form_id")
     wide = underscore_names(forms_with_attributes(header, cells, "form_id", attributes))
     return wide.withColumns(
         {

@@ -125,7 +125,7 @@ def test_upserts_agree(spark):
         brute.setdefault(k, {}).setdefault(i, set()).add(v)
     assert want == sorted((k, max(ids), v) for k, ids in brute.items() for v in ids[max(ids)])
     for limit in (1_000_000, 3):
-        got = keys.upsert_into_clean(clean, new, "k", "id", broadcast_keys=limit)
+        got = keys.upsert_into_clean(clean, new, "k", "id", broadcast_bytes=limit)
         assert sorted(map(tuple, got.collect())) == want
 
 
@@ -176,12 +176,21 @@ def test_form_with_a_third_of_the_cells_is_split(spark):
     assert out.count() == plain.count() and out.exceptAll(plain).count() == 0
 
 
+def test_only_measured_frames_are_broadcast(spark):
+    df = spark.createDataFrame([("abc", 1), (None, 2)], "k string, i int")
+    assert joins.broadcast_if_small(df, 67) is not None and joins.broadcast_if_small(df, 66) is None
+    assert joins.broadcast_if_small(df.where("i > 5"), 0) is not None
+    assert joins.broadcast_if_small(df.select(F.array("i").alias("a"))) is None
+    assert [r.i for r in joins.restrict_to(df, joins.broadcast_if_small(df.select("k")), "k").collect()] == [1]
+    assert joins.restrict_to(df, None, "k") is df
+
+
 def test_products_are_broadcast_up_to_a_size(spark):
     p = F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(0).alias("p")
     fact = spark.range(9000).select(F.lit(1).alias("d"), F.lit("g").alias("g"), p, F.lit(1).alias("v"))
     products = spark.range(9000).select(F.col("id").alias("p"), (F.col("id") % 2).cast("string").alias("c"))
     small = rollup.daily_by_category(fact, products, ["d", "g"], "p", "c", ["v"])
-    large = rollup.daily_by_category(fact, products, ["d", "g"], "p", "c", ["v"], broadcast_products=100)
+    large = rollup.daily_by_category(fact, products, ["d", "g"], "p", "c", ["v"], broadcast_bytes=100)
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect())) == [(1, "g", "0", 6000), (1, "g", "1", 3000)]
     assert plan_of(small).count("partial_sum") < plan_of(large).count("partial_sum")
     assert plan_of(large).rindex("partial_sum") > plan_of(large).index("Join")  # a hot product is summed before its join
