@@ -28,12 +28,16 @@ def urgency_order(days: Column) -> list[Column]:
     return [(days >= 0).asc_nulls_last(), F.abs(days).asc_nulls_last()]
 
 
-def in_partitions(df: DataFrame, *order: Column | str) -> DataFrame:
-    """Range-partition and sort by a unique key, and fix the result: `__part`, `__local` locate each row."""
+def in_partitions(df: DataFrame, *order: Column | str, keep: Sequence[str] | None = None) -> DataFrame:
+    """Range-partition and sort by a unique key, and fix the result: `__part`, `__local` locate each row.
+
+    `keep` names the columns to carry; the others only serve the order and are dropped before anything is stored.
+    """
+    keep = df.columns if keep is None else list(keep)
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    fixed = materialise(ranged.withColumn("__mark", F.monotonically_increasing_id()))
+    fixed = materialise(ranged.select(*keep, F.monotonically_increasing_id().alias("__mark")))
     return fixed.select(
-        *df.columns,
+        *keep,
         F.shiftright("__mark", _LOCAL_BITS).cast("int").alias("__part"),
         F.col("__mark").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)).alias("__local"),
     )
@@ -49,8 +53,8 @@ def with_dense_index(df: DataFrame, *order: Column | str, name: str = "row_index
     return _indexed(df, *order, name=name).drop("__part", "__local")
 
 
-def _indexed(df: DataFrame, *order: Column | str, name: str) -> DataFrame:
-    placed = in_partitions(df, *order)
+def _indexed(df: DataFrame, *order: Column | str, name: str, keep: Sequence[str] | None = None) -> DataFrame:
+    placed = in_partitions(df, *order, keep=keep)
     sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows"))
     starts = sizes.select("__part", F.coalesce(_before(F.sum("__rows")), F.lit(0)).alias("__start"))
     # One row per partition: bounded by the number of partitions, not by the data.
@@ -109,7 +113,7 @@ def value_spans(df: DataFrame, sheet: str, value: str, *order: Column | str, fir
 
     Reading a sheet stops at its first empty value, as for merged report cells.
     """
-    rows = _indexed(df, F.col(sheet), *order, name="__index").select("__part", "__index", sheet, value)
+    rows = _indexed(df, F.col(sheet), *order, name="__index", keep=[sheet, value])
     rows = _with_previous(rows, {"__sheet": F.struct(sheet), "__cell": F.struct(sheet, value)})
     empty = F.col(value).isNull() | (F.col(value) == "")
     marks = {"__start": _opening("__sheet"), "__run": _opening("__cell"), "__empty": F.when(empty, F.col("__index"))}
