@@ -3,6 +3,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from reportloom.queries import QUERIES
 from compare import connect, duck_rows, duck_types, spark_rows, spark_types
 
 BASE = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
@@ -21,7 +22,7 @@ def test_entry_runs(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, db, name):
     df = contract.queries()[name](spark, BASE)
     assert spark_types(df) == duck_types(db, contract.oracle_sql()[name])
