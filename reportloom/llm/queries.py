@@ -9,7 +9,7 @@ from collections.abc import Callable
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ordinal_quality, personal_data, pieces, quality_rules, repeated_lines, toxicity
+from . import near_duplicates, ordinal_quality, personal_data, pieces, quality_rules, repeated_lines, repeated_passages, suffix_duplicates, toxicity
 from .common import table
 
 #: Folder of the public tokenizers; its module gives the files' places.
@@ -36,6 +36,14 @@ def op2_personal_data(spark: SparkSession, base: str) -> DataFrame:
     return personal_data.personal_data_digest(table(spark, base, "documents"))
 
 
+def op4_near_duplicates(spark: SparkSession, base: str) -> DataFrame:
+    return near_duplicates.classes(table(spark, base, "documents"))
+
+
+def op5_suffix_duplicates(spark: SparkSession, base: str) -> DataFrame:
+    return suffix_duplicates.without_repeated_bytes_digest(table(spark, base, "documents"))
+
+
 def op6_sentence_pieces(spark: SparkSession, base: str) -> DataFrame:
     return pieces.encoded_digest(table(spark, base, "documents"), tokenizer_path(PIECE_MODEL))
 
@@ -44,6 +52,10 @@ def op7_quality_rules(spark: SparkSession, base: str) -> DataFrame:
     return quality_rules.judged(table(spark, base, "documents")).drop("lang", "source")
 
 
+def op8_repeated_passages(spark: SparkSession, base: str) -> DataFrame:
+    return repeated_passages.without_repeated_passages_digest(table(spark, base, "documents"))
+
+
 def op9_repeated_lines(spark: SparkSession, base: str) -> DataFrame:
     kept = repeated_lines.without_repeated_lines(table(spark, base, "documents"))
     digest = F.sha2(F.coalesce(F.col("doc.text").cast("string"), F.lit("")), 256).alias("kept_sha256")
@@ -59,8 +71,11 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_ordinal_quality,
         op2_personal_data,
+        op4_near_duplicates,
+        op5_suffix_duplicates,
         op6_sentence_pieces,
         op7_quality_rules,
+        op8_repeated_passages,
         op9_repeated_lines,
         op10_toxicity,
     )
@@ -69,6 +84,26 @@ QUERIES: dict[str, Query] = {
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLE: dict[str, str] = {
+    "op8_repeated_passages": """
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM t),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM t WHERE len(w) >= 50),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, array_to_string(w[i : i + 49], ' ') AS run FROM starts)
+  QUALIFY min(doc_id) OVER (PARTITION BY run) < doc_id
+), marked AS (
+  SELECT words.doc_id, words.i, word,
+         max(later.i) OVER (PARTITION BY words.doc_id ORDER BY words.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS start
+  FROM words LEFT JOIN later ON words.doc_id = later.doc_id AND words.i = later.i
+), kept AS (
+  SELECT doc_id, count(*) AS n_words, count(start) AS n_removed,
+         string_agg(word, ' ' ORDER BY i) FILTER (start IS NULL) AS text
+  FROM marked GROUP BY doc_id
+)
+SELECT t.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM t LEFT JOIN kept USING (doc_id)
+""",
     "op9_repeated_lines": f"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
