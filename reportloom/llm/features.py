@@ -85,8 +85,10 @@ class Sparse:
         self.value = np.ones(len(self.column))
 
     def keep_frequent(self, least: int) -> None:
-        often = np.bincount(self.column, minlength=BUCKETS)[self.column] >= least
-        self.row, self.column, self.count, self.value = self.row[often], self.column[often], self.count[often], self.value[often]
+        self.keep(np.bincount(self.column, minlength=BUCKETS)[self.column] >= least)
+
+    def keep(self, kept: np.ndarray) -> None:
+        self.row, self.column, self.count, self.value = self.row[kept], self.column[kept], self.count[kept], self.value[kept]
 
     def margins(self, weights: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, weights[self.column] * self.value, minlength=self.rows)

@@ -9,7 +9,7 @@ from collections.abc import Callable
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_duplicates, ordinal_quality, personal_data, pieces, quality_rules, repeated_lines, repeated_passages, suffix_duplicates, toxicity
+from . import decontamination, near_duplicates, ordinal_quality, personal_data, pieces, quality_rules, repeated_lines, repeated_passages, suffix_duplicates, toxicity
 from .common import table
 
 #: Folder of the public tokenizers; its module gives the files' places.
@@ -36,6 +36,10 @@ def op2_personal_data(spark: SparkSession, base: str) -> DataFrame:
     return personal_data.personal_data_digest(table(spark, base, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, base: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, base, "documents"), table(spark, base, "benchmark")).drop("key")
+
+
 def op4_near_duplicates(spark: SparkSession, base: str) -> DataFrame:
     return near_duplicates.classes(table(spark, base, "documents"))
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_ordinal_quality,
         op2_personal_data,
+        op3_decontamination,
         op4_near_duplicates,
         op5_suffix_duplicates,
         op6_sentence_pieces,

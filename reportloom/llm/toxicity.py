@@ -23,7 +23,9 @@ from .common import arrow_step, texts
 from .features import BUCKETS, Adam, Sparse, bounded_sample, feature_rows, features, held_out, sampled_texts, sigmoid
 
 MAX_POSITIVE, MAX_UNLABELLED = 3000, 9000
-ROUNDS, RATE, DECAY, LEAST_TEXTS = 250, 0.05, 2e-3, 4
+ROUNDS, RATE, DECAY = 300, 0.05, 5e-5
+#: Words take part if they are so many standard deviations more or less frequent in positive than in unlabelled texts.
+LEAST_DEVIATION, LEAST_TEXTS = 3.5, 2
 
 
 @dataclass
@@ -38,6 +40,17 @@ class ToxicityModel:
         return out
 
 
+def screen(positive: Sparse, unlabelled: Sparse) -> None:
+    """Keep the buckets whose frequency in positive texts differs from the one in unlabelled texts by more than chance."""
+    in_positive, in_unlabelled = (np.bincount(s.column, minlength=BUCKETS) for s in (positive, unlabelled))
+    share = (in_unlabelled + 1) / (unlabelled.rows + 2)
+    expected = positive.rows * share
+    deviation = np.abs(in_positive - expected) / np.sqrt(expected * (1 - share) + 0.25)
+    kept = (in_positive >= LEAST_TEXTS) & (deviation > LEAST_DEVIATION)
+    for s in (positive, unlabelled):
+        s.keep(kept[s.column])
+
+
 def fit_positive_unlabelled(positive: Sparse, unlabelled: Sparse, prior: float) -> ToxicityModel:
     """Minimise the non-negative risk with the logistic loss."""
     weights, bias = np.zeros(BUCKETS), np.log(prior / (1 - prior))
@@ -73,10 +86,7 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     for role in (1, 0):
         own = rows[rows.role == role]
         sets.append(Sparse(list(own.buckets), list(own.counts)))
-    both = np.bincount(np.concatenate([s.column for s in sets]), minlength=BUCKETS)
-    for s in sets:
-        often = both[s.column] >= LEAST_TEXTS
-        s.row, s.column, s.count, s.value = s.row[often], s.column[often], s.count[often], s.value[often]
+    screen(*sets)
     return fit_positive_unlabelled(*sets, prior=min(0.9, max(0.001, n_toxic / n)))
 
 
