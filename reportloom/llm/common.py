@@ -83,7 +83,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` as a table in the shared folder: computed once, and lost executors don't take it along."""
+    """`df` as a table in the shared folder: computed once, and lost executors don't take it along.
+
+    Keys aggregated for a join are written as well: with an aggregate right below it, adaptive execution could not split
+    the join's hot keys.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)

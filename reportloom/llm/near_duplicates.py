@@ -133,6 +133,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = written(signatures(docs), "signatures")
     buckets = rows.dropDuplicates(["key"]).select("key", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    shared = written(shared, "shared-buckets")
     members = written(buckets.join(shared, "bucket"), "band-members")
     source = texts(docs).withColumn("key", text_key(F.col("text")))
     nodes = written(source.join(members.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "candidate-texts")
@@ -145,7 +146,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         leaders = now.groupBy("bucket").agg(
             F.min_by("key", order).alias("leader"), F.min_by("class", order).alias("leader_class"), F.min("class").alias("least"), F.max("class").alias("most")
         )
-        pairs = now.join(leaders.where("least < most"), "bucket").where("class <> leader_class")
+        leaders = written(leaders.where("least < most"), "leaders")
+        pairs = now.join(leaders, "bucket").where("class <> leader_class")
         pairs = pairs.select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).distinct()
         pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "candidate-pairs")
         if pairs.isEmpty():
@@ -161,7 +163,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     each = each.withColumn("class", F.col("key")) if labels is None else each.join(labels, "key", "left").withColumn("class", F.coalesce("label", "key"))
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("key"))
     first = each.groupBy("class").agg(F.min(rank).alias("first"))
-    named = each.join(first, "class").select("doc_id", "key", F.col("first.doc_id").alias("class_id"), F.col("first.key").alias("first_key"), "n_rows")
+    named = each.join(written(first, "class-heads"), "class").select("doc_id", "key", F.col("first.doc_id").alias("class_id"), F.col("first.key").alias("first_key"), "n_rows")
     return named
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
-from .common import text_key, texts
+from .common import text_key, texts, written
 
 WINDOW_LINES = 3
 SPACES = " \t\n\x0b\f\r"
@@ -48,6 +48,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         "a", "b", F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("key"), F.col("at")).alias("place")
     )
     first = windows.groupBy("a", "b").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first <> last").select("a", "b", "first")
+    first = written(first, "repeated-windows")
     later = windows.join(first, ["a", "b"]).where(F.col("place") != F.col("first"))
     return (
         later.select("place.doc_id", "place.key", F.explode("place.at").alias("line"))

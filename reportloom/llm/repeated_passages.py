@@ -82,10 +82,11 @@ def repeated_passages(docs: DataFrame, words: int = WINDOW_WORDS) -> DataFrame:
     source = _source(docs)
     every = _anchors(docs, words)
     repeated = every.groupBy("a").agg(F.min("rank").alias("least"), F.max("rank").alias("most")).where("least < most").select("a")
-    survivors = written(every.join(repeated, "a"), "repeated-anchors")
+    survivors = written(every.join(written(repeated, "repeated-keys"), "a"), "repeated-anchors")
     contexts = survivors.groupBy("a", "f").agg(
         F.min("rank").alias("first_rank"), F.min_by(F.struct("rank", "key", "low", "high"), "rank").alias("seen")
     )
+    contexts = written(contexts, "contexts")
     several = contexts.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
     lists = contexts.join(several, "a").groupBy("seen.rank", "seen.key").agg(F.collect_list(F.struct("a", "f", "first_rank", "seen.low", "seen.high")).alias("contexts"))
     windows = written(_windows(source.select("rank", "key", "text").join(lists, ["rank", "key"]).select("text", "contexts"), words), "context-windows")
@@ -93,7 +94,7 @@ def repeated_passages(docs: DataFrame, words: int = WINDOW_WORDS) -> DataFrame:
     early = windows.join(earliest, ["a", "h"]).where("least < first_rank").groupBy("a", "f").agg(F.collect_list("k").alias("early"))
     # Where the context stands in an earlier document as well, all its windows go; in its first document only the early ones.
     first = contexts.select("a", "f", "first_rank").join(early, ["a", "f"], "left")
-    joined = survivors.join(first, ["a", "f"])
+    joined = survivors.join(written(first, "first-places"), ["a", "f"])
     whole = F.array(F.struct(F.col("low").alias("start"), (F.col("high") + words).alias("end")))
     parts = F.transform("early", lambda k: F.struct((F.col("low") + k).alias("start"), (F.col("low") + k + words).alias("end")))
     runs = F.when(F.col("rank") > F.col("first_rank"), whole).when(F.col("early").isNotNull(), parts)
