@@ -86,6 +86,8 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     for role in (1, 0):
         own = rows[rows.role == role]
         sets.append(Sparse(list(own.buckets), list(own.counts)))
+    if not sets[0].rows:
+        return ToxicityModel(np.zeros(BUCKETS), -40.0)
     screen(*sets)
     return fit_positive_unlabelled(*sets, prior=min(0.9, max(0.001, n_toxic / n)))
 
