@@ -12,7 +12,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def _renamed_keys(right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -23,29 +22,17 @@ def _null_safe(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys])
 
 
-BROADCAST_BYTES = 128 << 20
+#: Right rows that one null key may match. More of them are an error: each left row without a key would meet them all.
+MAX_NULL_MATCHES = 10_000
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame | None:
-    """The frame marked for broadcast if its measured values fit in `max_bytes`, else None.
-
-    Texts count with their length and other atomic values with 16 bytes; nested columns are never called small.
-    """
-    width = F.lit(0)
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            width = width + 16 + F.coalesce(F.octet_length(f.name), F.lit(0))
-        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-            return None
-        else:
-            width = width + 16
-    size = df.agg(F.sum(width)).first()[0] or 0
-    return F.broadcast(df) if size <= max_bytes else None
-
-
-def restrict_to(df: DataFrame, small_keys: DataFrame | None, key: str) -> DataFrame:
-    """Rows whose key is in a frame found small, without a shuffle; all rows if it was not small."""
-    return df if small_keys is None else df.join(small_keys, key, "left_semi")
+def _with_null_guard(right: DataFrame, keys: Sequence[str], most: int) -> DataFrame:
+    """`right`, which fails when read if a key with a null in it stands for more than `most` rows."""
+    with_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    counts = right.where(with_null).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    largest = counts.agg(F.coalesce(F.max("n"), F.lit(0))).scalar()
+    message = f"a null key matches more than {most} rows; clean the keys or raise max_null_matches"
+    return right.where(F.assert_true(~with_null | (largest <= most), message).isNull())
 
 
 def left_lookup(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -58,15 +45,21 @@ def left_lookup_where(left: DataFrame, right: DataFrame, on: str, condition: Col
     return left.join(right.where(condition), on, "left")
 
 
-def left_merge(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    """Left join in which a null key matches null keys."""
+def left_merge(
+    left: DataFrame, right: DataFrame, keys: str | Sequence[str], max_null_matches: int = MAX_NULL_MATCHES
+) -> DataFrame:
+    """Left join in which a null key matches null keys, of which the right side may have `max_null_matches`."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    right = _renamed_keys(right, keys)
+    right = _renamed_keys(_with_null_guard(right, keys, max_null_matches), keys)
     return left.join(right, _null_safe(keys), "left").drop(*[f"__right_{k}" for k in keys])
 
 
 def left_merge_large_right(
-    left: DataFrame, right: DataFrame, keys: str | Sequence[str], right_keys: DataFrame | None = None
+    left: DataFrame,
+    right: DataFrame,
+    keys: str | Sequence[str],
+    right_keys: DataFrame | None = None,
+    max_null_matches: int = MAX_NULL_MATCHES,
 ) -> DataFrame:
     """`left_merge` for a large right side that may hold hot keys.
 
@@ -76,7 +69,7 @@ def left_merge_large_right(
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     hidden = [f"__right_{k}" for k in keys]
-    renamed = _renamed_keys(right, keys)
+    renamed = _renamed_keys(_with_null_guard(right, keys, max_null_matches), keys)
     matched = left.join(renamed, _null_safe(keys), "inner").drop(*hidden)
     present = _renamed_keys((right if right_keys is None else right_keys).select(*keys), keys).distinct()
     unmatched = left.join(present, _null_safe(keys), "left_anti")
@@ -93,18 +86,32 @@ def attribute_joins(
 ) -> DataFrame:
     """Each attribute as a column, as by one left join per attribute: `{column: attribute name}`.
 
-    Repeated attributes multiply rows. A form that lacks an attribute gets a null row for it first, so all joins
-    are inner and a form with very many cells can be split on either side. Where (key, attribute) is unique,
-    `reshape.pivot_attributes` gives the same columns from one scan of the cells.
+    One conditional aggregate gives the forms without a repeated attribute. Repeated attributes multiply rows, so only the forms
+    that have one are joined attribute by attribute; a form with very many cells can then be split on either side.
     """
+    wanted = cells.where(F.col(name).isin(list(attributes.values()))).select(key, F.col(name).alias("__name"), F.col(value).alias("__value"))
+    hits = {column: F.col("__name") == attribute for column, attribute in attributes.items()}
+    most = F.greatest(*[F.count_if(hit) for hit in hits.values()], F.lit(0)).alias("__most")
+    once = wanted.groupBy(key).agg(most, *[F.max(F.when(hit, F.col("__value"))).alias(c) for c, hit in hits.items()])
+    single = header.join(once, key, "left").where(F.coalesce(F.col("__most"), F.lit(0)) <= 1).drop("__most")
+    repeated = once.where("__most > 1").select(key)
+    # The key inside a struct is another partitioning than the one of the semi-join, so the joins shuffle by themselves and
+    # adaptive execution can split their hot keys.
+    boxed = F.struct(F.col(key).alias("key"))
+    several = header.join(repeated, key, "left_semi").withColumn(key, boxed)
+    several = _joined_attributes(several, wanted.withColumn(key, boxed), key, hits).withColumn(key, F.col(key)["key"])
+    return single.unionByName(several)
+
+
+def _joined_attributes(header: DataFrame, cells: DataFrame, key: str, hits: Mapping[str, Column]) -> DataFrame:
+    """One join per attribute. A form that lacks an attribute gets a null row for it first, so all joins are inner."""
     # One bit per attribute, so that every branch below needs the same columns and Spark reuses their shuffle.
-    bits = {column: 1 << i for i, column in enumerate(attributes)}
-    bit = F.coalesce(*[F.when(F.col(name) == a, bits[c]) for c, a in attributes.items()])
-    found = cells.where(F.col(name).isin(list(attributes.values()))).groupBy(key).agg(F.bit_or(bit).alias("__found"))
+    bits = {column: 1 << i for i, column in enumerate(hits)}
+    found = cells.groupBy(key).agg(F.bit_or(F.coalesce(*[F.when(hit, bits[c]) for c, hit in hits.items()])).alias("__found"))
     flagged = header.select(key).join(found, key, "left").withColumn("__found", F.coalesce("__found", F.lit(0)))
     out = header
-    for column, attribute in attributes.items():
-        given = cells.where(F.col(name) == attribute).select(key, F.col(value).alias(column))
+    for column, hit in hits.items():
+        given = cells.where(hit).select(key, F.col("__value").alias(column))
         lacking = flagged.where(F.col("__found").bitwiseAND(F.lit(bits[column])) == 0).select(key, F.lit(None).alias(column))
         out = out.join(given.union(lacking), key)
     return out

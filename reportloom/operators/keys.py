@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from reportloom.operators.joins import BROADCAST_BYTES, broadcast_if_small
 from reportloom.operators.ordering import with_dense_index
 
 # Fixed values of the id layout: epoch in ms, bits of worker and sequence, first usable sequence.
@@ -48,7 +47,9 @@ def snowflake_parts(c: Column, epoch_ms: int = ID_EPOCH_MS) -> dict[str, Column]
 def with_load_id(df: DataFrame, *order: Column | str, now: datetime, digits: int = 12, name: str = "id") -> DataFrame:
     """Text id of batch time and row index; the index is zero-padded so that text order is numeric order."""
     indexed = with_dense_index(df, *order, name="__row")
-    text = F.concat(F.lit(f"{now:%Y%m%d%H%M%S}"), F.lpad(F.col("__row").cast("string"), digits, "0"))
+    index = F.col("__row").cast("string")
+    too_long = F.raise_error(F.lit(f"a row index has more than {digits} digits")).cast("string")
+    text = F.concat(F.lit(f"{now:%Y%m%d%H%M%S}"), F.when(F.length(index) <= digits, F.lpad(index, digits, "0")).otherwise(too_long))
     return indexed.withColumn(name, text).drop("__row")
 
 
@@ -62,22 +63,16 @@ def latest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def upsert_latest(existing: DataFrame, batch: DataFrame, key: str, order: str) -> DataFrame:
-    """Append a batch and keep the latest rows per key; sending a batch twice changes nothing."""
-    both = existing.unionByName(batch, allowMissingColumns=True).dropDuplicates()
-    return latest_per_key(both, key, order)
+    """Append a batch and keep the latest rows per key; sending a batch twice changes nothing.
 
+    The group limit comes first: only the best rows of a key are compared as whole rows.
+    """
+    return latest_per_key(existing.unionByName(batch, allowMissingColumns=True), key, order).dropDuplicates()
 
-def upsert_into_clean(
-    existing: DataFrame, batch: DataFrame, key: str, order: str, broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """`upsert_latest` for a table that is already its own result: only keys of the batch are worked on.
 
-    The batch keys are measured. Up to `broadcast_bytes` they are broadcast, so that untouched rows of the table
-    pass by without a shuffle; larger ones are joined by shuffling.
-    """
-    batch_keys = batch.where(F.col(key).isNotNull()).select(key).distinct()
-    small = broadcast_if_small(batch_keys, broadcast_bytes)
-    touched_keys = batch_keys if small is None else small
+def upsert_into_clean(existing: DataFrame, batch: DataFrame, key: str, order: str) -> DataFrame:
+    """`upsert_latest` for a table that is already its own result: only keys of the batch are worked on."""
+    touched_keys = batch.where(F.col(key).isNotNull()).select(key).distinct()
     untouched = existing.join(touched_keys, key, "left_anti").where(F.col(key).isNotNull())
     touched = existing.join(touched_keys, key, "left_semi")
     return untouched.unionByName(upsert_latest(touched, batch, key, order), allowMissingColumns=True)

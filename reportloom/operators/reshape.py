@@ -20,22 +20,24 @@ def pivot_attributes(
     attributes: Sequence[str],
     name: Column | str = "name",
     value: str = "value",
+    ignore: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per key with a column per declared attribute; a repeated attribute raises an error.
+    """One row per key with a column per declared attribute; a repeated or an undeclared attribute raises an error.
 
-    Conditional aggregates combine before the shuffle and keep one value per attribute, so the state of a key
+    Cells whose attribute is in `ignore`, or null, are left out. Conditional aggregates combine before the shuffle and keep one value per attribute, so the state of a key
     is bounded however many cells it has.
     """
     keys = [key] if isinstance(key, str) else list(key)
     name = F.col(name) if isinstance(name, str) else name
     named = cells.select(*keys, name.alias("__name"), F.col(value).alias("__value"))
-    wanted = named.where(F.col("__name").isin(list(attributes)))
-    aggregates = []
+    wanted = named.where(~F.col("__name").isin(list(ignore)) if ignore else F.col("__name").isNotNull())
+    aggregates = [F.max(F.when(~F.col("__name").isin(list(attributes)), F.col("__name"))).alias("__undeclared")]
     for i, attribute in enumerate(attributes):
         hit = F.col("__name") == attribute
         aggregates.append(F.max(F.when(hit, F.col("__value"))).alias(f"__v{i}"))
         aggregates.append(F.count_if(hit).alias(f"__n{i}"))
-    grouped = wanted.groupBy(*keys).agg(*aggregates)
+    message = F.concat(F.lit("undeclared attribute: "), F.col("__undeclared"))
+    grouped = wanted.groupBy(*keys).agg(*aggregates).where(F.assert_true(F.col("__undeclared").isNull(), message).isNull())
     checked = [
         F.when(F.col(f"__n{i}") > 1, F.raise_error(F.lit(f"attribute '{a}' occurs more than once in a form")).cast("string"))
         .otherwise(F.col(f"__v{i}"))
@@ -52,9 +54,10 @@ def forms_with_attributes(
     attributes: Sequence[str],
     name: Column | str = "name",
     value: str = "value",
+    ignore: Sequence[str] = (),
 ) -> DataFrame:
     """Header rows with their attributes as columns; a form without cells keeps its row with nulls."""
-    return header.join(pivot_attributes(cells, key, attributes, name, value), key, "left")
+    return header.join(pivot_attributes(cells, key, attributes, name, value, ignore), key, "left")
 
 
 def explode_documents(df: DataFrame, json_column: str, document: T.StructType | str) -> DataFrame:

@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from reportloom.functions.dates import in_month
-from reportloom.operators.joins import BROADCAST_BYTES, broadcast_if_small
-
 LEVEL_ALL, LEVEL_GROUP, LEVEL_DAY = 1, 2, 3
 
 
@@ -21,21 +19,16 @@ def daily_by_category(
     product: str,
     category: str,
     measures: Sequence[str],
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Sums by the keys (day, group, ...) and product category; facts without a known product drop out.
 
-    Products of up to `broadcast_bytes` are broadcast, so that only sums by category are shuffled. Beyond that the
-    fact is summed per product before the join: a hot product shuffles one row per task and key.
+    The fact is summed per product before the join, so a hot product shuffles one row per task and key. A sum has the type
+    of one sum over the fact, however often it is summed on the way.
     """
     sums = [F.sum(m).alias(m) for m in measures]
-    products = products.select(product, category)
-    small = broadcast_if_small(products, broadcast_bytes)
-    if small is None:
-        joined = fact.groupBy(*keys, product).agg(*sums).join(products, product)
-    else:
-        joined = fact.join(small, product)
-    return joined.groupBy(*keys, category).agg(*sums)
+    kinds = {f.name: f.dataType for f in fact.agg(*sums).schema}
+    joined = fact.groupBy(*keys, product).agg(*sums).join(products.select(product, category), product)
+    return joined.groupBy(*keys, category).agg(*[F.sum(m).cast(kinds[m]).alias(m) for m in measures])
 
 
 def three_levels(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, timedelta
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +34,9 @@ def _literal(value: object) -> str:
     if isinstance(value, str):
         escaped = value.replace("\\", "\\\\").replace("'", "\\'")
         return f"'{escaped}'"
-    return str(value)
+    if value is None or isinstance(value, (bool, int, float, Decimal)):
+        return "NULL" if value is None else str(value)
+    raise TypeError(f"a slice filter takes text, numbers and booleans, not {value!r}")
 
 
 def _owned(slices: Sequence[Slice], column: str, expression: str) -> Column:
@@ -52,9 +55,9 @@ def cut_slices(frame: DataFrame, slices: Sequence[Slice], day: str) -> DataFrame
     """
     hits = []
     for s in slices:
-        condition = " AND ".join(f"`{c}` = {_literal(v)}" for c, v in s.filters.items()) or "true"
+        condition = " AND ".join(f"`{c}` {'IS' if v is None else '='} {_literal(v)}" for c, v in s.filters.items()) or "true"
         hits.append(f"CASE WHEN {condition} THEN {_literal(s.slice_id)} END")
-    cut = frame.withColumn("slice_id", F.expr(f"explode(array({', '.join(hits)}))")).where("slice_id IS NOT NULL")
+    cut = frame.withColumn("slice_id", F.expr(f"explode(array_compact(array({', '.join(hits)})))"))
     shown = sorted({c for s in slices for c in s.columns}, key=frame.columns.index)
     return cut.select("slice_id", day, *[_owned(slices, c, f"`{c}`").alias(c) for c in shown])
 

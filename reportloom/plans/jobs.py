@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from typing import NamedTuple
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,7 +16,9 @@ from reportloom.plans.sales_followup import sales_report
 from reportloom.plans.shelf_life import shelf_life_report, stock_lots
 from reportloom.plans.visit_reports import visit_reports
 from reportloom.plans.work_reports import work_reports
-from reportloom.sinks.files import write_report
+from reportloom.plans.work_orders import order_batch
+from reportloom.sinks.files import Stored, VersionedTable, write_report
+from reportloom.sources.feed import read_feed
 from reportloom.sources.warehouse import read_table
 
 Read = Callable[[str], DataFrame]
@@ -76,11 +80,31 @@ JOBS: dict[str, Callable[..., DataFrame]] = {
 }
 
 
+class Built(NamedTuple):
+    """Folder and number of rows of a report."""
+
+    folder: str
+    rows: int
+
+
 def build(
-    spark: SparkSession, job: str, tables: str, out: str, now: datetime, fmt: str = "parquet", partition_by=(), **options
-) -> str:
-    """Build one report from the tables under `tables`; returns the folder, one per report and day."""
+    spark: SparkSession, job: str, tables: str, out: str, now: datetime, fmt: str = "parquet", partition_by=(), region: str | None = None, **options
+) -> Built:
+    """Build one report from the tables under `tables`, in one folder per report, variant and day.
+
+    The report of one region has a folder of its own beside the full one.
+    """
+    variant = job if region is None else f"{job}/region={quote(region, safe='')}"
+    if region is not None:
+        options["region"] = region
     df = JOBS[job](lambda name: read_table(spark, tables, name), now, **options)
-    folder = f"{out.rstrip('/')}/{job}/built={now:%Y-%m-%d}"
-    write_report(df, folder, fmt, partition_by, mode="overwrite")
-    return folder
+    folder = f"{out.rstrip('/')}/{variant}/built={now:%Y-%m-%d}"
+    return Built(folder, write_report(df, folder, fmt, partition_by, mode="overwrite"))
+
+
+def load_work_orders(spark: SparkSession, feed: str, table: str, now: datetime, keep_versions: int = 2) -> Stored:
+    """Store the landed feed under `feed` in the versioned table at `table`, and drop its oldest versions."""
+    target = VersionedTable(spark, table)
+    stored = target.upsert(order_batch(read_feed(spark, feed), now), "Order_Id", "id")
+    target.vacuum(keep_versions)
+    return stored

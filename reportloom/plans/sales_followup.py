@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reportloom.functions.dates import month_to_yesterday, report_header
 from reportloom.functions.text import decode, sheet_title, workbook_link
-from reportloom.operators.joins import attribute_joins, broadcast_if_small, left_merge, left_merge_large_right, restrict_to
+from reportloom.operators.joins import attribute_joins, left_merge, left_merge_large_right
 from reportloom.operators.ordering import category_rank
 from reportloom.operators.project import fill_all_as_text, with_header
 from reportloom.plans.settings import (
@@ -75,7 +75,7 @@ def sales_followup(
     if region is not None:
         people = people.where(F.col("region3") == region)
     month = month_forms(forms, now, kinds)
-    cells = restrict_to(cells, broadcast_if_small(month.select("form_id")), "form_id")
+    cells = cells.join(month.select("form_id"), "form_id", "left_semi")
     df = left_merge_large_right(people, month_visits(month, cells, kinds), "email", right_keys=month)
     df = left_merge(df, customers.select("crm_code", "businessName"), "crm_code")
     return df.withColumns(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reportloom.functions.dates import month_to_yesterday
 from reportloom.functions.text import contact_lines, day_prefix, decode, display, sheet_title, without_quotes
-from reportloom.operators.joins import broadcast_if_small, left_lookup, left_merge, restrict_to
+from reportloom.operators.joins import left_lookup, left_merge
 from reportloom.operators.project import rename_fields, underscore_names
 from reportloom.operators.reshape import composite_attribute, forms_with_attributes, with_sentinel_row
 from reportloom.operators.rollup import joined_text
@@ -60,9 +60,9 @@ def month_forms(forms: DataFrame, now: datetime, form_keys: Sequence[str], inclu
     )
 
 
-def with_fields(month: DataFrame, cells: DataFrame, attributes: Sequence[str]) -> DataFrame:
+def with_fields(month: DataFrame, cells: DataFrame, attributes: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:
     field = composite_attribute(F.col("name"), F.col("child_name"))
-    wide = forms_with_attributes(month, cells, "form_id", attributes, field)
+    wide = forms_with_attributes(month, cells, "form_id", attributes, field, ignore=ignore)
     return rename_fields(underscore_names(wide), FIELD_NAMES)
 
 
@@ -78,16 +78,17 @@ def visit_reports(
     kinds: Mapping[str, str] = FORM_KINDS,
     form_keys: Sequence[str] = VISIT_FORMS,
     region: str | None = None,
+    ignore: Sequence[str] = (),
 ) -> DataFrame:
     """Visits with customer and comments; `comment_order` gives the order in which comments are joined.
 
-    A month's form ids, if few enough, drop the cells and comments of all other months before their shuffle.
+    The month's form ids drop the cells and comments of all other months; `ignore` names form fields to leave out.
     Without any visit the result is one row that only names its sheet.
     """
     month = month_forms(forms, now, form_keys)
-    ids = broadcast_if_small(month.select("form_id"))
-    cells, comments = restrict_to(cells, ids, "form_id"), restrict_to(comments, ids, "form_id")
-    df = left_merge(with_fields(month, cells, attributes), customer_amounts(customers, states), "crm_code")
+    ids = month.select("form_id")
+    cells, comments = cells.join(ids, "form_id", "left_semi"), comments.join(ids, "form_id", "left_semi")
+    df = left_merge(with_fields(month, cells, attributes, ignore), customer_amounts(customers, states), "crm_code")
     df = left_lookup(df, joined_text(comments, "form_id", "remark", comment_order), "form_id")
     if region is not None:
         df = df.where(F.col("region3") == region)

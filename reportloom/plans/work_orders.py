@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from reportloom.functions.dates import week_end, week_start, week_text
 from reportloom.operators.keys import with_load_id
 from reportloom.operators.project import rename_fields, sentinel_to_null
-from reportloom.sinks.files import VersionedTable
-from reportloom.sinks.files import VersionedTable
+from reportloom.sinks.files import Stored, VersionedTable
 from reportloom.sources.feed import ORDER_FIELDS, read_feed
 
 
@@ -34,10 +33,10 @@ def order_batch(rows: DataFrame, now: datetime, *arrival: Column | str) -> DataF
 
     Ids come first: their range partitioning reads its input twice, so it gets the bare feed rows.
     """
-    batch = normalised_orders(with_load_id(rows, *(arrival or ("__file", "__pos")), now=now), now)
+    batch = normalised_orders(with_load_id(rows, *(arrival or ("__arrived", "__file", "__pos")), now=now), now)
     return batch.drop(*[c for c in batch.columns if c.startswith("__")])
 
 
-def load_orders(spark: SparkSession, feed_path: str, table: VersionedTable, now: datetime) -> int:
-    """Store a landed feed; later loads of an order replace earlier ones. Returns the new table version."""
+def load_orders(spark: SparkSession, feed_path: str, table: VersionedTable, now: datetime) -> Stored:
+    """Store a landed feed; later loads of an order replace earlier ones."""
     return table.upsert(order_batch(read_feed(spark, feed_path), now), "Order_Id", "id")

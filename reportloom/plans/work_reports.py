@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reportloom.functions.dates import month_to_yesterday
 from reportloom.functions.text import day_prefix, decode, sheet_title
-from reportloom.operators.joins import broadcast_if_small, left_lookup, restrict_to
+from reportloom.operators.joins import left_lookup
 from reportloom.operators.project import underscore_names
 from reportloom.operators.reshape import forms_with_attributes
 from reportloom.plans.settings import BACK_LINK, DAILY_FORM, DAILY_TITLE
@@ -25,8 +25,9 @@ def work_reports(
     form_key: str = DAILY_FORM,
     region: str | None = None,
     inclusive_day: bool = False,
+    ignore: Sequence[str] = (),
 ) -> DataFrame:
-    """`attributes` declares the form fields; they become columns with underscores. Latest forms first."""
+    """`attributes` declares the form fields, `ignore` those left out; they become columns with underscores. Latest forms first."""
     month = forms.where(
         (F.col("form_key") == form_key) & month_to_yesterday(F.col("local_time"), now, inclusive_day)
     ).select(
@@ -42,8 +43,8 @@ def work_reports(
     header = left_lookup(month, regions, "email")
     if region is not None:
         header = header.where(F.col("region3") == region)
-    cells = restrict_to(cells, broadcast_if_small(month.select("form_id")), "form_id")
-    wide = underscore_names(forms_with_attributes(header, cells, "form_id", attributes))
+    cells = cells.join(month.select("form_id"), "form_id", "left_semi")
+    wide = underscore_names(forms_with_attributes(header, cells, "form_id", attributes, ignore=ignore))
     return wide.withColumns(
         {
             "form_key": decode(F.col("form_key"), {form_key: "Daily report"}),

@@ -30,17 +30,23 @@ def field_code_mapping(spark, base):
     return rename_fields(coded, {"AUFNR": "Order_Id", "MATNR": "Product_Code", "AUART": "Order_Type", "ZBRAND": "Business_Group"})
 
 
+_RENAMED = {"system": "opening", "user-2": "user_2_asked"}
+
+
 @query(
     "renamed_pivot_columns_p3_p4",
-    """SELECT CAST(conv_id AS VARCHAR) AS form_id, MAX(text) FILTER (WHERE role = 'system' AND turn = 0) AS "opening",
-              MAX(text) FILTER (WHERE role = 'user' AND turn = 2) AS "user_2_asked"
-       FROM conversations
-       WHERE (role = 'system' AND turn = 0) OR (role = 'user' AND turn = 2) GROUP BY conv_id""",
+    "SELECT CAST(conv_id AS VARCHAR) AS form_id, "
+    + ", ".join(
+        f"""MAX(text) FILTER (WHERE CASE WHEN turn > 0 THEN role || '-' || turn ELSE role END = '{a}') AS "{_RENAMED.get(a, a)}\""""
+        for a in S.TALK_ATTRIBUTES
+    )
+    + " FROM conversations GROUP BY conv_id",
 )
 def renamed_pivot_columns(spark, base):
     name = composite_attribute(F.col("name"), F.col("child_name"))
     name = F.when(name == "user-2", "user 2 asked").otherwise(name)
-    wide = pivot_attributes(S.talk_cells(spark, base), "form_id", ["system", "user 2 asked"], name)
+    attributes = ["user 2 asked" if a == "user-2" else a for a in S.TALK_ATTRIBUTES]
+    wide = pivot_attributes(S.talk_cells(spark, base), "form_id", attributes, name)
     return rename_fields(underscore_names(wide), {"system": "opening"})
 
 

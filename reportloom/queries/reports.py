@@ -40,7 +40,7 @@ def _kpi_sql() -> str:
     plants = {"sg": "松岗", "lb": "寮步", "dls": "大岭山"}
     for short, place in {**plants, "wx": "外协"}.items():
         add(f"gc_{short}", f"SELECT * FROM shifted_kpi WHERE l3 = 'by工厂' AND d1 = '{place}'", everything)
-    for series, subject in (("rjcz", "view"), ("gcrs", "click"), ("scxl", "error"), ("ssgs", "signup")):
+    for series, subject in S.KPI_NAMES.plant_subjects.items():
         for short, place in plants.items():
             add(f"{series}_{short}", f"SELECT * FROM shifted_kpi WHERE l2 = '{subject}' AND d1 = '{place}'", everything)
     nothing = "NULL AS l1, NULL AS l2, NULL AS l3, NULL AS d1"
@@ -50,9 +50,9 @@ def _kpi_sql() -> str:
     for slice_id, body, where, empty in (
         ("cpx_sum", first, lines, "0, NULL"),
         ("gc_sum", first, "l3 = 'by工厂'", "0, NULL"),
-        ("rjcz_sum0", first, "l2 = 'view'", "0, NULL"),
-        ("rjcz_sum1", second, "l2 = 'view'", "NULL, 0"),
-        ("gcrs_sum", both, "l2 = 'click'", "0, 0"),
+        ("rjcz_sum0", first, "l2 = 'view-0'", "0, NULL"),
+        ("rjcz_sum1", second, "l2 = 'view-0'", "NULL, 0"),
+        ("gcrs_sum", both, "l2 = 'view-1'", "0, 0"),
     ):
         add(slice_id, body.format(n=nothing, w=where), f"{empty}, NULL, NULL, NULL, NULL")
     return "\nUNION ALL ".join(parts)

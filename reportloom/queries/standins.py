@@ -6,9 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-from reportloom.plans.settings import DailyKpiNames
+from reportloom.plans.settings import PLANT_SUBJECTS, DailyKpiNames
 from reportloom.sources.warehouse import read_table
 
 AS_OF = date(2001, 7, 15)  # trade tables
@@ -24,17 +22,12 @@ KPI_NAMES = DailyKpiNames(
     categories={"host": "ECONOMY", "part": "PROMO"},
     left_out_of_backlog="SMALL",
     daily_output="purchase",
-    plant_subjects={"rjcz": "view", "gcrs": "click", "scxl": "error", "ssgs": "signup"},
+    plant_subjects=dict(zip(PLANT_SUBJECTS, (f"{kind}-{i}" for kind in ("view", "click", "error", "signup") for i in range(3)), strict=True)),
 )
 
 
-_schemas: dict[tuple[str, str], StructType] = {}
-
-
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    df = read_table(spark, base, name, schema=_schemas.get((base, name)))
-    _schemas.setdefault((base, name), df.schema)
-    return df
+    return read_table(spark, base, name)
 
 
 def money(c: str) -> Column:
@@ -214,7 +207,7 @@ def talk_cells(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-TALK_ATTRIBUTES = ["system", "user", "user-1", "assistant-1", "user-2", "assistant-2", "assistant-3"]
+TALK_ATTRIBUTES = ["system", "user", *(f"{role}-{turn}" for role in ("user", "assistant") for turn in range(1, 8))]
 
 
 def comments(spark: SparkSession, base: str) -> DataFrame:
@@ -232,7 +225,7 @@ def kpi_forms(spark: SparkSession, base: str, shift_days: int = 0) -> DataFrame:
         F.col("value").cast("decimal(12,2)").cast("string").alias("MA0"),
         F.nullif(k, F.lit(13)).cast("string").alias("MA1"),
         F.lit("KPI").alias("L1Subject1"),
-        F.col("event_type").alias("L2Subject2"),
+        F.when(F.col("event_type") == "purchase", "purchase").otherwise(F.concat_ws("-", "event_type", (k % 3).cast("string"))).alias("L2Subject2"),
         F.when(k < 50, "by产品线").otherwise("by工厂").alias("L3Subject3"),
         F.element_at(dimensions, F.floor(k / 50).cast("int") * 4 + k % 4 + 1).alias("D1"),
     )
@@ -263,14 +256,14 @@ SQL = {
         GROUP BY ALL)""",
     "kpi": """kpi AS (
         SELECT CAST(ts AS DATE) AS d, CAST(CAST(value AS DECIMAL(12,2)) AS DOUBLE) AS m0, CAST(NULLIF(k, 13) AS DOUBLE) AS m1,
-               'KPI' AS l1, event_type AS l2, CASE WHEN k < 50 THEN 'by产品线' ELSE 'by工厂' END AS l3,
+               'KPI' AS l1, CASE WHEN event_type = 'purchase' THEN 'purchase' ELSE event_type || '-' || (k % 3) END AS l2, CASE WHEN k < 50 THEN 'by产品线' ELSE 'by工厂' END AS l3,
                CASE WHEN k < 50 THEN CASE k % 4 WHEN 1 THEN 'beta' WHEN 2 THEN 'gamma' ELSE 'alpha' END
                     ELSE CASE k % 4 WHEN 1 THEN '寮步' WHEN 2 THEN '大岭山' WHEN 3 THEN '外协' ELSE '松岗' END END AS d1
         FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
         WHERE ts >= TIMESTAMP '2024-01-17' AND ts < TIMESTAMP '2024-01-31')""",
     "shifted_kpi": f"""shifted_kpi AS (
         SELECT CAST(CAST(ts AS DATE) - {VISIT_SHIFT} AS DATE) AS d, CAST(CAST(value AS DECIMAL(12,2)) AS DOUBLE) AS m0,
-               CAST(NULLIF(k, 13) AS DOUBLE) AS m1, 'KPI' AS l1, event_type AS l2,
+               CAST(NULLIF(k, 13) AS DOUBLE) AS m1, 'KPI' AS l1, CASE WHEN event_type = 'purchase' THEN 'purchase' ELSE event_type || '-' || (k % 3) END AS l2,
                CASE WHEN k < 50 THEN 'by产品线' ELSE 'by工厂' END AS l3,
                CASE WHEN k < 50 THEN CASE k % 4 WHEN 1 THEN 'beta' WHEN 2 THEN 'gamma' ELSE 'alpha' END
                     ELSE CASE k % 4 WHEN 1 THEN '寮步' WHEN 2 THEN '大岭山' WHEN 3 THEN '外协' ELSE '松岗' END END AS d1

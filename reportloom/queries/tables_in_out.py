@@ -5,11 +5,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from reportloom.operators.keys import upsert_latest
+from reportloom.operators.ordering import with_dense_index
 from reportloom.queries import standins as S
 from reportloom.queries.registry import query
 from reportloom.session import shared_dir
 from reportloom.sinks.files import VersionedTable, append_rows, write_report
-from reportloom.sinks.files import VersionedTable, append_rows, write_report
 from reportloom.sources.feed import feed_rows, limit_feed
 from reportloom.sources.files import newest_file
 
@@ -123,9 +123,11 @@ def versioned_table(spark, base):
 
 @query(
     "partitioned_report_k3_r5",
-    """SELECT c_custkey, n_name, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+    """SELECT c_custkey, n_name, r_name, row_number() OVER (ORDER BY c_custkey) - 1 AS position
+       FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
 )
 def partitioned_report(spark, base):
     folder = _new_folder(spark, "report")
-    write_report(S.customer_places(spark, base).select("c_custkey", "n_name", "r_name"), folder, partition_by=["r_name"])
-    return spark.read.parquet(folder)
+    report = S.customer_places(spark, base).select("c_custkey", "n_name", "r_name").orderBy("c_custkey")
+    write_report(report, folder, partition_by=["r_name"])
+    return with_dense_index(spark.read.parquet(folder), "report_position", name="position").select("c_custkey", "n_name", "r_name", "position")

@@ -34,22 +34,26 @@ ORDER_FIELDS = {
 
 
 def feed_rows(payloads: DataFrame, data: str = "DATA", fields: Sequence[str] = tuple(ORDER_FIELDS)) -> DataFrame:
-    """Rows of payload texts with their place in the payload (`__pos`); other columns are carried along."""
+    """Rows of payload texts with their place in the payload (`__pos`); other columns are carried along.
+
+    A payload without data, such as an error reply, is an error.
+    """
     schema = "array<struct<" + ", ".join(f"`{f}`: string" for f in fields) + ">>"
-    parsed = F.from_json(F.col(data), schema, {"mode": "FAILFAST"})
+    given = F.coalesce(F.col(data), F.raise_error(F.lit(f"a payload has no {data}")).cast("string"))
+    parsed = F.from_json(given, schema, {"mode": "FAILFAST"})
     others = [c for c in payloads.columns if c != data]
     rows = payloads.select(*others, F.posexplode(parsed).alias("__pos", "__order"))
     return rows.select(*others, "__pos", "__order.*")
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """Landed payload files, one JSON document each; `__file` and `__pos` give the order of arrival."""
+    """Landed payload files, one JSON document each; `__arrived`, `__file` and `__pos` give the order of arrival."""
     payloads = (
         spark.read.schema("DATA string")
         .option("multiLine", True)
         .option("mode", "FAILFAST")
         .json(path)
-        .select(F.col("_metadata.file_path").alias("__file"), "DATA")
+        .select(F.col("_metadata.file_modification_time").alias("__arrived"), F.col("_metadata.file_path").alias("__file"), "DATA")
     )
     return feed_rows(payloads)
 

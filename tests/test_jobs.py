@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reportloom.plans import jobs
-from test_plans import NAMES, NOW, VISIT_FIELDS, crm_tables, customer_inputs, daily_inputs
+from test_plans import NAMES, NOW, OTHER_FIELDS, VISIT_FIELDS, crm_tables, customer_inputs, daily_inputs
 
 
 def store(base, **tables):
@@ -56,7 +56,7 @@ CASES = {
     "customer_months": (dict(groups=["G1"]), lambda df: {r.BOS_Group_Id: float(r.this_month_order_amount) for r in df.collect()} == {"k1": 320.0, "k2": 0.0}),
     "customer_status": ({}, lambda df: df.count() == 3),
     "sales_followup": ({}, lambda df: df.count() == 4),
-    "work_reports": (dict(attributes=["Date of Report"]), lambda df: df.count() == 1),
+    "work_reports": (dict(attributes=["Date of Report"], ignore=OTHER_FIELDS), lambda df: df.count() == 1),
     "visit_reports": (dict(attributes=VISIT_FIELDS, comment_order="n"), lambda df: df.count() == 2),
 }
 
@@ -65,15 +65,18 @@ CASES = {
 def test_build(spark, warehouse, tmp_path, job):
     options, holds = CASES[job]
     for _ in range(2):  # building a day again replaces it
-        folder = jobs.build(spark, job, warehouse, str(tmp_path), NOW, **options)
+        folder, rows = jobs.build(spark, job, warehouse, str(tmp_path), NOW, **options)
     assert folder.endswith(f"{job}/built=2023-07-05")
-    assert holds(spark.read.parquet(folder))
+    assert holds(spark.read.parquet(folder)) and rows == spark.read.parquet(folder).count()
 
 
 def test_build_by_region(spark, warehouse, tmp_path):
-    folder = jobs.build(spark, "sales_followup", warehouse, str(tmp_path), NOW, partition_by=["region3"])
+    folder, _ = jobs.build(spark, "sales_followup", warehouse, str(tmp_path), NOW, partition_by=["region3"])
     by_region = {r.region3: r["count"] for r in spark.read.parquet(folder).groupBy("region3").count().collect()}
     assert by_region == {"北美大区": 2, "欧洲大区": 2}
+    part = jobs.build(spark, "sales_followup", warehouse, str(tmp_path), NOW, region="欧洲大区")
+    assert part.rows == spark.read.parquet(part.folder).count() == 2
+    assert spark.read.parquet(folder).count() == 4  # the full report stays beside it
 
 
 def test_every_job_is_known():

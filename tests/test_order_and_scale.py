@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from reportloom.functions import dates
-from reportloom.operators import joins, keys, ordering, reshape, rollup
+from reportloom.operators import joins, keys, ordering, reshape, rollup, spine
+from reportloom.queries import QUERIES
 from reportloom.session import shared_dir
 from reportloom.sinks.files import VersionedTable, write_report
 from reportloom.sources.files import last_file
@@ -124,9 +125,7 @@ def test_upserts_agree(spark):
     for k, i, v in sorted(table + batch[:-1], key=lambda r: r[1]):
         brute.setdefault(k, {}).setdefault(i, set()).add(v)
     assert want == sorted((k, max(ids), v) for k, ids in brute.items() for v in ids[max(ids)])
-    for limit in (1_000_000, 3):
-        got = keys.upsert_into_clean(clean, new, "k", "id", broadcast_bytes=limit)
-        assert sorted(map(tuple, got.collect())) == want
+    assert sorted(map(tuple, keys.upsert_into_clean(clean, new, "k", "id").collect())) == want
 
 
 SKEW = dict(
@@ -156,7 +155,7 @@ def test_hot_null_key_on_the_left_is_split(spark):
 def test_hot_key_on_the_right_is_split(spark):
     left = spark.range(700).select(F.when(F.col("id") > 0, F.col("id").cast("string")).alias("k"), F.col("id").alias("u"))
     with settings(spark, **SKEW):
-        out = joins.left_merge_large_right(left, hot(spark), "k")
+        out = joins.left_merge_large_right(left, hot(spark), "k", max_null_matches=100_000)
         assert "skew=true" in final_plan(out)
     matched = hot(spark).where("k IS NULL OR k <> '0'").count()
     assert out.where("id IS NOT NULL").count() == matched
@@ -176,24 +175,46 @@ def test_form_with_a_third_of_the_cells_is_split(spark):
     assert out.count() == plain.count() and out.exceptAll(plain).count() == 0
 
 
-def test_only_measured_frames_are_broadcast(spark):
-    df = spark.createDataFrame([("abc", 1), (None, 2)], "k string, i int")
-    assert joins.broadcast_if_small(df, 67) is not None and joins.broadcast_if_small(df, 66) is None
-    assert joins.broadcast_if_small(df.where("i > 5"), 0) is not None
-    assert joins.broadcast_if_small(df.select(F.array("i").alias("a"))) is None
-    assert [r.i for r in joins.restrict_to(df, joins.broadcast_if_small(df.select("k")), "k").collect()] == [1]
-    assert joins.restrict_to(df, None, "k") is df
+def test_null_keys_match_up_to_a_limit(spark):
+    left = spark.createDataFrame([(None, 1), ("a", 2)], "k string, l int")
+    right = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("a", 4), ("a", 5)], "k string, r int")
+    for merge in (joins.left_merge, joins.left_merge_large_right):
+        assert merge(left, right, "k", max_null_matches=2).count() == 5
+        with pytest.raises(Exception, match="null key matches more than 1 rows"):
+            merge(left, right, "k", max_null_matches=1).collect()
 
 
-def test_products_are_broadcast_up_to_a_size(spark):
+def test_too_long_indexes_are_an_error(spark):
+    df = spark.range(12)
+    assert keys.with_load_id(df, "id", now=datetime(2024, 1, 1), digits=2, name="t").count() == 12
+    with pytest.raises(Exception, match="more than 1 digits"):
+        keys.with_load_id(df, "id", now=datetime(2024, 1, 1), digits=1, name="t").collect()
+
+
+def test_undeclared_attributes_are_an_error(spark):
+    cells = spark.createDataFrame([("f", "a", "1"), ("g", "b", "2"), ("g", None, "3")], "form_id string, name string, value string")
+    assert reshape.pivot_attributes(cells, "form_id", ["a"], ignore=["b"]).collect() == [("f", "1")]
+    for use in (lambda df: df.collect(), lambda df: df.select("form_id").collect()):
+        with pytest.raises(Exception, match="undeclared attribute: b"):
+            use(reshape.pivot_attributes(cells, "form_id", ["a"]))
+
+
+def test_slice_filters_take_plain_values_only(spark):
+    df = spark.createDataFrame([(1, None, True), (2, "x", False)], "d int, k string, f boolean")
+    cut = spine.cut_slices(df, [spine.Slice("none", ["k"], {"k": None}), spine.Slice("yes", ["k"], {"f": True})], "d")
+    assert sorted(r.slice_id for r in cut.collect()) == ["none", "yes"]
+    with pytest.raises(TypeError):
+        spine.cut_slices(df, [spine.Slice("s", ["k"], {"d": date(2024, 1, 1)})], "d")
+
+
+def test_sums_have_one_type_and_hot_products_are_summed_first(spark):
     p = F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(0).alias("p")
-    fact = spark.range(9000).select(F.lit(1).alias("d"), F.lit("g").alias("g"), p, F.lit(1).alias("v"))
+    fact = spark.range(9000).select(F.lit(1).alias("d"), F.lit("g").alias("g"), p, F.lit(1).cast("decimal(12,2)").alias("v"))
     products = spark.range(9000).select(F.col("id").alias("p"), (F.col("id") % 2).cast("string").alias("c"))
-    small = rollup.daily_by_category(fact, products, ["d", "g"], "p", "c", ["v"])
-    large = rollup.daily_by_category(fact, products, ["d", "g"], "p", "c", ["v"], broadcast_bytes=100)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect())) == [(1, "g", "0", 6000), (1, "g", "1", 3000)]
-    assert plan_of(small).count("partial_sum") < plan_of(large).count("partial_sum")
-    assert plan_of(large).rindex("partial_sum") > plan_of(large).index("Join")  # a hot product is summed before its join
+    out = rollup.daily_by_category(fact, products, ["d", "g"], "p", "c", ["v"])
+    assert sorted(map(tuple, out.collect())) == [(1, "g", "0", 6000), (1, "g", "1", 3000)]
+    assert dict(out.dtypes)["v"] == dict(fact.groupBy("d").agg(F.sum("v").alias("v")).dtypes)["v"] == "decimal(22,2)"
+    assert plan_of(out).rindex("partial_sum") > plan_of(out).index("Join")  # a hot product is summed before its join
 
 
 @pytest.mark.parametrize(
@@ -215,10 +236,10 @@ def test_date_ranges_reach_the_scan(spark, condition, bounds):
 
 
 # A query that writes or materialises runs when it is built, so plans are checked on the lazy ones.
-EAGER = {n for n in contract.queries() if n.endswith(("_k1", "_k2", "_k3_r5", "_w1", "_w3", "_w4", "_i1", "_o5", "_spans")) or n == "work_order_load"}
+EAGER = {n for n in QUERIES if n.endswith(("_k1", "_k2", "_k3_r5", "_w1", "_w3", "_w4", "_i1", "_o5", "_spans")) or n == "work_order_load"}
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
 def test_plans_stay_in_the_jvm_without_cross_joins(spark, name):
     plan = plan_of(contract.queries()[name](spark, BASE))
     with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1):  # as for tables too large to broadcast
@@ -243,16 +264,52 @@ def test_sinks_and_file_choice(spark, tmp_path):
         last_file(spark, str(tmp_path / "*.none"))
 
 
-def test_failed_version_is_ignored(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"))
-    df = spark.createDataFrame([("a", 1)], "k string, id int")
-    table.upsert(df, "k", "id")
-    broken = tmp_path / "t" / "version=00000002"
-    broken.mkdir()
-    (broken / "part-0.parquet").write_bytes(b"torn")
-    assert table.version() == 1 and table.read().count() == 1
-    assert table.upsert(spark.createDataFrame([("a", 2), ("b", 1)], "k string, id int"), "k", "id") == 3
-    assert sorted(map(tuple, table.read().collect())) == [("a", 2), ("b", 1)]
+def test_attributes_take_two_scans_where_none_is_repeated(spark, tmp_path):
+    rows = [(f, n, f"{f}{n}") for f in "pqr" for n in "ab" if (f, n) != ("r", "b")]
+    spark.createDataFrame(rows, "form_id string, name string, value string").write.parquet(str(tmp_path / "cells"))
+    header = spark.createDataFrame([(f,) for f in "pqrs"], "form_id string")
+    out = joins.attribute_joins(header, spark.read.parquet(str(tmp_path / "cells")), "form_id", {"x": "a", "y": "b"})
+    assert sorted(map(tuple, out.collect()), key=str) == [("p", "pa", "pb"), ("q", "qa", "qb"), ("r", "ra", None), ("s", None, None)]
+    assert "partial_max" in plan_of(out)
+
+
+def test_report_order_and_positions_survive_folders(spark, tmp_path):
+    df = spark.range(500).select((F.col("id") * 7919 % 500).alias("i"), F.concat(F.lit("r"), (F.col("id") % 3).cast("string")).alias("region"))
+    assert write_report(df.orderBy("i"), str(tmp_path / "r"), partition_by=["region"]) == 500
+    back = spark.read.parquet(str(tmp_path / "r"))
+    assert [r.i for r in back.orderBy("report_position").collect()] == list(range(500))
+    for folder in (tmp_path / "r").glob("region=*"):
+        for file in folder.glob("*.parquet"):
+            own = [r.i for r in spark.read.parquet(str(file)).collect()]
+            assert own == sorted(own)
+
+
+def test_versions_are_manifests(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), buckets=8)
+    frame = lambda *rows: spark.createDataFrame(list(rows), "k string, id int")
+    rows = lambda: sorted(map(tuple, table.read().collect()))
+    first = [(f"k{i}", i) for i in range(40)]
+    with settings(spark, spark__hadoop__mapreduce__fileoutputcommitter__marksuccessfuljobs="false"):  # no _SUCCESS files
+        assert table.upsert(frame(*first), "k", "id") == (1, 40)
+        before = table.manifest(1)["folders"]
+        stored = table.upsert(frame(("k3", 99), (None, 5)), "k", "id")
+    assert stored.version == 2 and stored.rows < 40  # one bucket was written
+    assert rows() == sorted([*(r for r in first if r[0] != "k3"), ("k3", 99)])
+    after = table.manifest(2)["folders"]
+    assert sum(before[b] != after[b] for b in before) == 1
+    torn = tmp_path / "t" / "data" / "torn"
+    torn.mkdir()
+    (torn / "part-0.parquet").write_bytes(b"torn")  # a load that failed before its manifest
+    assert table.version() == 2 and len(rows()) == 40
+    assert "torn" in table.vacuum() and table.versions() == [2] and len(rows()) == 40
+    table.upsert(frame(("k3", 1)), "k", "id")  # an older row changes nothing
+    assert ("k3", 99) in rows()
+    with pytest.raises(RuntimeError, match="someone else"):
+        table._commit(table.manifest(3), 3)
+    lost = tmp_path / "lost" / "data" / "x"
+    lost.mkdir(parents=True)
+    with pytest.raises(RuntimeError, match="no complete version"):
+        VersionedTable(spark, str(tmp_path / "lost")).upsert(frame(("a", 1)), "k", "id")
 
 
 def test_shared_folder_follows_the_cluster(spark):

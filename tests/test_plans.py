@@ -1,6 +1,7 @@
 """The reports on hand-made tables."""
 
 import json
+import os
 from datetime import date, datetime
 
 import pytest
@@ -236,16 +237,19 @@ def test_sales_followup(spark):
     assert sorted(r.realname for r in region.collect()) == ["bob", "cat"]
 
 
+OTHER_FIELDS = ["Date of Visit", "Order Amount Confirmed in the Meeting (CNY)", "Customer Contact Info", "Plan for tomorrow"]
+
+
 def test_work_reports(spark):
     t = crm_tables(spark)
-    df = work_reports(t["forms"], t["cells"], t["users"], ["Date of Report", "Plan for tomorrow", "Help needed"], NOW)
+    df = work_reports(t["forms"], t["cells"], t["users"], ["Date of Report", "Plan for tomorrow", "Help needed"], NOW, ignore=["Date of Visit"])
     rows = df.collect()
     assert [(r.form_id, r.Date_of_Report, r.Plan_for_tomorrow, r.Help_needed, r.region3) for r in rows] == [
         ("f3", "2023-07-04", "rest", None, None)  # a null e-mail finds no user here
     ]
     assert rows[0].sheet_name == "2023-07-04工作日报 f3" and rows[0].local_time == "2023-07-04 23:59:58"
     assert rows[0].form_key == "Daily report"
-    late = work_reports(t["forms"], t["cells"], t["users"], ["Date of Report"], NOW, form_key="7ErjR9Pu", inclusive_day=True)
+    late = work_reports(t["forms"], t["cells"], t["users"], ["Date of Report"], NOW, form_key="7ErjR9Pu", inclusive_day=True, ignore=OTHER_FIELDS)
     assert [r.form_id for r in late.collect()] == ["f4", "f1"]
     assert late.where("region3 = '欧洲大区'").count() == 2
 
@@ -350,24 +354,30 @@ def test_load_orders(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         table.read()
     many = [order(str(i % 12), MATNR=f"first{i}") for i in range(24)] + [order(None)]
-    assert load_orders(spark, land("a", many), table, stamp("2023-06-01 00:00:00")) == 1
+    assert load_orders(spark, land("a", many), table, stamp("2023-06-01 00:00:00")) == (1, 12)
     first = table.read()
     assert first.count() == 12
     assert {r.Product_Code for r in first.collect()} == {f"first{i}" for i in range(12, 24)}  # later rows of a batch win
-    assert load_orders(spark, land("b", order("3", MATNR="second")), table, stamp("2023-06-02 00:00:00")) == 2
+    assert load_orders(spark, land("b", order("3", MATNR="second")), table, stamp("2023-06-02 00:00:00")).version == 2
     second = {r.Order_Id: r.Product_Code for r in table.read().collect()}
     assert len(second) == 12 and second["3"] == "second" and second["4"] == "first16"
     before = sorted(map(str, table.read().collect()))
     load_orders(spark, str(tmp_path / "b"), table, stamp("2023-06-02 00:00:00"))
     assert sorted(map(str, table.read().collect())) == before  # the same batch again changes nothing
     older = load_orders(spark, land("c", order("3", MATNR="stale")), table, stamp("2023-05-01 00:00:00"))
-    assert table.version() == older
+    assert table.version() == older.version
     assert {r.Order_Id: r.Product_Code for r in table.read().collect()}["3"] == "second"
 
 
 def test_feed_order_follows_arrival(spark, tmp_path):
-    for name, numbers in (("1.json", ["b", "a"]), ("2.json", ["c"])):
-        (tmp_path / name).write_text(json.dumps({"DATA": [order(n) for n in numbers]}))
+    for age, (name, numbers) in enumerate((("feed_9.json", ["b", "a"]), ("feed_10.json", ["c", "b"]))):
+        (tmp_path / name).write_text(json.dumps({"DATA": [order(n, MATNR=name) for n in numbers]}))
+        os.utime(tmp_path / name, (1_700_000_000 + age, 1_700_000_000 + age))
     batch = order_batch(read_feed(spark, str(tmp_path)), NOW)
-    assert [r.Order_Id for r in batch.orderBy("id").collect()] == ["b", "a", "c"]
+    assert [(r.Order_Id, r.Product_Code) for r in batch.orderBy("id").collect()] == [
+        ("b", "feed_9.json"), ("a", "feed_9.json"), ("c", "feed_10.json"), ("b", "feed_10.json")
+    ]
+    (tmp_path / "feed_11.json").write_text(json.dumps({"ERROR": "busy"}))
+    with pytest.raises(Exception, match="a payload has no DATA"):
+        read_feed(spark, str(tmp_path)).collect()
     assert not [c for c in batch.columns if c.startswith("__")]
