@@ -29,6 +29,12 @@ def in_last_days(c: Column, as_of: date | datetime, days: int = 14) -> Column:
     return (c >= F.lit(end - timedelta(days=days))) & (c < F.lit(end))
 
 
+def in_last_days_int(c: Column, as_of: date | datetime, days: int = 14) -> Column:
+    """`in_last_days` for integer `yyyyMMdd` dates."""
+    end = _day(as_of)
+    return (c >= F.lit(int(f"{end - timedelta(days=days):%Y%m%d}"))) & (c < F.lit(int(f"{end:%Y%m%d}")))
+
+
 def in_last_days_text(c: Column, as_of: date | datetime, days: int = 14) -> Column:
     """`in_last_days` for `yyyy-MM-dd` text, whose text order is its date order."""
     end = _day(as_of)

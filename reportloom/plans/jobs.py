@@ -9,9 +9,12 @@ from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reportloom.plans.customer_months import customer_report
+from reportloom.functions.dates import report_header
+from reportloom.operators.project import with_header
+from reportloom.plans.customer_months import customer_months as customer_month_rows
+from reportloom.plans.customer_months import customer_report, region_spans
 from reportloom.plans.customer_status import customer_status
-from reportloom.plans.operations_daily import daily_series, from_backlog_table, from_order_table, from_shipment_table
+from reportloom.plans.operations_daily import daily_series, from_backlog_table, from_order_table, from_shipment_table, header_days
 from reportloom.plans.sales_followup import sales_report
 from reportloom.plans.shelf_life import shelf_life_report, stock_lots
 from reportloom.plans.visit_reports import visit_reports
@@ -24,9 +27,13 @@ from reportloom.sources.warehouse import read_table
 Read = Callable[[str], DataFrame]
 
 
+#: Sheet name of the two reports that come as one sheet.
+SHEET = "sheet"
+
+
 def operations_daily(read: Read, now: datetime, **options) -> DataFrame:
     """Options: `names`, the `DailyKpiNames` of the report."""
-    return daily_series(
+    series = daily_series(
         from_order_table(read("bos_so_correct")),
         from_shipment_table(read("bos_sa_correct")),
         from_backlog_table(read("bos_undelivered")),
@@ -35,12 +42,24 @@ def operations_daily(read: Read, now: datetime, **options) -> DataFrame:
         now.date(),
         **options,
     )
+    return with_header(series, report_header(now, SHEET), prefix="header_")
+
+
+_CUSTOMER_TABLES = ("bos_customer_state", "bos_so_correct", "bos_sa_correct", "crm_form", "crm_form_data")
 
 
 def customer_months(read: Read, now: datetime, **options) -> DataFrame:
     """Options: `groups`, the business groups that get a sheet."""
-    tables = ("bos_customer_state", "bos_so_correct", "bos_sa_correct", "crm_form", "crm_form_data")
-    return customer_report(*map(read, tables), now.date(), **options)
+    report = customer_report(*map(read, _CUSTOMER_TABLES), now.date(), **options)
+    return with_header(report, report_header(now, SHEET), prefix="header_")
+
+
+def customer_month_spans(read: Read, now: datetime, **options) -> DataFrame:
+    return region_spans(customer_month_rows(*map(read, _CUSTOMER_TABLES), now.date(), **options))
+
+
+def operations_header_days(read: Read, now: datetime, **options) -> DataFrame:
+    return header_days(read("product_last").sparkSession, now.date())
 
 
 def customer_states(read: Read, now: datetime, **options) -> DataFrame:
@@ -80,6 +99,13 @@ JOBS: dict[str, Callable[..., DataFrame]] = {
 }
 
 
+#: What belongs to a report beside its rows, by name: cells to merge and labelled days.
+PARTS: dict[str, dict[str, Callable[..., DataFrame]]] = {
+    "operations_daily": {"header_days": operations_header_days},
+    "customer_months": {"region_spans": customer_month_spans},
+}
+
+
 class Built(NamedTuple):
     """Folder and number of rows of a report."""
 
@@ -92,13 +118,16 @@ def build(
 ) -> Built:
     """Build one report from the tables under `tables`, in one folder per report, variant and day.
 
-    The report of one region has a folder of its own beside the full one.
+    The report of one region has a folder of its own beside the full one, and so has each of a report's `PARTS`.
     """
     variant = job if region is None else f"{job}/region={quote(region, safe='')}"
     if region is not None:
         options["region"] = region
-    df = JOBS[job](lambda name: read_table(spark, tables, name), now, **options)
+    read = lambda name: read_table(spark, tables, name)
+    df = JOBS[job](read, now, **options)
     folder = f"{out.rstrip('/')}/{variant}/built={now:%Y-%m-%d}"
+    for part, plan in PARTS.get(job, {}).items():
+        write_report(plan(read, now, **options), f"{out.rstrip('/')}/{variant}.{part}/built={now:%Y-%m-%d}", fmt, mode="overwrite")
     return Built(folder, write_report(df, folder, fmt, partition_by, mode="overwrite"))
 
 

@@ -8,8 +8,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from reportloom.functions.dates import day_label, in_last_days, in_last_days_text, int_date, text_date_to_int, weekend_style
+from reportloom.functions.dates import day_label, in_last_days, in_last_days_int, in_last_days_text, int_date, text_date_to_int, weekend_style
 from reportloom.functions.predicates import differs_or_null
 from reportloom.operators.rollup import LEVEL_ALL, LEVEL_DAY, LEVEL_GROUP, daily_by_category, report_sums, three_levels
 from reportloom.operators.spine import Slice, cut_slices, date_spine, fill_missing_days
@@ -24,13 +25,17 @@ KPI_COLUMNS = ["MA0", "MA1", *KPI_TEXTS]
 def trade_totals(
     facts: Mapping[str, DataFrame], products: DataFrame, groups: Sequence[str], as_of: date, left_out_of_backlog: str
 ) -> DataFrame:
-    """Three levels of daily totals per fact; facts have Date, Business_Group, product_code and the measures."""
-    recent = [
-        df.where(in_last_days(F.col("Date"), as_of, DAYS) & F.col("Business_Group").isin(list(groups))).select(
-            F.lit(name).alias("fact"), F.col("Date").cast("date").alias("Date"), "Business_Group", "product_code", *MEASURES
-        )
-        for name, df in facts.items()
-    ]
+    """Three levels of daily totals per fact; facts have Date, Business_Group, product_code and the measures.
+
+    `Date` is a date, a timestamp or an integer `yyyyMMdd`.
+    """
+    recent = []
+    for name, df in facts.items():
+        number = isinstance(df.schema["Date"].dataType, T.IntegralType)
+        within = (in_last_days_int if number else in_last_days)(F.col("Date"), as_of, DAYS)
+        day = F.to_date(F.col("Date").cast("string"), "yyyyMMdd") if number else F.col("Date").cast("date")
+        rows = df.where(within & F.col("Business_Group").isin(list(groups)))
+        recent.append(rows.select(F.lit(name).alias("fact"), day.alias("Date"), "Business_Group", "product_code", *MEASURES))
     daily = daily_by_category(
         reduce(DataFrame.unionByName, recent),
         products,

@@ -5,22 +5,21 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from reportloom.operators.joins import not_in_use
-from reportloom.operators.keys import upsert_latest
 from reportloom.plans import operations_daily as daily
 from reportloom.plans.customer_months import customer_months, customer_report, region_spans
 from reportloom.plans.customer_status import customer_status
+from reportloom.plans.jobs import load_work_orders
 from reportloom.plans.sales_followup import sales_report
 from reportloom.plans.settings import BACK_LINK, DAILY_BOOK, VISIT_BOOK
 from reportloom.plans.shelf_life import bom_view, parts_in_bom, shelf_life_report, stock_lots
 from reportloom.plans.visit_reports import visit_reports
-from reportloom.plans.work_orders import order_batch
 from reportloom.plans.work_reports import work_reports
 from reportloom.queries import standins as S
 from reportloom.queries.calendars import trade_sql
 from reportloom.queries.registry import query
 from reportloom.queries.reshaping import _PIVOT, _TALK
-from reportloom.queries.tables_in_out import feed_payloads
-from reportloom.sources.feed import feed_rows
+from reportloom.queries.tables_in_out import feed_payloads, land_feed, new_folder
+from reportloom.sinks.files import VersionedTable
 
 _LINK = BACK_LINK.replace("'", "''")
 
@@ -377,20 +376,32 @@ def scrap_candidates(spark, base):
     return not_in_use(lots, used, "product_code")
 
 
+_LOADS = (("2024-01-15", "<", datetime(2024, 1, 30, 10, 30)), ("2024-01-10", ">=", S.NOW))  # the second one repeats five days
+
+
 @query(
     "work_order_load",
     """WITH feed AS (
          SELECT event_id, 0 AS pos, event_id || CASE WHEN event_type = 'view' THEN 'a' ELSE '' END AS code, user_id, event_type, CAST(ts AS DATE) AS d FROM events
          UNION ALL SELECT event_id, 1, event_id || 'b', user_id, event_type, CAST(ts AS DATE) FROM events WHERE event_type = 'view'),
-       rows AS (SELECT *, row_number() OVER (ORDER BY event_id, pos) - 1 AS g, CASE WHEN event_type <> 'error' THEN d END AS e FROM feed)
+       loads AS (SELECT *, TIMESTAMP '2024-01-30 10:30:00' AS t FROM feed WHERE d < DATE '2024-01-15'
+                 UNION ALL SELECT *, TIMESTAMP '2024-01-31 10:30:00' FROM feed WHERE d >= DATE '2024-01-10'),
+       rows AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY d, event_id, pos) - 1 AS g, CASE WHEN event_type <> 'error' THEN d END AS e FROM loads)
        SELECT CAST(user_id AS VARCHAR) AS "Product_Code", code AS "Order_Id", strftime(e, '%Y-%m-%d') AS "End_Date", event_type AS "Order_Type",
               strftime(e - CAST((isodow(e) + 1) % 7 AS INTEGER), '%Y%m%d') || strftime(e - CAST((isodow(e) + 1) % 7 AS INTEGER) + 6, '%Y%m%d') AS week_date,
               CAST(e - CAST((isodow(e) + 1) % 7 AS INTEGER) AS DATE) AS week_start, CAST(e - CAST((isodow(e) + 1) % 7 AS INTEGER) + 6 AS DATE) AS week_end,
-              TIMESTAMP '2024-01-31 10:30:00' AS "timestamp", '20240131103000' || lpad(CAST(g AS VARCHAR), 12, '0') AS id
-       FROM rows QUALIFY rank() OVER (PARTITION BY user_id ORDER BY g DESC) = 1""",
+              t AS "timestamp", strftime(t, '%Y%m%d%H%M%S') || lpad(CAST(g AS VARCHAR), 12, '0') AS id
+       FROM rows QUALIFY t = max(t) OVER (PARTITION BY code)""",
 )
 def work_order_load(spark, base):
-    """The feed of all events, kept to the latest order of each product."""
-    rows = feed_rows(feed_payloads(spark, base), fields=["AUFNR", "MATNR", "GLTRP", "AUART"])
-    batch = order_batch(rows.withColumnRenamed("event_id", "__event"), S.NOW, "__event", "__pos")
-    return upsert_latest(batch.limit(0), batch, "Product_Code", "id")
+    """Payload files of one day each, landed twice and loaded into the versioned table; later loads of an order win."""
+    folder = new_folder(spark, "orders")
+    days = S.table(spark, base, "events").select("event_id", F.col("ts").cast("date").alias("day"))
+    payloads = feed_payloads(spark, base).join(days, "event_id")
+    for i, (day, side, now) in enumerate(_LOADS):
+        landed = f"{folder}/feed-{i}"
+        land_feed(payloads.where(f"day {side} DATE '{day}'"), landed)
+        load_work_orders(spark, f"{landed}/*", f"{folder}/table", now)
+    return VersionedTable(spark, f"{folder}/table").read().select(
+        "Product_Code", "Order_Id", "End_Date", "Order_Type", "week_date", "week_start", "week_end", "timestamp", "id"
+    )

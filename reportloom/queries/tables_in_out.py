@@ -1,6 +1,7 @@
 """Sources and sinks: feeds, file choice, appended and replaced tables, written reports."""
 
 import uuid
+from datetime import UTC, datetime
 
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from reportloom.sources.feed import feed_rows, limit_feed
 from reportloom.sources.files import newest_file
 
 
-def _new_folder(spark, name):
+def new_folder(spark, name):
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
@@ -41,6 +42,21 @@ def feed_payloads(spark, base):
     return S.table(spark, base, "events").select("event_id", data.alias("DATA"))
 
 
+def land_feed(payloads, folder):
+    """One JSON file per day; the files' times follow the days, as if each had arrived on its own."""
+    lists = F.when(F.startswith("DATA", F.lit("[")), F.expr("substring(DATA, 2, length(DATA) - 2)")).otherwise(F.col("DATA"))
+    ordered = F.array_sort(F.collect_list(F.struct("event_id", lists.alias("orders"))))
+    joined = F.array_join(F.transform(ordered, lambda x: x["orders"]), ",")
+    files = payloads.groupBy("day").agg(F.concat(F.lit('{"DATA": ['), joined, F.lit("]}")).alias("value"))
+    spark = payloads.sparkSession
+    files.repartition("day").write.partitionBy("day").text(folder)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.globStatus(path(f"{folder}/day=*/part-*")):
+        day = datetime.strptime(status.getPath().getParent().getName(), "day=%Y-%m-%d")
+        fs.setTimes(status.getPath(), int(day.replace(tzinfo=UTC).timestamp() * 1000), -1)
+
+
 _FEED = """WITH feed AS (
      SELECT event_id, 0 AS pos, event_id || CASE WHEN event_type = 'view' THEN 'a' ELSE '' END AS code, user_id, event_type, ts FROM events
      UNION ALL SELECT event_id, 1, event_id || 'b', user_id, event_type, ts FROM events WHERE event_type = 'view')"""
@@ -86,7 +102,7 @@ def newest(spark, base):
     "SELECT event_id, user_id FROM events WHERE event_type <> 'view' UNION ALL SELECT event_id, user_id FROM events WHERE event_type <> 'click'",
 )
 def appended_batches(spark, base):
-    folder = _new_folder(spark, "appended")
+    folder = new_folder(spark, "appended")
     events = S.table(spark, base, "events")
     append_rows(events.where("event_type <> 'view'").select("event_id", "user_id"), folder)
     append_rows(events.where("event_type <> 'click'").select("event_id", "user_id"), folder)
@@ -115,7 +131,7 @@ def upserted_rows(spark, base):
 @query("versioned_table_k2", _LATEST)
 def versioned_table(spark, base):
     early, late = _batches(spark, base)
-    orders = VersionedTable(spark, _new_folder(spark, "versions"))
+    orders = VersionedTable(spark, new_folder(spark, "versions"))
     for batch in (early, late, late):
         orders.upsert(batch, "user_id", "event_id")
     return orders.read().select("user_id", "event_id", "event_type", "value")
@@ -127,7 +143,7 @@ def versioned_table(spark, base):
        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
 )
 def partitioned_report(spark, base):
-    folder = _new_folder(spark, "report")
+    folder = new_folder(spark, "report")
     report = S.customer_places(spark, base).select("c_custkey", "n_name", "r_name").orderBy("c_custkey")
     write_report(report, folder, partition_by=["r_name"])
     return with_dense_index(spark.read.parquet(folder), "report_position", name="position").select("c_custkey", "n_name", "r_name", "position")

@@ -28,8 +28,11 @@ def read_database(
     bounds: tuple[object, object] | None = None,
     splits: int = 64,
     properties: dict[str, str] | None = None,
+    one_task: bool = False,
 ) -> DataFrame:
-    """A table behind JDBC, read in `splits` ranges of `split_column` so that no task reads all of it."""
+    """A table behind JDBC, read in `splits` ranges of `split_column`; `one_task` allows a small table to be read whole."""
+    if split_column is None and not one_task:
+        raise ValueError("name a split column with its bounds, or allow one task to read the table")
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     for key, value in (properties or {}).items():
         reader = reader.option(key, value)

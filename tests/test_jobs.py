@@ -1,10 +1,13 @@
 """Reports built from stored tables to stored files."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from reportloom.plans import jobs
-from test_plans import NAMES, NOW, OTHER_FIELDS, VISIT_FIELDS, crm_tables, customer_inputs, daily_inputs
+from reportloom.sinks.files import VersionedTable
+from test_plans import NAMES, NOW, OTHER_FIELDS, VISIT_FIELDS, crm_tables, customer_inputs, daily_inputs, order, stock_inputs
 
 
 def store(base, **tables):
@@ -47,6 +50,7 @@ def warehouse(spark, tmp_path_factory):
         bos_undelivered=backlog.withColumnsRenamed(backlog_names),
         product_last=products,
         oa_form=kpis,
+        **dict(zip(("WW_RMInventory", "Product", "ProductRoot", "Workcenter", "Cell", "Factory"), stock_inputs(spark), strict=True)),
     )
     return base
 
@@ -56,6 +60,7 @@ CASES = {
     "customer_months": (dict(groups=["G1"]), lambda df: {r.BOS_Group_Id: float(r.this_month_order_amount) for r in df.collect()} == {"k1": 320.0, "k2": 0.0}),
     "customer_status": ({}, lambda df: df.count() == 3),
     "sales_followup": ({}, lambda df: df.count() == 4),
+    "shelf_life": (dict(factory="松岗"), lambda df: df.count() > 0 and df.select("report_date").distinct().count() == 1),
     "work_reports": (dict(attributes=["Date of Report"], ignore=OTHER_FIELDS), lambda df: df.count() == 1),
     "visit_reports": (dict(attributes=VISIT_FIELDS, comment_order="n"), lambda df: df.count() == 2),
 }
@@ -80,4 +85,23 @@ def test_build_by_region(spark, warehouse, tmp_path):
 
 
 def test_every_job_is_known():
-    assert set(jobs.JOBS) == set(CASES) | {"shelf_life"}
+    assert set(jobs.JOBS) == set(CASES)
+
+
+def test_parts_of_reports_stand_beside_them(spark, warehouse, tmp_path):
+    folder, _ = jobs.build(spark, "operations_daily", warehouse, str(tmp_path), NOW, names=NAMES)
+    assert {r.header_report_date for r in spark.read.parquet(folder).select("header_report_date").collect()} == {"2023-07-04"}
+    days = spark.read.parquet(str(tmp_path / "operations_daily.header_days" / "built=2023-07-05"))
+    assert days.count() == 14 and {"label", "style"} < set(days.columns)
+    jobs.build(spark, "customer_months", warehouse, str(tmp_path), NOW, groups=["G1"])
+    spans = spark.read.parquet(str(tmp_path / "customer_months.region_spans" / "built=2023-07-05"))
+    assert spans.columns == ["Business_Group_Name", "Business_Region", "first_row", "last_row"]
+    assert sum(r.last_row - r.first_row + 1 for r in spans.collect()) == 2
+
+
+def test_load_work_orders(spark, tmp_path):
+    (tmp_path / "feed").mkdir()
+    (tmp_path / "feed" / "a.json").write_text(json.dumps({"DATA": [order("1"), order("2")]}))
+    for i in range(3):
+        stored = jobs.load_work_orders(spark, str(tmp_path / "feed"), str(tmp_path / "table"), NOW, keep_versions=2)
+    assert stored == (3, 2) and VersionedTable(spark, str(tmp_path / "table")).versions() == [2, 3]

@@ -73,6 +73,13 @@ def daily_inputs(spark):
     )
 
 
+def test_integer_dates(spark):
+    inputs = daily_inputs(spark)
+    numbers = [df.withColumn("Date", F.date_format("Date", "yyyyMMdd").cast("int")) for df in inputs[:3]]
+    one, two = (sorted(map(str, daily.daily_series(*facts, *inputs[3:], AS_OF, NAMES).collect())) for facts in (inputs[:3], numbers))
+    assert one == two
+
+
 def test_daily_series(spark):
     assert len(daily.daily_slices(NAMES)) == 81
     df = daily.daily_series(*daily_inputs(spark), AS_OF, NAMES)
@@ -277,8 +284,7 @@ def test_visit_reports(spark):
     assert visit_reports(*args, NOW, comment_order="n", region="南美").count() == 0
 
 
-def test_shelf_life(spark):
-    now = stamp("2023-07-05 08:00:00")
+def stock_inputs(spark):
     lots = [
         # product, centre, quantity, entry, issued, status, lot
         ("P1", "W1", 1.0, stamp("2023-06-25 08:00:00"), None, 0, "today"),  # 10 days of 10
@@ -303,7 +309,12 @@ def test_shelf_life(spark):
     centres = spark.createDataFrame([("W1", "1102", "松岗一"), ("W2", "1103", "寮步"), ("W3", "7777", "松岗二")], "WorkcenterId string, WorkcenterName string, WorkcenterDescription string")
     cells = spark.createDataFrame([("zz", "cell")], "CellId string, CellName string")
     factories = spark.createDataFrame([("x", "factory")], "FactoryId string, FactoryName string")
-    stock = stock_lots(inventory, products, roots, centres, cells, factories, factory="松岗")
+    return inventory, products, roots, centres, cells, factories
+
+
+def test_shelf_life(spark):
+    now = stamp("2023-07-05 08:00:00")
+    stock = stock_lots(*stock_inputs(spark), factory="松岗")
     rows = shelf_life_report(stock, now).collect()
     assert [(r.LotSN, r.days_until_expiration, r.days_style) for r in rows] == [
         ("minus1", -1, "BG:H"), ("minus2", -2, "BG:H"), ("today", 0, "BG:I"), ("partial", 0, "BG:I"), ("plus2", 2, "BG:I"),
