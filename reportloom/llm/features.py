@@ -84,6 +84,18 @@ class Sparse:
         self.count = np.concatenate([np.asarray(c, np.float64) for c in counts]) if self.rows else np.zeros(0)
         self.value = np.ones(len(self.column))
 
+    @classmethod
+    def collected(cls, table: pa.Table) -> Sparse:
+        """From feature rows collected as Arrow; no Python object is made for a number."""
+        buckets, counts = (table[name].combine_chunks() for name in ("buckets", "counts"))
+        out = cls([], [])
+        out.rows = len(buckets)
+        out.row = np.repeat(np.arange(out.rows), buckets.value_lengths().to_numpy(zero_copy_only=False))
+        out.column = buckets.flatten().to_numpy().astype(np.int64)
+        out.count = counts.flatten().to_numpy().astype(np.float64)
+        out.value = np.ones(len(out.column))
+        return out
+
     def keep_frequent(self, least: int) -> None:
         self.keep(np.bincount(self.column, minlength=BUCKETS)[self.column] >= least)
 

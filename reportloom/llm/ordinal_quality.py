@@ -76,11 +76,11 @@ def train(docs: DataFrame, ratings: DataFrame, rating: str = "quality") -> Ordin
     if len(grades) < 2:
         return OrdinalModel(grades or [0], np.zeros(BUCKETS), np.zeros(0))
     sample = reduce(DataFrame.unionByName, (bounded_sample(rated.where(F.col("grade") == g), MAX_RATED) for g in grades))
-    rows = feature_rows(sampled_texts(docs, sample, "grade"), "grade", tails=True).toPandas()
-    data = Sparse(list(rows.buckets), list(rows.counts))
+    rows = feature_rows(sampled_texts(docs, sample, "grade"), "grade", tails=True).toArrow()
+    data = Sparse.collected(rows)
     data.value = root_shares(data.row, data.count, data.rows)
     data.keep_frequent(LEAST_TEXTS)
-    grade = np.searchsorted(grades, rows.grade.to_numpy())
+    grade = np.searchsorted(grades, rows["grade"].to_numpy())
     drawn = np.maximum(np.bincount(grade, minlength=len(grades)), 1)
     share = np.array([sizes[g] for g in grades]) / sum(sizes.values())
     weights, thresholds = fit_ordinal(data, grade, len(grades), (share / drawn)[grade])

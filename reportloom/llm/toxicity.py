@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
@@ -81,11 +82,8 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     toxic = bounded_sample(known.where("toxic = 1").select("doc_id").distinct(), MAX_POSITIVE).withColumn("role", F.lit(1).cast("long"))
     others = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     others = bounded_sample(others.distinct(), MAX_UNLABELLED).withColumn("role", F.lit(0).cast("long"))
-    rows = feature_rows(sampled_texts(docs, toxic.unionByName(others), "role"), "role").toPandas()
-    sets = []
-    for role in (1, 0):
-        own = rows[rows.role == role]
-        sets.append(Sparse(list(own.buckets), list(own.counts)))
+    rows = feature_rows(sampled_texts(docs, toxic.unionByName(others), "role"), "role").toArrow()
+    sets = [Sparse.collected(rows.filter(pc.equal(rows["role"], role))) for role in (1, 0)]
     if not sets[0].rows:
         return ToxicityModel(np.zeros(BUCKETS), -40.0)
     screen(*sets)
