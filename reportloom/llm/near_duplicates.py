@@ -6,8 +6,10 @@ all registers. Two texts agree in a register with the probability Jaccard simila
 into bands; texts that share a band are candidates, and a candidate pair counts if its similarity, computed from both whole
 texts, is at least `THRESHOLD`. Classes are the connected components of the verified links.
 
-Texts that are equal are one node, so copies are never paired. Within a band bucket, each member is compared with one leader, a
-linear number of pairs; then, with other leaders, members that are still in another class, until a round finds no link.
+Texts that are equal are one node, so copies are never paired. Within a band bucket each member is compared with a leader, a
+linear number of pairs, and in further turns with other leaders as long as it is in another class than they are. Like the
+number of bands, the number of turns decides how surely a link is met: it has to be in reach of a leader in one of the buckets
+that both texts share, or to follow from other links.
 
 Cases: a null text is empty; texts without words are one class; texts of fewer than five words have one shingle of all words;
 rows that agree in doc_id and text are one document; a null doc_id is the last of its class; an empty table gives an empty
@@ -31,6 +33,8 @@ from .kernels import as_long, mix, running_sums, slices, spans, strings, words_o
 SHINGLE_WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 6
 REGISTERS = BANDS * ROWS
+#: Turns of comparison with leaders, and leaders of a bucket in each turn after the first.
+TURNS, LEADERS = 3, 3
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,6 +129,12 @@ def similarities(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return arrow_step(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"), step, "a long, b long, similarity double")
 
 
+def _relabelled(labels: DataFrame, joined: DataFrame) -> DataFrame:
+    """`labels` after classes were joined; `joined` gives the new label of each class that has one."""
+    moved = labels.join(joined.select(F.col("key").alias("label"), F.col("label").alias("new")), "label", "left")
+    return moved.select("key", F.coalesce("new", "label").alias("label")).unionByName(joined)
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """For each row of `docs`: `doc_id`, `key`, `class_id` (least doc_id of its class), `first_key` and `n_rows`.
 
@@ -137,26 +147,32 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     members = written(buckets.join(shared, "bucket"), "band-members")
     source = texts(docs).withColumn("key", text_key(F.col("text")))
     nodes = written(source.join(members.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "candidate-texts")
-    links = tested = labels = None
-    for turn in count():
-        order = F.xxhash64(F.lit(turn), "key") if turn else F.col("key")
+    tested = labels = None
+    for turn in range(TURNS):
         now = members.withColumn("class", F.col("key"))
         if labels is not None:
             now = members.join(labels, "key", "left").select("bucket", "key", F.coalesce("label", "key").alias("class"))
-        leaders = now.groupBy("bucket").agg(
-            F.min_by("key", order).alias("leader"), F.min_by("class", order).alias("leader_class"), F.min("class").alias("least"), F.max("class").alias("most")
-        )
-        leaders = written(leaders.where("least < most"), "leaders")
-        pairs = now.join(leaders, "bucket").where("class <> leader_class")
-        pairs = pairs.select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).distinct()
+        # The first turn has the least key of a bucket as leader, which is the same one in most buckets of a group.
+        orders = [F.xxhash64(F.lit(turn * LEADERS + i), "key") for i in range(LEADERS)] if turn else [F.col("key")]
+        chosen = F.array_distinct(F.array(*[F.struct(F.min_by("key", o).alias("key"), F.min_by("class", o).alias("class")) for o in orders]))
+        leaders = now.groupBy("bucket").agg(chosen.alias("leaders"), F.min("class").alias("least"), F.max("class").alias("most"))
+        leaders = written(leaders.where("least < most").select("bucket", "leaders"), "leaders")
+        pairs = now.join(leaders, "bucket").select("key", "class", F.explode("leaders").alias("leader")).where("class <> leader.class")
+        first = F.col("key") < F.col("leader.key")
+        pairs = pairs.select(
+            F.least("key", "leader.key").alias("a"),
+            F.greatest("key", "leader.key").alias("b"),
+            F.when(first, F.col("class")).otherwise(F.col("leader.class")).alias("class_a"),
+            F.when(first, F.col("leader.class")).otherwise(F.col("class")).alias("class_b"),
+        ).distinct()
         pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "candidate-pairs")
         if pairs.isEmpty():
             break
-        found = written(similarities(pairs, nodes).where(F.col("similarity") >= threshold).select("a", "b"), "links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
+        found = written(similarities(pairs, nodes).where(F.col("similarity") >= threshold), "links")
+        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
         if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            labels = components(links)
+            joined = components(found.join(pairs, ["a", "b"]).select(F.col("class_a").alias("a"), F.col("class_b").alias("b")))
+            labels = joined if labels is None else written(_relabelled(labels, joined), "labels")
         elif turn:
             break
     each = rows.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n_rows"))
