@@ -7,9 +7,10 @@ into bands; texts that share a band are candidates, and a candidate pair counts
 texts, is at least `THRESHOLD`. Classes are the connected components of the verified links.
 
 Texts that are equal are one node, so copies are never paired. Within a band bucket each member is compared with a leader, a
-linear number of pairs, and in further turns with other leaders as long as it is in another class than they are. Like the
-number of bands, the number of turns decides how surely a link is met: it has to be in reach of a leader in one of the buckets
-that both texts share, or to follow from other links.
+linear number of pairs, and in further turns with other leaders as long as it is in another class than they are. The turns only
+save work. Buckets that still hold several classes are then cut into blocks of bounded size, and each two blocks are compared
+as a whole: shared weights, by products of matrices, bound the similarity of each pair from above, and pairs that the bound
+does not exclude are computed from both texts. So each two texts that share a band are in one class or known to have no link.
 
 Cases: a null text is empty; texts without words are one class; texts of fewer than five words have one shingle of all words;
 rows that agree in doc_id and text are one document; a null doc_id is the last of its class; an empty table gives an empty
@@ -19,7 +20,7 @@ result; further columns are kept, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import count
+from itertools import count, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,10 @@ BANDS, ROWS = 24, 6
 REGISTERS = BANDS * ROWS
 #: Turns of comparison with leaders, and leaders of a bucket in each turn after the first.
 TURNS, LEADERS = 3, 3
+#: Texts and bytes of a block, about, and shingles in a product of matrices.
+BLOCK_TEXTS, BLOCK_BYTES, CHUNK = 512, 4 << 20, 2048
+#: Room for the rounding of the products.
+ROUNDING = 1e-3
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -71,7 +76,7 @@ def registers_of(text: np.ndarray, hashes: np.ndarray, weights: np.ndarray, n: i
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """`doc_id`, `key` of the text, and `bands`: a hash for each band of registers."""
+    """`doc_id`, `key` of the text, `bands`: a hash for each band of registers, and `size`: bytes of the text."""
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         data, offsets = strings(batch["text"])
@@ -82,9 +87,10 @@ def signatures(docs: DataFrame) -> DataFrame:
             numbers = np.tile(np.arange(BANDS, dtype=np.uint64), j - i)
             bands = mix(spans(running_sums(values), starts, starts + ROWS) + numbers, 3)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(bands) + 1, BANDS), pa.int32()), pa.array(as_long(bands)))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(i, j - i), batch["key"].slice(i, j - i), lists], ["doc_id", "key", "bands"])
+            sizes = pa.array(np.diff(offsets[i : j + 1]))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(i, j - i), batch["key"].slice(i, j - i), lists, sizes], ["doc_id", "key", "bands", "size"])
 
-    return arrow_step(texts(docs).withColumn("key", text_key(F.col("text"))), step, "doc_id long, key long, bands array<long>")
+    return arrow_step(texts(docs).withColumn("key", text_key(F.col("text"))), step, "doc_id long, key long, bands array<long>, size long")
 
 
 def probability_jaccard(a: dict[int, float] | tuple, b: dict[int, float] | tuple) -> float:
@@ -129,6 +135,110 @@ def similarities(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return arrow_step(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"), step, "a long, b long, similarity double")
 
 
+def upper_bounds(text: np.ndarray, hashes: np.ndarray, weights: np.ndarray, n: int, split: int) -> np.ndarray:
+    """At least the similarity of each text below `split` to each one from there on; with `split` = `n`, of all to all.
+
+    With A and B the whole weights of two texts and a and b the weights of their shared shingles, a term of the similarity is at
+    most a concave function of degree 1 of its two weights, so the sum is at most that of the sums: 1 / (A / a + B / b - 1).
+    """
+    whole = np.bincount(text, weights, n)
+    rows, columns = np.arange(split), np.arange(split if split < n else 0, n)
+    _, place = np.unique(hashes, return_inverse=True)
+    kinds = place.max(initial=-1) + 1
+    if split < n:
+        shared = (np.bincount(place[text < split], minlength=kinds) > 0) & (np.bincount(place[text >= split], minlength=kinds) > 0)
+    else:
+        shared = np.bincount(place, minlength=kinds) > 1
+    kept = shared[place]
+    text, weights, place = text[kept], weights[kept], (np.cumsum(shared) - 1)[place[kept]]
+    order = np.argsort(place, kind="stable")
+    text, weights, place = text[order], weights[order], place[order]
+    left, right = np.zeros((len(rows), len(columns))), np.zeros((len(rows), len(columns)))
+    for low in range(0, int(shared.sum()), CHUNK):
+        i, j = np.searchsorted(place, [low, low + CHUNK])
+        x = np.zeros((n, CHUNK), np.float32)
+        x[text[i:j], place[i:j] - low] = weights[i:j]
+        held = (x > 0).astype(np.float32)
+        left += x[rows] @ held[columns].T
+        right += held[rows] @ x[columns].T
+    with np.errstate(divide="ignore", invalid="ignore"):
+        bounds = 1 / (whole[rows][:, None] / left + whole[columns][None, :] / right - 1)
+    return np.where(left > 0, bounds, 0.0)
+
+
+def links_between(classes: list[int], texts: list[str], split: int, threshold: float) -> list[tuple[int, int]]:
+    """Pairs of classes that links join: links of the texts below `split` with the others, or among all if there are no others.
+
+    Of links that join the same classes, directly or by way of others, one is enough.
+    """
+    n = len(texts)
+    each = list(_by_text(pa.array(texts, pa.string())))
+    text = np.repeat(np.arange(n), [len(h) for h, _ in each])
+    bounds = upper_bounds(text, np.concatenate([h for h, _ in each]), np.concatenate([w for _, w in each]), n, split)
+    own = np.array(classes)
+    shift = split if split < n else 0
+    open_ones = (bounds >= threshold - ROUNDING) & (own[:split, None] != own[None, shift:])
+    if not shift:
+        open_ones &= np.tri(n, k=-1, dtype=bool).T
+    i, j = np.nonzero(open_ones)
+    order = np.argsort(-bounds[i, j], kind="stable")
+    parent = {c: c for c in classes}
+
+    def root(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    found = []
+    for x, y in zip(i[order].tolist(), (j[order] + shift).tolist(), strict=True):
+        a, b = root(classes[x]), root(classes[y])
+        if a != b and probability_jaccard(each[x], each[y]) >= threshold:
+            parent[b] = a
+            found.append((classes[x], classes[y]))
+    return found
+
+
+def remaining_links(now: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """`a`, `b`: classes that a link within a bucket joins, all of them or as it follows from others.
+
+    `now` has `bucket`, `key`, `size` of the text and `class`. A class that fills more than one block gets blocks of its own, which
+    are not compared with each other; the other classes are dealt into blocks as a whole. So different blocks hold different
+    classes, and the work is a product of two classes' sizes, never the square of one.
+    """
+    parts = lambda n, size: F.ceil(F.greatest(n / BLOCK_TEXTS, size / BLOCK_BYTES)).cast("int")
+    totals = now.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("least"), F.max("class").alias("most"))
+    # Both members of a pair have met: one of them was the leader.
+    still = written(totals.where("least < most and n > 2").select("bucket"), "open-buckets")
+    now = now.join(still, "bucket")
+    sizes = now.groupBy("bucket", "class").agg(parts(F.count(F.lit(1)), F.sum("size")).alias("own"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    sizes = written(sizes, "class-sizes")
+    small = sizes.where("own <= 1").groupBy("bucket").agg(parts(F.sum("n"), F.sum("size")).alias("dealt"))
+    dealt = written(sizes.join(small, "bucket", "left").select("bucket", "class", "own", F.greatest(F.coalesce("dealt", F.lit(1)), F.lit(1)).alias("dealt")), "class-blocks")
+    owner = F.when(F.col("own") > 1, F.col("class"))
+    alone = F.concat(F.col("class"), F.lit(":"), F.pmod(F.xxhash64("key"), F.col("own")))
+    block = F.when(F.col("own") > 1, alone).otherwise(F.concat(F.lit(":"), F.pmod(F.xxhash64("class"), F.col("dealt"))))
+    placed = written(now.join(dealt, ["bucket", "class"]).select("bucket", "key", "class", owner.alias("owner"), block.alias("block")), "blocks")
+    blocks = placed.groupBy("bucket", "block").agg(F.first("owner").alias("owner"), (F.min("class") < F.max("class")).alias("several"))
+    blocks = written(blocks, "block-list")
+    x, y = (blocks.select("bucket", *(F.col(c).alias(f"{c}_{side}") for c in ("block", "owner", "several"))) for side in "xy")
+    two = x.join(y, "bucket").where("block_x < block_y and not coalesce(owner_x = owner_y, false) or block_x = block_y and several_x")
+    sides = F.array_distinct(F.array(F.struct(F.lit(0).alias("side"), F.col("block_x").alias("block")), F.struct(F.when(F.col("block_x") < F.col("block_y"), 1).otherwise(0).alias("side"), F.col("block_y").alias("block"))))
+    tasks = two.select("bucket", F.xxhash64("bucket", "block_x", "block_y").alias("task"), F.explode(sides).alias("one"))
+    tasks = written(tasks.select("bucket", "task", "one.side", "one.block"), "block-pairs")
+    dealt_out = placed.join(tasks, ["bucket", "block"]).select("task", "side", "key", "class").join(nodes.select("key", "text"), "key")
+    dealt_out = dealt_out.repartition("task").sortWithinPartitions("task", "side").select("task", "side", "class", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        for _, group in groupby(rows, key=lambda r: r[0]):
+            _, side, own, held = zip(*group, strict=True)
+            found = links_between(own, held, side.count(0), threshold)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
+
+    return dealt_out.mapInArrow(run, "a long, b long")
+
+
 def _relabelled(labels: DataFrame, joined: DataFrame) -> DataFrame:
     """`labels` after classes were joined; `joined` gives the new label of each class that has one."""
     moved = labels.join(joined.select(F.col("key").alias("label"), F.col("label").alias("new")), "label", "left")
@@ -141,17 +251,21 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     `first_key` is the key of the document that stays for the class; `n_rows` counts the rows that agree in doc_id and key.
     """
     rows = written(signatures(docs), "signatures")
-    buckets = rows.dropDuplicates(["key"]).select("key", F.explode("bands").alias("bucket"))
+    buckets = rows.dropDuplicates(["key"]).select("key", "size", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     shared = written(shared, "shared-buckets")
     members = written(buckets.join(shared, "bucket"), "band-members")
     source = texts(docs).withColumn("key", text_key(F.col("text")))
     nodes = written(source.join(members.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "candidate-texts")
     tested = labels = None
+
+    def classed() -> DataFrame:
+        if labels is None:
+            return members.withColumn("class", F.col("key"))
+        return members.join(labels, "key", "left").select("bucket", "key", "size", F.coalesce("label", "key").alias("class"))
+
     for turn in range(TURNS):
-        now = members.withColumn("class", F.col("key"))
-        if labels is not None:
-            now = members.join(labels, "key", "left").select("bucket", "key", F.coalesce("label", "key").alias("class"))
+        now = classed()
         # The first turn has the least key of a bucket as leader, which is the same one in most buckets of a group.
         orders = [F.xxhash64(F.lit(turn * LEADERS + i), "key") for i in range(LEADERS)] if turn else [F.col("key")]
         chosen = F.array_distinct(F.array(*[F.struct(F.min_by("key", o).alias("key"), F.min_by("class", o).alias("class")) for o in orders]))
@@ -175,6 +289,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             labels = joined if labels is None else written(_relabelled(labels, joined), "labels")
         elif turn:
             break
+    rest = written(remaining_links(classed(), nodes, threshold), "remaining-links")
+    if not rest.isEmpty():
+        joined = components(rest)
+        labels = joined if labels is None else written(_relabelled(labels, joined), "labels")
     each = rows.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n_rows"))
     each = each.withColumn("class", F.col("key")) if labels is None else each.join(labels, "key", "left").withColumn("class", F.coalesce("label", "key"))
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("key"))

@@ -141,6 +141,65 @@ def test_near_duplicate_classes(spark, seed):
     assert near.classes(frame(spark, rows).limit(0)).count() == 0
 
 
+def family(rng, n=500, length=100):
+    """Variants of one text, mostly a little under the threshold, and to each third one a copy with one more change."""
+    base = [f"base{i}" for i in range(length)]
+    rows = []
+    for i in range(n):
+        own = list(base)
+        for place in rng.sample(range(8, length - 8), 3):
+            own[place] = f"own{i}x{place}"
+        rows.append((i, " ".join(own)))
+        if i % 3 == 0:
+            own[-1] = f"last{i}"
+            rows.append((1000 + i, " ".join(own)))
+    return rows
+
+
+@pytest.mark.parametrize("block", [near.BLOCK_TEXTS, 40])
+def test_links_in_a_large_family_are_all_met(spark, monkeypatch, block):
+    import numpy as np
+    import pyarrow as pa
+
+    from reportloom.llm.kernels import strings
+
+    monkeypatch.setattr(near, "BLOCK_TEXTS", block)
+    rows = family(random.Random(7))
+    data, offsets = strings(pa.array([t for _, t in rows]))
+    text, hashes, weights = near.shingles(data, offsets)
+    held = near.registers_of(text, hashes, weights, len(rows)).reshape(len(rows), near.BANDS, near.ROWS)
+    each = [(hashes[text == i], weights[text == i]) for i in range(len(rows))]
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in (np.flatnonzero((held[i + 1 :] == held[i]).all(2).any(1)) + i + 1).tolist():
+            if find(i) != find(j) and near.probability_jaccard(each[i], each[j]) >= near.THRESHOLD:
+                a, b = sorted((find(i), find(j)), key=lambda k: rows[k][0])
+                parent[b] = a
+    want = {rows[i][0]: rows[find(i)][0] for i in range(len(rows))}
+    assert 50 < len(set(want.values())) < 0.9 * len(rows)
+    assert {r.doc_id: r.class_id for r in near.classes(frame(spark, rows)).collect()} == want
+
+
+def test_bound_is_never_under_the_similarity():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 2**63, 60).astype(np.uint64)
+    each = [(rng.choice(pool, k, replace=False), 1 + np.log(rng.integers(1, 9, k))) for k in rng.integers(1, 60, 30)]
+    text = np.repeat(np.arange(30), [len(h) for h, _ in each])
+    hashes, weights = (np.concatenate(c) for c in zip(*each, strict=True))
+    every, some = near.upper_bounds(text, hashes, weights, 30, 30), near.upper_bounds(text, hashes, weights, 30, 11)
+    assert np.allclose(every[:11, 11:], some, atol=1e-4)
+    for i, j in itertools.permutations(range(30), 2):
+        assert every[i, j] + near.ROUNDING >= near.probability_jaccard(each[i], each[j])
+
+
 def test_registers_estimate_the_similarity():
     import numpy as np
 
