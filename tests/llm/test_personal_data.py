@@ -60,6 +60,21 @@ def test_checksums_and_context():
     assert p.score("ip 1.2.3.4", "ip", 3, 10) > p.score("version 1.2.3.4", "ip", 8, 15)
 
 
+def test_ibans_end_where_they_should():
+    found = lambda text: [text[s:e] for s, e in p.ibans(text)]
+    grouped, plain_one = "DE89 3704 0044 0532 0130 00", "DE89370400440532013000"
+    assert found(f"IBAN {grouped} BIC COBADEFFXXX") == [grouped]
+    assert found(f"{plain_one} 2024") == found(f"{plain_one} I paid") == found(f"A {plain_one}, B") == [plain_one]
+    assert found(f"{plain_one} {grouped} NO93 8601 1117 947 BIC") == [plain_one, grouped, "NO93 8601 1117 947"]
+    assert found(f"AB12 {grouped}") == [grouped]  # a start that fails hides nothing behind it
+    assert found("DE88 3704 0044 0532 0130 00 BIC") == found(f"{plain_one}X") == found(f"X{plain_one}") == []
+    # A country that the table lacks: the end is found by the checksum.
+    rest = "0044053201300012"
+    check = next(f"{n:02}" for n in range(2, 99) if p.mod97(f"ZZ{n:02}{rest}"))
+    assert found(f"ZZ{check}{rest} BIC COBA") == [f"ZZ{check}{rest}"]
+    p.find("DE89 " * 100_000 + "DE89370400440532013000" * 50_000)
+
+
 def test_query_columns_and_odd_rows(spark):
     rows = [(1, "mail é a@b.de and 10.0.0.1"), (2, None), (3, ""), (None, "+1 (555) 123-4567"), (1, "mail é a@b.de and 10.0.0.1")]
     got = sorted(map(tuple, p.personal_data_digest(frame(spark, rows, clashing=True)).collect()), key=str)
