@@ -8,8 +8,9 @@ the item always stands for the same value in the document, and different names f
 In front of the join stands a bit map of `MAP_BITS` bits, whatever the benchmark's size: windows whose bit is not set cannot
 join and are never shuffled. A large benchmark makes the map less selective and changes no result.
 
-An item of `SHORTEST` to `WINDOW - 1` tokens is one window of its own length; shorter ones are too common to be evidence and are not
-looked for. A window needs at least as many plain words as half its length. Cases: null texts are empty; rows that agree in doc_id
+An item of fewer than `WINDOW` tokens is one window of its own length. A template window needs at least `SHORTEST` tokens and plain
+words for half its length, as placeholders alone are no evidence. Beside them stand windows of the tokens without placeholders,
+whatever their length and slots, on diagonals of their own: so verbatim copies of all items are found, of the shortest ones too. Cases: null texts are empty; rows that agree in doc_id
 and text are treated alike; null ids stay; empty tables give an empty result; further columns are kept, whatever their names.
 """
 
@@ -101,9 +102,12 @@ class Tokens:
         self.kind = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, 0))).astype(np.int8)
         self.canon = np.where(self.kind > 0, mix(self.kind.astype(np.uint64), 5), self.value)
 
-    def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and hashes of windows of `n` tokens with enough plain words."""
+    def windows(self, n: int, raw: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and hashes of windows of `n` tokens: without placeholders (`raw`), or with them and with enough plain words."""
         room = np.repeat(self.first[1:], np.diff(self.first)) - np.arange(len(self.canon))
+        if raw:
+            at = np.flatnonzero(room >= n)
+            return at, spans(running_sums(self.value), at, at + n, 200 + n)
         slots = np.concatenate([[0], np.cumsum(self.kind > 0)])
         at = np.flatnonzero(room >= n)
         at = at[2 * (slots[at + n] - slots[at]) <= n]
@@ -113,7 +117,7 @@ class Tokens:
 
 _UNITS, _STARTERS = _known(UNITS), _known(SENTENCE_STARTERS)
 _SLOTS = pa.list_(pa.struct([("o", pa.int32()), ("kind", pa.int32()), ("v", pa.int64())]))
-WINDOWS = "id long, key long, h long, p int, n int, size int, slots array<struct<o: int, kind: int, v: long>>"
+WINDOWS = "id long, key long, h long, raw boolean, p int, n int, size int, slots array<struct<o: int, kind: int, v: long>>"
 
 
 def _hits(df: DataFrame, bits, lengths: list[int] | None) -> DataFrame:
@@ -124,9 +128,9 @@ def _hits(df: DataFrame, bits, lengths: list[int] | None) -> DataFrame:
         for i, j in slices(offsets):
             tokens = Tokens(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
             counts = np.diff(tokens.first)
-            own = lengths or sorted({WINDOW, *(int(c) for c in counts if SHORTEST <= c < WINDOW)})
-            for n in own:
-                at, h = tokens.windows(n)
+            own = lengths or sorted({WINDOW, *(int(c) for c in counts if 0 < c < WINDOW)})
+            for n, raw in ((n, raw) for n in own for raw in (False, True) if raw or n >= SHORTEST):
+                at, h = tokens.windows(n, raw)
                 text = np.searchsorted(tokens.first, at, "right") - 1
                 if bits is not None:
                     keep = bits.value[h % np.uint64(MAP_BITS)]
@@ -135,14 +139,14 @@ def _hits(df: DataFrame, bits, lengths: list[int] | None) -> DataFrame:
                 at, h, text = at[keep], h[keep], text[keep]
                 if not len(at):
                     continue
-                slots = []
-                for t in at.tolist():
+                slots = [[]] * len(at) if raw else []
+                for t in [] if raw else at.tolist():
                     spots = np.flatnonzero(tokens.kind[t : t + n])
                     slots.append([{"o": int(o), "kind": int(tokens.kind[t + o]), "v": int(as_long(tokens.value)[t + o])} for o in spots])
                 where = pa.array(i + text)
                 numbers = [(at - tokens.first[text]).astype(np.int32), np.full(len(at), n, np.int32), counts[text].astype(np.int32)]
-                columns = [batch["id"].take(where), batch["key"].take(where), pa.array(as_long(h)), *map(pa.array, numbers), pa.array(slots, _SLOTS)]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "key", "h", "p", "n", "size", "slots"])
+                columns = [batch["id"].take(where), batch["key"].take(where), pa.array(as_long(h)), pa.array(np.full(len(at), raw)), *map(pa.array, numbers), pa.array(slots, _SLOTS)]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "key", "h", "raw", "p", "n", "size", "slots"])
 
     return arrow_step(df, step, WINDOWS)
 
@@ -158,15 +162,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # At most MAP_BITS numbers come to the driver, however many windows there are.
     places = wanted.select(F.pmod("h", F.lit(MAP_BITS)).cast("int").alias("bit")).distinct().toPandas()
     bits[places["bit"].to_numpy(np.int64)] = True
-    lengths = sorted(r.n for r in wanted.select("n").distinct().collect())  # at most WINDOW - SHORTEST + 1
+    lengths = sorted(r.n for r in wanted.select("n").distinct().collect())  # at most WINDOW
     source = texts(docs).select(F.col("doc_id").alias("id"), text_key(F.col("text")).alias("key"), "text")
     found = _hits(source, spark.sparkContext.broadcast(bits), lengths or [WINDOW])
-    theirs = wanted.select(F.col("id").alias("item_id"), "h", "n", F.col("size"), F.col("p").alias("q"), F.col("slots").alias("item_slots"))
-    hits = found.select(F.col("id").alias("doc_id"), "key", "h", "n", "p", "slots").join(theirs, ["h", "n"])
+    theirs = wanted.select(F.col("id").alias("item_id"), "h", "raw", "n", F.col("size"), F.col("p").alias("q"), F.col("slots").alias("item_slots"))
+    hits = found.select(F.col("id").alias("doc_id"), "key", "h", "raw", "n", "p", "slots").join(theirs, ["h", "raw", "n"])
     pairs = F.zip_with(
         "slots", "item_slots", lambda x, y: F.struct(x["kind"].alias("kind"), y["v"].alias("theirs"), x["v"].alias("ours"))
     )
-    diagonal = hits.groupBy("doc_id", "key", "item_id", "size", (F.col("p") - F.col("q")).alias("shift")).agg(
+    diagonal = hits.groupBy("doc_id", "key", "item_id", "size", "raw", (F.col("p") - F.col("q")).alias("shift")).agg(
         F.collect_set(F.struct("q", "n")).alias("spots"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("slots")
     )
     places_covered = F.array_distinct(F.flatten(F.transform("spots", lambda s: F.sequence(s["q"], s["q"] + s["n"] - 1))))

@@ -49,6 +49,20 @@ def test_short_items_and_empty_tables(spark):
     assert d.contaminated(frame(spark, [(1, short)]), items(spark, []).limit(0)).count() == 0
 
 
+def test_copies_of_items_made_of_slots_and_of_very_short_ones(spark):
+    sums, cities = "What is 12 + 37 * 4 - 9 / 3 ?", "Paris Berlin Madrid Rome Vienna: which city hosted 1900?"
+    questions = [(10, sums), (11, cities), (12, "Capital: Oslo"), (13, "kg of 3 4 plums")]
+    docs = [
+        (1, f"so {sums} ok"),
+        (2, f"so {cities} ok"),
+        (3, "it asked for the capital, Oslo"),
+        (4, "we had 5 kg of 3 4 plums"),  # the first word is a unit here, but not in the item
+        (5, "What is 13 + 37 * 4 - 9 / 3 ?"),
+        (6, "Oslo is the capital"),
+    ]
+    assert found(spark, docs, questions) == {(1, 10): False, (2, 11): False, (3, 12): False, (4, 13): False}
+
+
 def test_tokens_are_the_same_wherever_a_text_is_cut(spark, monkeypatch):
     from reportloom.llm import kernels
 
