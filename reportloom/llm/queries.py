@@ -9,7 +9,7 @@ from collections.abc import Callable
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, near_duplicates, ordinal_quality, personal_data, pieces, quality_rules, repeated_lines, repeated_passages, suffix_duplicates, toxicity
+from . import decontamination, mixture, near_duplicates, ordinal_quality, personal_data, pieces, quality_rules, repeated_lines, repeated_passages, source_divergence, suffix_duplicates, toxicity
 from .common import table
 
 #: Folder of the public tokenizers; its module gives the files' places.
@@ -70,6 +70,14 @@ def op10_toxicity(spark: SparkSession, base: str) -> DataFrame:
     return toxicity.toxicity(table(spark, base, "documents"), table(spark, base, "labels"))
 
 
+def op11_mixture(spark: SparkSession, base: str) -> DataFrame:
+    return mixture.mixture_digest(table(spark, base, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, base: str) -> DataFrame:
+    return source_divergence.divergence(table(spark, base, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -83,6 +91,8 @@ QUERIES: dict[str, Query] = {
         op8_repeated_passages,
         op9_repeated_lines,
         op10_toxicity,
+        op11_mixture,
+        op13_source_divergence,
     )
 }
 
@@ -127,5 +137,64 @@ SELECT l.doc_id, count(*) FILTER (trim(l.line, {_SPACES}) <> '') AS n_lines, cou
        sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '')) AS kept_sha256
 FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i
 GROUP BY l.doc_id
+""",
+    "op11_mixture": """
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight
+  FROM d GROUP BY source
+), levels AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER o, 0))::DOUBLE
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER o, 0))::DOUBLE AS level
+  FROM s WINDOW o AS (ORDER BY (3 * source_size)::DOUBLE / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), targets AS (
+  SELECT source, source_size, least((3 * source_size)::DOUBLE, max(level) OVER () * weight) AS target FROM levels
+), expected AS (
+  SELECT *, least(3000000000, floor(target / nullif(source_size, 0) * 1000000000 + 0.5)::BIGINT)::HUGEINT AS e,
+         ('0x' || substr(md5('mixture-1:' || coalesce('=' || source, 'null')), 1, 15))::BIGINT % 1000000000 AS o
+  FROM targets
+), placed AS (
+  SELECT doc_id, source, size, row_number() OVER (PARTITION BY source ORDER BY size, md5(coalesce(doc_id::VARCHAR, '')))::HUGEINT AS i FROM d
+)
+SELECT doc_id, size, source_size, target,
+       (size * coalesce((e * i + o) // 1000000000 - (e * (i - 1) + o) // 1000000000, 0))::BIGINT AS taken
+FROM placed JOIN expected ON placed.source IS NOT DISTINCT FROM expected.source
+""",
+    "op13_source_divergence": """
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), words AS (
+  SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d
+), terms AS (
+  SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT row) >= 3
+), langs AS (SELECT lang, count(*) AS v, sum(n) AS n FROM terms GROUP BY lang),
+own AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN terms USING (lang, term) GROUP BY lang, source, term),
+groups AS (
+  SELECT g.lang, g.source, coalesce(any_value(v), 0) AS v, coalesce(sum(own.n), 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN langs ON g.lang = langs.lang LEFT JOIN own ON g.lang = own.lang AND g.source = own.source
+  GROUP BY g.lang, g.source
+), shares AS (
+  SELECT g.lang, g.source, terms.term, coalesce(own.n, 0) AS own_n,
+         (1 + 1000000000::HUGEINT * (coalesce(own.n, 0) + 1) // (g.n + g.v)::HUGEINT)::HUGEINT AS p,
+         (1 + 1000000000::HUGEINT * (terms.n + 1) // (langs.n + langs.v)::HUGEINT)::HUGEINT AS q
+  FROM groups g JOIN terms ON g.lang = terms.lang JOIN langs ON g.lang = langs.lang
+  LEFT JOIN own ON own.lang = g.lang AND own.source = g.source AND own.term = terms.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE own_n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
 """,
 }
