@@ -9,7 +9,7 @@ from collections.abc import Callable
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, mixture, near_duplicates, ordinal_quality, personal_data, pieces, quality_rules, repeated_lines, repeated_passages, source_divergence, suffix_duplicates, toxicity
+from . import conversation_repair, decontamination, mixture, near_duplicates, ordinal_quality, personal_data, pieces, quality_rules, repeated_lines, repeated_passages, source_divergence, suffix_duplicates, toxicity
 from .common import table
 
 #: Folder of the public tokenizers; its module gives the files' places.
@@ -74,6 +74,10 @@ def op11_mixture(spark: SparkSession, base: str) -> DataFrame:
     return mixture.mixture_digest(table(spark, base, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, base: str) -> DataFrame:
+    return conversation_repair.damaged_and_repaired(table(spark, base, "conversations"))
+
+
 def op13_source_divergence(spark: SparkSession, base: str) -> DataFrame:
     return source_divergence.divergence(table(spark, base, "documents"))
 
@@ -92,6 +96,7 @@ QUERIES: dict[str, Query] = {
         op9_repeated_lines,
         op10_toxicity,
         op11_mixture,
+        op12_conversation_repair,
         op13_source_divergence,
     )
 }
@@ -196,5 +201,68 @@ groups AS (
   SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts
 )
 SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+""",
+    "op12_conversation_repair": """
+WITH RECURSIVE bits AS (
+  SELECT byte, byte AS crc, 0 AS step FROM (SELECT unnest(range(256)) AS byte)
+  UNION ALL
+  SELECT byte, CASE WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END, step + 1 FROM bits WHERE step < 8
+), crc_table AS (SELECT list(crc ORDER BY byte) AS entries FROM bits WHERE step = 8),
+plain AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT)),
+           lambda crc, byte: xor(crc >> 8, entries[(xor(crc, byte) & 255) + 1]))) % 20 AS damage
+  FROM conversations, crc_table
+), broken AS (
+  SELECT conv_id, turn, CASE WHEN damage = 4 THEN 'user' ELSE role END AS role,
+         CASE damage WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN damage = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM plain WHERE damage <> 0
+), placed AS (
+  SELECT *, left(role, 1) AS initial,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again
+  FROM broken
+), turns AS (
+  SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair,
+         CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'b' WHEN again THEN 'd'
+              WHEN regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN '.' ELSE 't' END AS fault
+  FROM placed
+), totals AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM turns GROUP BY conv_id
+), inserts AS (
+  SELECT * FROM (VALUES (0, 0, '', []::VARCHAR[]), (1, 1, '', []), (2, 2, '', []), (3, 3, '', []),
+    (0, 2, 'I', ['user:']), (0, 3, 'II', ['user:', 'assistant:']), (1, 2, 'I', ['user:']), (1, 3, 'II', ['user:', 'assistant:']),
+    (2, 3, 'I', ['assistant:']), (3, 2, 'I', ['user:'])) t(p, q, letters, lines)
+), edits AS (
+  SELECT * FROM (VALUES ('K', 0, 1, 's', ''), ('K', 0, 2, 'u', ''), ('K', 1, 2, 'u', ''), ('K', 3, 2, 'u', ''), ('K', 2, 3, 'a', ''),
+    ('R', 0, 2, NULL, 'user'), ('R', 1, 2, NULL, 'user'), ('R', 2, 3, NULL, 'assistant'), ('R', 3, 2, NULL, 'user'),
+    ('D', 0, 0, NULL, ''), ('D', 1, 1, NULL, ''), ('D', 2, 2, NULL, ''), ('D', 3, 3, NULL, '')) t(letter, p, q, initial, role)
+), parsed AS (
+  SELECT conv_id, 0 AS i, 0 AS q, 0 AS cost, '' AS audit, []::VARCHAR[] AS lines FROM totals
+  UNION ALL
+  SELECT conv_id, i, q, min(cost), arg_min(audit, {'c': cost, 'a': audit}), arg_min(lines, {'c': cost, 'a': audit})
+  FROM (
+    SELECT t.conv_id, t.i::INTEGER AS i, e.q, p.audit || n.letters || e.letter AS audit,
+           p.cost + 3 * len(n.letters) + CASE e.letter WHEN 'K' THEN 0 WHEN 'R' THEN 3 ELSE 4 END
+             + CASE WHEN t.fault = 't' AND e.letter <> 'D' THEN 3 ELSE 0 END AS cost,
+           p.lines || n.lines || CASE e.letter WHEN 'K' THEN [t.role || ':' || t.text] WHEN 'R' THEN [e.role || ':' || t.text] ELSE [] END AS lines
+    FROM parsed p JOIN turns t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.i = p.i + 1 JOIN inserts n ON n.p = p.q
+    JOIN edits e ON e.p = n.q AND (e.letter = 'D' OR t.fault NOT IN ('b', 'd') AND (e.letter = 'R' OR e.initial = t.initial))
+  ) GROUP BY conv_id, i, q
+), ended AS (
+  SELECT t.conv_id, gaps, blank, duplicate, truncated, illegal, min({'c': cost + 3 * len(letters), 'a': audit || letters}) AS best,
+         arg_min(p.lines || n.lines, {'c': cost + 3 * len(letters), 'a': audit || letters}) AS lines
+  FROM totals t JOIN parsed p ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND p.i = t.n JOIN inserts n ON n.p = p.q AND n.q IN (0, 3)
+  GROUP BY ALL
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit,
+       sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN ended e ON c.conv_id IS NOT DISTINCT FROM e.conv_id
 """,
 }
