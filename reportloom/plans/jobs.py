@@ -71,15 +71,15 @@ def sales_followup(read: Read, now: datetime, **options) -> DataFrame:
     return sales_report(*map(read, ("crm_user", "crm_customer", "crm_form", "crm_form_data")), now=now, **options)
 
 
-def daily_work(read: Read, now: datetime, **options) -> DataFrame:
-    """Options: `attributes`, the fields of the form."""
-    return work_reports(*map(read, ("crm_form", "crm_form_data", "crm_user")), now=now, **options)
+def daily_work(read: Read, now: datetime, attributes=None, **options) -> DataFrame:
+    """Options: `attributes`, the fields of the form; without them, those that the forms have."""
+    return work_reports(*map(read, ("crm_form", "crm_form_data", "crm_user")), attributes=attributes, now=now, **options)
 
 
-def customer_visits(read: Read, now: datetime, **options) -> DataFrame:
-    """Options: `attributes`, the fields of the form, and `comment_order`, the column that orders comments."""
+def customer_visits(read: Read, now: datetime, attributes=None, **options) -> DataFrame:
+    """Options: `attributes`, the fields of the form (without them, those that the forms have), and `comment_order`, the column that orders comments."""
     tables = ("crm_form", "crm_form_data", "crm_comment", "crm_customer", "bos_customer_state")
-    return visit_reports(*map(read, tables), now=now, **options)
+    return visit_reports(*map(read, tables), attributes=attributes, now=now, **options)
 
 
 def shelf_life(read: Read, now: datetime, **options) -> DataFrame:

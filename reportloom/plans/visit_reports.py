@@ -60,7 +60,7 @@ def month_forms(forms: DataFrame, now: datetime, form_keys: Sequence[str], inclu
     )
 
 
-def with_fields(month: DataFrame, cells: DataFrame, attributes: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:
+def with_fields(month: DataFrame, cells: DataFrame, attributes: Sequence[str] | None, ignore: Sequence[str] = ()) -> DataFrame:
     field = composite_attribute(F.col("name"), F.col("child_name"))
     wide = forms_with_attributes(month, cells, "form_id", attributes, field, ignore=ignore)
     return rename_fields(underscore_names(wide), FIELD_NAMES)
@@ -72,7 +72,7 @@ def visit_reports(
     comments: DataFrame,
     customers: DataFrame,
     states: DataFrame,
-    attributes: Sequence[str],
+    attributes: Sequence[str] | None,
     now: datetime,
     comment_order: str,
     kinds: Mapping[str, str] = FORM_KINDS,
@@ -80,7 +80,8 @@ def visit_reports(
     region: str | None = None,
     ignore: Sequence[str] = (),
 ) -> DataFrame:
-    """Visits with customer and comments; `comment_order` gives the order in which comments are joined.
+    """Visits with customer and comments; `comment_order` gives the order in which comments are joined. Without `attributes` the month's
+    forms tell which fields there are.
 
     The month's form ids drop the cells and comments of all other months; `ignore` names form fields to leave out.
     Without any visit the result is one row that only names its sheet.

@@ -20,14 +20,15 @@ def work_reports(
     forms: DataFrame,
     cells: DataFrame,
     users: DataFrame,
-    attributes: Sequence[str],
+    attributes: Sequence[str] | None,
     now: datetime,
     form_key: str = DAILY_FORM,
     region: str | None = None,
     inclusive_day: bool = False,
     ignore: Sequence[str] = (),
 ) -> DataFrame:
-    """`attributes` declares the form fields, `ignore` those left out; they become columns with underscores. Latest forms first."""
+    """`attributes` declares the form fields (None: those that the month's forms have), `ignore` those left out; they become columns
+    with underscores. Latest forms first."""
     month = forms.where(
         (F.col("form_key") == form_key) & month_to_yesterday(F.col("local_time"), now, inclusive_day)
     ).select(

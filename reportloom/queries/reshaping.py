@@ -6,7 +6,9 @@ from reportloom.operators.reshape import (
     composite_attribute,
     explode_documents,
     forms_with_attributes,
+    normalised_documents,
     pivot_attributes,
+    pivot_found_attributes,
     stack_sheets,
     to_records,
     with_sentinel_row,
@@ -66,6 +68,43 @@ def nested_json_documents(spark, base):
     return explode_documents(events.select("event_id", doc.alias("doc")), "doc", "kind string, props struct<k: bigint>")
 
 
+@query(
+    "found_cells_r1",
+    """SELECT l_orderkey, """
+    + ", ".join(f"""MAX(value) FILTER (WHERE name = '{c}') AS "{c}\"""" for c in ("A-F", "A-O", "N-F", "N-O", "R-F", "R-O", "linenumber"))
+    + """ FROM (SELECT l_orderkey, l_returnflag || '-' || l_linestatus AS name, CAST(COUNT(*) AS VARCHAR) AS value FROM lineitem GROUP BY ALL
+          UNION ALL SELECT l_orderkey, 'linenumber', CAST(MAX(l_linenumber) AS VARCHAR) FROM lineitem GROUP BY l_orderkey) GROUP BY l_orderkey""",
+)
+def found_cells(spark, base):
+    """Cells of orders whose attributes are not declared: one per line flag and status, and one without a child name."""
+    lines = S.table(spark, base, "lineitem")
+    flags = lines.groupBy("l_orderkey", F.col("l_returnflag").alias("name"), F.col("l_linestatus").alias("child")).agg(F.count(F.lit(1)).cast("string").alias("value"))
+    numbers = lines.groupBy("l_orderkey").agg(F.lit("linenumber").alias("name"), F.lit("").alias("child"), F.max("l_linenumber").cast("string").alias("value"))
+    return pivot_found_attributes(flags.unionByName(numbers), "l_orderkey", composite_attribute(F.col("name"), F.col("child")))
+
+
+@query(
+    "found_documents_r3",
+    """WITH e AS (SELECT event_id, event_type, user_id, value, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
+       SELECT event_id, event_type AS kind, CASE WHEN event_type = 'click' THEN k END AS "props.k", CASE WHEN event_type = 'click' THEN 'u' || user_id END AS "props.user.name",
+              CASE WHEN event_type <> 'click' THEN user_id END AS "user", CASE WHEN event_type NOT IN ('click', 'view') THEN CASE WHEN user_id % 2 = 0 THEN CAST(k AS DOUBLE) ELSE k + 0.5 END END AS amount,
+              CASE WHEN event_type NOT IN ('click', 'view') THEN k || ',' || (k + 1) END AS ks FROM e
+       UNION ALL SELECT event_id, 'view', NULL, NULL, -user_id, NULL, NULL FROM e WHERE event_type = 'view'""",
+)
+def found_documents(spark, base):
+    """Documents with differing keys, no schema given: clicks are nested, views are lists of two, others have a fraction now and then."""
+    k, user = F.get_json_object("props", "$.k"), F.col("user_id").cast("string")
+    kind = F.concat(F.lit('{"kind":"'), "event_type", F.lit('"'))
+    clicks = F.concat(kind, F.lit(',"props":{"k":'), k, F.lit(',"user":{"name":"u'), user, F.lit('"}}}'))
+    views = F.concat(F.lit("["), kind, F.lit(',"user":'), user, F.lit("},"), kind, F.lit(',"user":-'), user, F.lit("}]"))
+    amount = F.concat(k, F.when(F.col("user_id") % 2 == 0, F.lit("")).otherwise(F.lit(".5")))
+    following = (k.cast("bigint") + 1).cast("string")
+    rest = F.concat(kind, F.lit(',"user":'), user, F.lit(',"amount":'), amount, F.lit(',"ks":['), k, F.lit(","), following, F.lit("]}"))
+    doc = F.when(F.col("event_type") == "click", clicks).when(F.col("event_type") == "view", views).otherwise(rest)
+    found = normalised_documents(S.table(spark, base, "events").select("event_id", doc.alias("doc")), "doc")
+    return found.withColumn("ks", F.array_join(F.col("ks").cast("array<string>"), ","))
+
+
 @query(
     "records_r4",
     """SELECT event_id, '{"event_type":"' || event_type || '","user_id":' ||
