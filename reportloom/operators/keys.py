@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +19,7 @@ FIRST_SEQUENCE = 6
 
 
 def with_snowflake_id(
-    df: DataFrame, *order: Column | str, start_ms: int, worker: int = 0, epoch_ms: int = ID_EPOCH_MS, name: str = "id"
+    df: DataFrame, *order: Column | str, start_ms: int, worker: int = 0, epoch_ms: int = ID_EPOCH_MS, name: str = "id", key: Sequence[str] | None = None
 ) -> DataFrame:
     """Time-ordered 64-bit ids in the order of a unique key: ms since the epoch, worker, sequence.
 
@@ -27,7 +28,7 @@ def with_snowflake_id(
     if not 0 <= worker < 1 << WORKER_BITS:
         raise ValueError(f"worker must be in 0..{(1 << WORKER_BITS) - 1}")
     per_tick = (1 << SEQUENCE_BITS) - FIRST_SEQUENCE
-    indexed = with_dense_index(df, *order, name="__row")
+    indexed = with_dense_index(df, *order, name="__row", key=key)
     tick = F.lit(start_ms - epoch_ms) + F.floor(F.col("__row") / per_tick)
     sequence = F.lit(FIRST_SEQUENCE) + F.col("__row") % per_tick
     head = F.shiftleft(tick.cast("bigint"), WORKER_BITS + SEQUENCE_BITS)
@@ -44,9 +45,11 @@ def snowflake_parts(c: Column, epoch_ms: int = ID_EPOCH_MS) -> dict[str, Column]
     }
 
 
-def with_load_id(df: DataFrame, *order: Column | str, now: datetime, digits: int = 12, name: str = "id") -> DataFrame:
+def with_load_id(
+    df: DataFrame, *order: Column | str, now: datetime, digits: int = 12, name: str = "id", key: Sequence[str] | None = None
+) -> DataFrame:
     """Text id of batch time and row index; the index is zero-padded so that text order is numeric order."""
-    indexed = with_dense_index(df, *order, name="__row")
+    indexed = with_dense_index(df, *order, name="__row", key=key)
     index = F.col("__row").cast("string")
     too_long = F.raise_error(F.lit(f"a row index has more than {digits} digits")).cast("string")
     text = F.concat(F.lit(f"{now:%Y%m%d%H%M%S}"), F.when(F.length(index) <= digits, F.lpad(index, digits, "0")).otherwise(too_long))

@@ -99,4 +99,5 @@ def customer_report(*args, **kwargs) -> DataFrame:
 
 def region_spans(report: DataFrame) -> DataFrame:
     """Rows to merge per region and business group; `report` is the result of `customer_months`."""
-    return value_spans(report, "Business_Group_Name", "Business_Region", *report_order())
+    key = ["order_rank", "Sales_Representative_Name", "this_month_order_amount", "BOS_Group_Id", "crm_code"]
+    return value_spans(report, "Business_Group_Name", "Business_Region", *report_order(), key=key)

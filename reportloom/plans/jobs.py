@@ -19,9 +19,8 @@ from reportloom.plans.sales_followup import sales_report
 from reportloom.plans.shelf_life import shelf_life_report, stock_lots
 from reportloom.plans.visit_reports import visit_reports
 from reportloom.plans.work_reports import work_reports
-from reportloom.plans.work_orders import order_batch
-from reportloom.sinks.files import Stored, VersionedTable, write_report
-from reportloom.sources.feed import read_feed
+from reportloom.plans.work_orders import load_orders
+from reportloom.sinks.files import Stored, write_report
 from reportloom.sources.warehouse import read_table
 
 Read = Callable[[str], DataFrame]
@@ -131,9 +130,6 @@ def build(
     return Built(folder, write_report(df, folder, fmt, partition_by, mode="overwrite"))
 
 
-def load_work_orders(spark: SparkSession, feed: str, table: str, now: datetime, keep_versions: int = 2) -> Stored:
-    """Store the landed feed under `feed` in the versioned table at `table`, and drop its oldest versions."""
-    target = VersionedTable(spark, table)
-    stored = target.upsert(order_batch(read_feed(spark, feed), now), "Order_Id", "id")
-    target.vacuum(keep_versions)
-    return stored
+def load_work_orders(spark: SparkSession, feed: str, table: str, now: datetime) -> Stored:
+    """Store the landed feed under `feed` in the next snapshot of the table at `table`."""
+    return load_orders(spark, feed, table, now)

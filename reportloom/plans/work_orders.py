@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from reportloom.functions.dates import week_end, week_start, week_text
 from reportloom.operators.keys import with_load_id
 from reportloom.operators.project import rename_fields, sentinel_to_null
-from reportloom.sinks.files import Stored, VersionedTable
+from reportloom.sinks.files import Stored, store_latest
 from reportloom.sources.feed import ORDER_FIELDS, read_feed
 
 
@@ -37,6 +37,6 @@ def order_batch(rows: DataFrame, now: datetime, *arrival: Column | str) -> DataF
     return batch.drop(*[c for c in batch.columns if c.startswith("__")])
 
 
-def load_orders(spark: SparkSession, feed_path: str, table: VersionedTable, now: datetime) -> Stored:
-    """Store a landed feed; later loads of an order replace earlier ones."""
-    return table.upsert(order_batch(read_feed(spark, feed_path), now), "Order_Id", "id")
+def load_orders(spark: SparkSession, feed_path: str, table: str, now: datetime) -> Stored:
+    """Store a landed feed in the table's next snapshot; later loads of an order replace earlier ones."""
+    return store_latest(spark, table, order_batch(read_feed(spark, feed_path), now), "Order_Id", "id")

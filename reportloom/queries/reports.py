@@ -19,7 +19,7 @@ from reportloom.queries.calendars import trade_sql
 from reportloom.queries.registry import query
 from reportloom.queries.reshaping import _PIVOT, _TALK
 from reportloom.queries.tables_in_out import feed_payloads, land_feed, new_folder
-from reportloom.sinks.files import VersionedTable
+from reportloom.sinks.files import read_snapshot
 
 _LINK = BACK_LINK.replace("'", "''")
 
@@ -394,14 +394,14 @@ _LOADS = (("2024-01-15", "<", datetime(2024, 1, 30, 10, 30)), ("2024-01-10", ">=
        FROM rows QUALIFY t = max(t) OVER (PARTITION BY code)""",
 )
 def work_order_load(spark, base):
-    """Payload files of one day each, landed twice and loaded into the versioned table; later loads of an order win."""
+    """Payload files of one day each, landed twice and loaded into a table of snapshots; later loads of an order win."""
     folder = new_folder(spark, "orders")
     days = S.table(spark, base, "events").select("event_id", F.col("ts").cast("date").alias("day"))
     payloads = feed_payloads(spark, base).join(days, "event_id")
     for i, (day, side, now) in enumerate(_LOADS):
         landed = f"{folder}/feed-{i}"
         land_feed(payloads.where(f"day {side} DATE '{day}'"), landed)
-        load_work_orders(spark, f"{landed}/*", f"{folder}/table", now)
-    return VersionedTable(spark, f"{folder}/table").read().select(
+        load_work_orders(spark, f"{landed}/*/*", f"{folder}/table", now)
+    return read_snapshot(spark, f"{folder}/table").select(
         "Product_Code", "Order_Id", "End_Date", "Order_Type", "week_date", "week_start", "week_end", "timestamp", "id"
     )

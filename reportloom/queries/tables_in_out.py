@@ -6,12 +6,12 @@ from datetime import UTC, datetime
 from pyspark.sql import functions as F
 
 from reportloom.operators.keys import upsert_latest
-from reportloom.operators.ordering import with_dense_index
+from reportloom.operators.ordering import with_dense_index, with_position
 from reportloom.queries import standins as S
 from reportloom.queries.registry import query
 from reportloom.session import shared_dir
-from reportloom.sinks.files import VersionedTable, append_rows, write_report
-from reportloom.sources.feed import feed_rows, limit_feed
+from reportloom.sinks.files import append_rows, read_snapshot, store_latest, write_report
+from reportloom.sources.feed import feed_rows, limit_feed, read_feed
 from reportloom.sources.files import newest_file
 
 
@@ -42,18 +42,25 @@ def feed_payloads(spark, base):
     return S.table(spark, base, "events").select("event_id", data.alias("DATA"))
 
 
+#: Payloads in a landed file.
+PAYLOADS_PER_FILE = 20_000
+
+
 def land_feed(payloads, folder):
-    """One JSON file per day; the files' times follow the days, as if each had arrived on its own."""
+    """JSON files of a day and at most `PAYLOADS_PER_FILE` payloads each; the files' times follow the days, and within a day their
+    folders' numbers follow the event ids."""
     lists = F.when(F.startswith("DATA", F.lit("[")), F.expr("substring(DATA, 2, length(DATA) - 2)")).otherwise(F.col("DATA"))
+    placed = with_dense_index(payloads, "day", "event_id", name="place", key=["event_id"])
+    block = F.lpad(F.floor(F.col("place") / PAYLOADS_PER_FILE).cast("string"), 9, "0").alias("block")
     ordered = F.array_sort(F.collect_list(F.struct("event_id", lists.alias("orders"))))
     joined = F.array_join(F.transform(ordered, lambda x: x["orders"]), ",")
-    files = payloads.groupBy("day").agg(F.concat(F.lit('{"DATA": ['), joined, F.lit("]}")).alias("value"))
+    files = placed.groupBy("day", block).agg(F.concat(F.lit('{"DATA": ['), joined, F.lit("]}")).alias("value"))
     spark = payloads.sparkSession
-    files.repartition("day").write.partitionBy("day").text(folder)
+    files.repartition("day", "block").write.partitionBy("day", "block").text(folder)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in fs.globStatus(path(f"{folder}/day=*/part-*")):
-        day = datetime.strptime(status.getPath().getParent().getName(), "day=%Y-%m-%d")
+    for status in fs.globStatus(path(f"{folder}/day=*/block=*/part-*")):
+        day = datetime.strptime(status.getPath().getParent().getParent().getName(), "day=%Y-%m-%d")
         fs.setTimes(status.getPath(), int(day.replace(tzinfo=UTC).timestamp() * 1000), -1)
 
 
@@ -72,6 +79,22 @@ def order_feed(spark, base):
     return rows.withColumnRenamed("__pos", "pos")
 
 
+@query(
+    "order_documents_s2",
+    _FEED + """ SELECT CAST(ts AS DATE) AS day, code AS "AUFNR", CAST(user_id AS VARCHAR) AS "MATNR",
+       CAST(row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY event_id, pos) - 1 AS BIGINT) AS place, event_type AS "AUART" FROM feed""",
+)
+def order_documents(spark, base):
+    """The feed landed as one document per day and block, and read back in byte ranges; `place` counts through the day's documents."""
+    folder = new_folder(spark, "documents")
+    days = S.table(spark, base, "events").select("event_id", F.col("ts").cast("date").alias("day"))
+    land_feed(feed_payloads(spark, base).join(days, "event_id"), folder)
+    rows = read_feed(spark, f"{folder}/*/*", ["AUFNR", "MATNR", "AUART"])
+    day = F.to_date(F.regexp_extract("__file", r"day=([0-9-]+)", 1))
+    placed = with_position(rows.withColumn("day", day), "day", "__file", "__pos", first_row=0, name="place")
+    return placed.select("day", "AUFNR", "MATNR", "place", "AUART")
+
+
 @query(
     "feed_range_s3",
     _FEED + """ SELECT event_id, code AS "AUFNR", strftime(ts, '%Y-%m-%d') AS "GLTRP" FROM feed
@@ -130,11 +153,12 @@ def upserted_rows(spark, base):
 
 @query("versioned_table_k2", _LATEST)
 def versioned_table(spark, base):
+    """Three loads, each a new snapshot; the last one repeats a batch."""
     early, late = _batches(spark, base)
-    orders = VersionedTable(spark, new_folder(spark, "versions"))
+    folder = new_folder(spark, "snapshots")
     for batch in (early, late, late):
-        orders.upsert(batch, "user_id", "event_id")
-    return orders.read().select("user_id", "event_id", "event_type", "value")
+        store_latest(spark, folder, batch, "user_id", "event_id")
+    return read_snapshot(spark, folder).select("user_id", "event_id", "event_type", "value")
 
 
 @query(

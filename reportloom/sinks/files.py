@@ -1,17 +1,15 @@
-"""Report output and the versioned table behind the work-order load."""
+"""Report output, appended tables, and the snapshots behind the work-order load."""
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from reportloom.operators.keys import upsert_latest
+from reportloom.operators.keys import upsert_into_clean, upsert_latest
 from reportloom.operators.rollup import counted
 
 POSITION = "report_position"
@@ -39,106 +37,43 @@ def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 class Stored(NamedTuple):
-    """A version of a table, and the rows that its load wrote."""
+    """A snapshot of a table, and its rows."""
 
-    version: int
+    snapshot: int
     rows: int
 
 
-class VersionedTable:
-    """A Parquet table in hash buckets, for one writer at a time.
+def _snapshot_folder(table: str, number: int) -> str:
+    return f"{table.rstrip('/')}/snapshot={number:08d}"
 
-    A version is a manifest that names the folder of each bucket. It is written last and put in place by renaming, so readers
-    see either the old or the new rows, and a failed load leaves the table as it was. A load only rewrites the buckets that
-    its keys fall into; the other ones stay where they are. `vacuum` deletes folders that no kept version names.
-    """
 
-    def __init__(self, spark: SparkSession, base: str, buckets: int = 64):
-        self.spark = spark
-        self.base = base.rstrip("/")
-        self.buckets = buckets
-
-    def _path(self, *parts: str):
-        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([self.base, *parts]))
-
-    def _fs(self):
-        return self._path().getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _names(self, *parts: str) -> list[str]:
-        fs, path = self._fs(), self._path(*parts)
-        return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
-
-    def versions(self) -> list[int]:
-        return [int(name.removesuffix(".json")) for name in self._names("manifests") if name.endswith(".json")]
-
-    def version(self) -> int | None:
-        """The newest version; None for a table without any data. Data without a manifest is an error, not an empty table."""
-        found = self.versions()
-        if not found and self._names("data"):
-            raise RuntimeError(f"{self.base} holds data but no complete version")
-        return max(found, default=None)
-
-    def manifest(self, version: int) -> dict:
-        stream = self._fs().open(self._path("manifests", f"{version:08d}.json"))
-        try:
-            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def _commit(self, manifest: dict, version: int) -> None:
-        fs, target = self._fs(), self._path("manifests", f"{version:08d}.json")
-        fs.mkdirs(self._path("manifests"))
-        draft = self._path("manifests", f".{uuid.uuid4().hex}")
-        stream = fs.create(draft, False)
-        stream.write(bytearray(json.dumps(manifest).encode()))
-        stream.close()
-        if fs.exists(target) or not fs.rename(draft, target):
-            raise RuntimeError(f"version {version} of {self.base} was written by someone else")
-
-    def _read(self, manifest: dict, buckets: Sequence[int] | None = None) -> DataFrame:
-        schema = StructType.fromJson(manifest["schema"])
-        wanted = manifest["folders"] if buckets is None else {str(b): manifest["folders"][str(b)] for b in buckets if str(b) in manifest["folders"]}
-        paths = [f"{self.base}/data/{folder}/bucket={bucket}" for bucket, folder in wanted.items()]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
-
-    def read(self) -> DataFrame:
-        current = self.version()
-        if current is None:
-            raise FileNotFoundError(f"no version under {self.base}")
-        return self._read(self.manifest(current))
-
-    def _bucket(self, key: str):
-        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
-
-    def upsert(self, batch: DataFrame, key: str, order: str) -> Stored:
-        """Keep the latest rows per key of the table and the batch; rows without a key go."""
-        current = self.version()
-        batch = batch.where(F.col(key).isNotNull())
-        if current is None:
-            old = {"folders": {}, "buckets": self.buckets, "schema": batch.schema.jsonValue()}
-        else:
-            old = self.manifest(current)
-            self.buckets = old["buckets"]
-        touched = [r.bucket for r in batch.select(self._bucket(key).alias("bucket")).distinct().collect()]  # at most one per bucket
-        rows = upsert_latest(self._read(old, touched), batch, key, order)
-        folder = uuid.uuid4().hex
-        seen, count = counted(rows.withColumn("bucket", self._bucket(key)), f"upsert-{folder}")
-        seen.hint("rebalance", "bucket").write.mode("error").partitionBy("bucket").parquet(f"{self.base}/data/{folder}")
-        new = {name.removeprefix("bucket="): folder for name in self._names("data", folder) if name.startswith("bucket=")}
-        version = (current or 0) + 1
-        manifest = {"folders": old["folders"] | new, "buckets": self.buckets, "schema": rows.schema.jsonValue()}
-        self._commit(manifest, version)
-        return Stored(version, count.get["rows"])
-
-    def vacuum(self, keep: int = 1) -> list[str]:
-        """Drop all but the newest `keep` versions and the folders that only those had; returns the folders."""
-        kept = sorted(self.versions())[-max(1, keep) :]
-        named = {folder for v in kept for folder in self.manifest(v)["folders"].values()}
-        fs = self._fs()
-        for v in self.versions():
-            if v not in kept:
-                fs.delete(self._path("manifests", f"{v:08d}.json"), False)
-        gone = [folder for folder in self._names("data") if folder not in named]
-        for folder in gone:
-            fs.delete(self._path("data", folder), True)
-        return gone
+def newest_snapshot(spark: SparkSession, table: str) -> int | None:
+    """The number of the last complete snapshot under `table`; a write that failed has no success file and doesn't count."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table.rstrip('/')}/snapshot=*/_SUCCESS")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or []
+    return max((int(status.getPath().getParent().getName().removeprefix("snapshot=")) for status in found), default=None)
+
+
+def read_snapshot(spark: SparkSession, table: str, number: int | None = None) -> DataFrame:
+    """A snapshot of a table, by default the newest."""
+    number = newest_snapshot(spark, table) if number is None else number
+    if number is None:
+        raise FileNotFoundError(f"no snapshot under {table}")
+    return spark.read.parquet(_snapshot_folder(table, number))
+
+
+def store_latest(spark: SparkSession, table: str, batch: DataFrame, key: str, order: str) -> Stored:
+    """Write the next snapshot: the latest rows per key of the newest one and the batch; rows without a key go.
+
+    Readers of the old snapshot are not disturbed, and a load that fails leaves it in force. Rows whose key the batch doesn't have are copied without a
+    shuffle. Where the cluster has a table format with `MERGE INTO`, that does the same and leaves untouched files in place.
+    """
+    last = newest_snapshot(spark, table)
+    if last is None:
+        rows = upsert_latest(batch.limit(0), batch, key, order)
+    else:
+        rows = upsert_into_clean(read_snapshot(spark, table, last), batch, key, order)
+    number = (last or 0) + 1
+    seen, count = counted(rows, f"snapshot-{uuid.uuid4().hex}")
+    seen.write.mode("overwrite").parquet(_snapshot_folder(table, number))
+    return Stored(number, count.get["rows"])

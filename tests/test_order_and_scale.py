@@ -15,7 +15,7 @@ from reportloom.functions import dates
 from reportloom.operators import joins, keys, ordering, reshape, rollup, spine
 from reportloom.queries import QUERIES
 from reportloom.session import shared_dir
-from reportloom.sinks.files import VersionedTable, write_report
+from reportloom.sinks.files import write_report
 from reportloom.sources.files import last_file
 
 BASE = "/root/testdata/sf0.001"
@@ -104,6 +104,49 @@ def test_empty_frames(spark):
     assert keys.latest_per_key(df, "sheet", "i").count() == 0
 
 
+def test_repeated_keys_are_an_error(spark):
+    """Inside a range and wherever ranges meet: equal keys always lie in one range."""
+    for twice in (0, 7, 1499, 2999):
+        df = spark.range(3000).union(spark.range(twice, twice + 1)).withColumn("sheet", F.lit("s")).repartition(6)
+        for use in (
+            lambda df: ordering.with_dense_index(df, "id"),
+            lambda df: ordering.with_position(df, "sheet", "id"),
+            lambda df: keys.with_load_id(df, "id", now=datetime(2024, 1, 1), name="t"),
+            lambda df: keys.with_snowflake_id(df, "id", start_ms=1_700_000_000_000, name="t"),
+        ):
+            with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+                with pytest.raises(Exception, match="several rows have one key"):
+                    use(df).collect()
+    with pytest.raises(ValueError, match="name the key"):
+        ordering.with_dense_index(spark.range(3), F.col("id").desc())
+
+
+def test_index_takes_null_keys_and_carries_keys_only(spark):
+    df = spark.range(500).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("wide"))
+    out = ordering.with_dense_index(df, F.col("k").asc_nulls_last(), key=["k"])
+    assert {r.k: r.row_index for r in out.collect()} == {**{i: i - 1 for i in range(1, 500)}, None: 499}
+    stored = out._jdf.queryExecution().optimizedPlan().toString()
+    kept = [line for line in stored.splitlines() if "LogicalRDD" in line]
+    assert kept and all("wide" not in line for line in kept)
+
+
+def test_spans_of_ambiguous_rows_are_an_error(spark):
+    rows = [(i, "s", "a") for i in range(50)] + [(50, "s", "x"), (50, "s", "x")]
+    df = spark.createDataFrame(rows, "i int, sheet string, v string")
+    assert [tuple(r) for r in ordering.value_spans(df, "sheet", "v", "i").orderBy("first_row").collect()] == [("s", "a", 3, 52), ("s", "x", 53, 54)]
+    with pytest.raises(Exception, match="rows of one key have different values"):
+        ordering.value_spans(df.union(spark.createDataFrame([(50, "s", "y")], df.schema)), "sheet", "v", "i").collect()
+
+
+def test_spans_read_their_input_twice_at_most(spark):
+    """Once to sample the ranges, once to write them; two windows over the rows, the others over one row per range."""
+    df = spark.range(2000).select(F.col("id").alias("i"), F.lit("s").alias("sheet"), (F.col("id") / 7).cast("int").cast("string").alias("v"))
+    plan = ordering.value_spans(df, "sheet", "v", "i")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range (" not in plan  # the lazy part starts from what was stored
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert sum("partitionBy" in line or "__local" in line for line in windows) <= 4  # segments are made for the rows and for the summary
+
+
 def test_latest_per_key_limits_groups_before_the_shuffle(spark):
     df = spark.createDataFrame([("k", i, i % 3) for i in range(90)] + [(None, 5, 0)], "k string, i int, o int")
     out = keys.latest_per_key(df, "k", "o")
@@ -284,34 +327,6 @@ def test_report_order_and_positions_survive_folders(spark, tmp_path):
             assert own == sorted(own)
 
 
-def test_versions_are_manifests(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), buckets=8)
-    frame = lambda *rows: spark.createDataFrame(list(rows), "k string, id int")
-    rows = lambda: sorted(map(tuple, table.read().collect()))
-    first = [(f"k{i}", i) for i in range(40)]
-    with settings(spark, spark__hadoop__mapreduce__fileoutputcommitter__marksuccessfuljobs="false"):  # no _SUCCESS files
-        assert table.upsert(frame(*first), "k", "id") == (1, 40)
-        before = table.manifest(1)["folders"]
-        stored = table.upsert(frame(("k3", 99), (None, 5)), "k", "id")
-    assert stored.version == 2 and stored.rows < 40  # one bucket was written
-    assert rows() == sorted([*(r for r in first if r[0] != "k3"), ("k3", 99)])
-    after = table.manifest(2)["folders"]
-    assert sum(before[b] != after[b] for b in before) == 1
-    torn = tmp_path / "t" / "data" / "torn"
-    torn.mkdir()
-    (torn / "part-0.parquet").write_bytes(b"torn")  # a load that failed before its manifest
-    assert table.version() == 2 and len(rows()) == 40
-    assert "torn" in table.vacuum() and table.versions() == [2] and len(rows()) == 40
-    table.upsert(frame(("k3", 1)), "k", "id")  # an older row changes nothing
-    assert ("k3", 99) in rows()
-    with pytest.raises(RuntimeError, match="someone else"):
-        table._commit(table.manifest(3), 3)
-    lost = tmp_path / "lost" / "data" / "x"
-    lost.mkdir(parents=True)
-    with pytest.raises(RuntimeError, match="no complete version"):
-        VersionedTable(spark, str(tmp_path / "lost")).upsert(frame(("a", 1)), "k", "id")
-
-
 def test_shared_folder_follows_the_cluster(spark):
     def session(master, **conf):
         return SimpleNamespace(

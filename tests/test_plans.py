@@ -16,7 +16,7 @@ from reportloom.plans.shelf_life import bom_view, parts_in_bom, shelf_life_repor
 from reportloom.plans.visit_reports import visit_reports
 from reportloom.plans.work_orders import load_orders, normalised_orders, order_batch
 from reportloom.plans.work_reports import work_reports
-from reportloom.sinks.files import VersionedTable
+from reportloom.sinks.files import newest_snapshot, read_snapshot
 from reportloom.sources.feed import ORDER_FIELDS, feed_rows, read_feed
 
 AS_OF = date(2023, 7, 5)
@@ -361,23 +361,49 @@ def test_load_orders(spark, tmp_path):
         (folder / "feed.json").write_text(json.dumps({"DATA": data}, indent=1))
         return str(folder)
 
-    table = VersionedTable(spark, str(tmp_path / "orders"))
+    table = str(tmp_path / "orders")
+    read = lambda: read_snapshot(spark, table)
     with pytest.raises(FileNotFoundError):
-        table.read()
+        read()
     many = [order(str(i % 12), MATNR=f"first{i}") for i in range(24)] + [order(None)]
     assert load_orders(spark, land("a", many), table, stamp("2023-06-01 00:00:00")) == (1, 12)
-    first = table.read()
+    first = read()
     assert first.count() == 12
     assert {r.Product_Code for r in first.collect()} == {f"first{i}" for i in range(12, 24)}  # later rows of a batch win
-    assert load_orders(spark, land("b", order("3", MATNR="second")), table, stamp("2023-06-02 00:00:00")).version == 2
-    second = {r.Order_Id: r.Product_Code for r in table.read().collect()}
+    assert load_orders(spark, land("b", order("3", MATNR="second")), table, stamp("2023-06-02 00:00:00")) == (2, 12)
+    second = {r.Order_Id: r.Product_Code for r in read().collect()}
     assert len(second) == 12 and second["3"] == "second" and second["4"] == "first16"
-    before = sorted(map(str, table.read().collect()))
+    assert first.count() == 12 and "second" not in {r.Product_Code for r in first.collect()}  # readers of the old snapshot keep it
+    before = sorted(map(str, read().collect()))
     load_orders(spark, str(tmp_path / "b"), table, stamp("2023-06-02 00:00:00"))
-    assert sorted(map(str, table.read().collect())) == before  # the same batch again changes nothing
+    assert sorted(map(str, read().collect())) == before  # the same batch again changes nothing
     older = load_orders(spark, land("c", order("3", MATNR="stale")), table, stamp("2023-05-01 00:00:00"))
-    assert table.version() == older.version
-    assert {r.Order_Id: r.Product_Code for r in table.read().collect()}["3"] == "second"
+    assert newest_snapshot(spark, table) == older.snapshot == 4
+    assert {r.Order_Id: r.Product_Code for r in read().collect()}["3"] == "second"
+    torn = tmp_path / "orders" / "snapshot=00000005"
+    torn.mkdir()
+    (torn / "part-0.parquet").write_bytes(b"torn")  # a load that failed
+    assert newest_snapshot(spark, table) == 4
+    assert load_orders(spark, str(tmp_path / "b"), table, stamp("2023-06-03 00:00:00")) == (5, 12)
+
+
+def test_a_third_of_a_feed_on_one_day(spark, tmp_path, monkeypatch):
+    """Landed files stay small, and a hot day is read and loaded like any other."""
+    from pyspark.sql import functions as F
+
+    from reportloom.queries import tables_in_out
+
+    monkeypatch.setattr(tables_in_out, "PAYLOADS_PER_FILE", 500)
+    day = F.date_add(F.lit(date(2024, 1, 1)), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5).cast("int"))
+    data = F.to_json(F.struct(F.col("id").cast("string").alias("AUFNR"), F.lit("x").alias("MATNR")))
+    payloads = spark.range(6000).select(F.col("id").alias("event_id"), data.alias("DATA"), day.alias("day"))
+    tables_in_out.land_feed(payloads, str(tmp_path / "feed"))
+    files = list((tmp_path / "feed").glob("day=*/block=*/part-*"))
+    assert len(files) > 12 and max(f.stat().st_size for f in files) < 500 * 40
+    stored = load_orders(spark, str(tmp_path / "feed" / "*" / "*"), str(tmp_path / "table"), NOW)
+    assert stored == (1, 6000)
+    ids = [r.Order_Id for r in read_snapshot(spark, str(tmp_path / "table")).orderBy("id").collect()]
+    assert ids == [str(r.event_id) for r in payloads.orderBy("day", "event_id").collect()]
 
 
 def test_feed_order_follows_arrival(spark, tmp_path):
