@@ -22,17 +22,35 @@ def _null_safe(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys])
 
 
-#: Right rows that one null key may match. More of them are an error: each left row without a key would meet them all.
-MAX_NULL_MATCHES = 10_000
+#: Rows that null keys may give in a merge: left rows without a key times right rows without one. More of them are an error.
+MAX_NULL_MATCHES = 100_000
 
 
-def _with_null_guard(right: DataFrame, keys: Sequence[str], most: int) -> DataFrame:
-    """`right`, which fails when read if a key with a null in it stands for more than `most` rows."""
+def merged_rows(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+    """`matches`, the exact number of matching pairs of a null-safe merge, one row: for each key left rows times right rows.
+
+    Both sides are counted per key first, so a frequent key is one row on either side and no pair is formed.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    count = F.count(F.lit(1)).cast("decimal(19,0)")
+    lefts = left.groupBy(*keys).agg(count.alias("__left"))
+    rights = _renamed_keys(right.groupBy(*keys).agg(count.alias("__right")), keys)
+    both = lefts.join(rights, _null_safe(keys))
+    return both.agg(F.coalesce(F.sum(F.col("__left") * F.col("__right")), F.lit(0)).alias("matches"))
+
+
+def _with_guard(left: DataFrame, right: DataFrame, keys: Sequence[str], max_null_matches: int | None, max_matches: int | None) -> DataFrame:
+    """`right`, which fails when read if the merge would have more matches by null keys, or in all, than are allowed."""
     with_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    counts = right.where(with_null).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    largest = counts.agg(F.coalesce(F.max("n"), F.lit(0))).scalar()
-    message = f"a null key matches more than {most} rows; clean the keys or raise max_null_matches"
-    return right.where(F.assert_true(~with_null | (largest <= most), message).isNull())
+    for most, rows, what in ((max_null_matches, with_null, "null keys"), (max_matches, None, "keys")):
+        if most is None:
+            continue
+        sides = (left, right) if rows is None else (left.where(rows), right.where(rows))
+        matches = merged_rows(*sides, keys).scalar()
+        message = F.concat(F.lit(f"{what} match in "), matches.cast("string"), F.lit(f" pairs of rows, more than {most}; clean the keys or raise the bound"))
+        checked = F.lit(True) if rows is None else rows
+        right = right.where(F.assert_true(~checked | (matches <= most), message).isNull())
+    return right
 
 
 def left_lookup(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -46,11 +64,19 @@ def left_lookup_where(left: DataFrame, right: DataFrame, on: str, condition: Col
 
 
 def left_merge(
-    left: DataFrame, right: DataFrame, keys: str | Sequence[str], max_null_matches: int = MAX_NULL_MATCHES
+    left: DataFrame,
+    right: DataFrame,
+    keys: str | Sequence[str],
+    max_null_matches: int | None = MAX_NULL_MATCHES,
+    max_matches: int | None = None,
 ) -> DataFrame:
-    """Left join in which a null key matches null keys, of which the right side may have `max_null_matches`."""
+    """Left join in which a null key matches null keys.
+
+    Before any pair is formed, the matches of null keys are counted exactly, and more than `max_null_matches` raise; so do more than
+    `max_matches` by any keys. None spares the count, as for a right side with one row per key.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    right = _renamed_keys(_with_null_guard(right, keys, max_null_matches), keys)
+    right = _renamed_keys(_with_guard(left, right, keys, max_null_matches, max_matches), keys)
     return left.join(right, _null_safe(keys), "left").drop(*[f"__right_{k}" for k in keys])
 
 
@@ -59,7 +85,8 @@ def left_merge_large_right(
     right: DataFrame,
     keys: str | Sequence[str],
     right_keys: DataFrame | None = None,
-    max_null_matches: int = MAX_NULL_MATCHES,
+    max_null_matches: int | None = MAX_NULL_MATCHES,
+    max_matches: int | None = None,
 ) -> DataFrame:
     """`left_merge` for a large right side that may hold hot keys.
 
@@ -69,7 +96,7 @@ def left_merge_large_right(
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     hidden = [f"__right_{k}" for k in keys]
-    renamed = _renamed_keys(_with_null_guard(right, keys, max_null_matches), keys)
+    renamed = _renamed_keys(_with_guard(left, right, keys, max_null_matches, max_matches), keys)
     matched = left.join(renamed, _null_safe(keys), "inner").drop(*hidden)
     present = _renamed_keys((right if right_keys is None else right_keys).select(*keys), keys).distinct()
     unmatched = left.join(present, _null_safe(keys), "left_anti")

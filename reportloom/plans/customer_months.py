@@ -66,9 +66,10 @@ def customer_months(
         orders, "BOS_Group_Id", "Order_Date", "Final_Order_Rebate_Amount_Cny", "Sales_Representative_Name", as_of
     )
     shipped = month_pair_sums(shipments, "BOS_Group_Id", "Stock_Out_Date", "Rebate_Sales_Amount_Cny", as_of, "sales_amount")
-    df = left_merge(base, ordered, "BOS_Group_Id")
-    df = left_merge(df, shipped, "BOS_Group_Id")
-    df = left_merge(df, visit_counts(forms, cells, as_of, legacy_previous_month), "crm_code")
+    # Each right side has one row per key, so nothing is multiplied.
+    df = left_merge(base, ordered, "BOS_Group_Id", max_null_matches=None)
+    df = left_merge(df, shipped, "BOS_Group_Id", max_null_matches=None)
+    df = left_merge(df, visit_counts(forms, cells, as_of, legacy_previous_month), "crm_code", max_null_matches=None)
     return df.withColumns(
         {
             "Sales_Representative_Name": first_known(

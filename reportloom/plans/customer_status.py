@@ -55,7 +55,7 @@ def customer_status(
         (F.col("region2") == department) & F.col("region3").isNotNull() & F.col("region4").isNotNull()
     ).select("customerName", "ownerUserName", "region3", "region4", "crm_code", "bos_code")
     df = left_lookup(base, states.select("bos_code", *_AMOUNTS), "bos_code")
-    df = left_merge(df, visit_counts(forms, cells, now, visit_forms), "crm_code")
+    df = left_merge(df, visit_counts(forms, cells, now, visit_forms), "crm_code", max_null_matches=None)
     df = df.fillna(0, subset=_AMOUNTS + _VISITS).withColumn("order", category_rank(F.col("region3"), region_order))
     df = df.orderBy(
         F.col("order").asc_nulls_last(),

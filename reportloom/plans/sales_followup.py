@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reportloom.functions.dates import month_to_yesterday, report_header
 from reportloom.functions.text import decode, sheet_title, workbook_link
-from reportloom.operators.joins import attribute_joins, left_merge, left_merge_large_right
+from reportloom.operators.joins import MAX_NULL_MATCHES, attribute_joins, left_merge, left_merge_large_right
 from reportloom.operators.ordering import category_rank
 from reportloom.operators.project import fill_all_as_text, with_header
 from reportloom.plans.settings import (
@@ -69,15 +69,17 @@ def sales_followup(
     region_order: Sequence[str] = LARGE_REGIONS,
     kinds: Mapping[str, str] = FORM_KINDS,
     region: str | None = None,
+    max_null_matches: int | None = MAX_NULL_MATCHES,
 ) -> DataFrame:
-    """Every sales user with each of their forms, typed; `region` keeps one large region."""
+    """Every sales user with each of their forms, typed; `region` keeps one large region, `max_null_matches` bounds what missing
+    e-mail addresses and customer codes may match."""
     people = sales_users(users, department, posts)
     if region is not None:
         people = people.where(F.col("region3") == region)
     month = month_forms(forms, now, kinds)
     cells = cells.join(month.select("form_id"), "form_id", "left_semi")
-    df = left_merge_large_right(people, month_visits(month, cells, kinds), "email", right_keys=month)
-    df = left_merge(df, customers.select("crm_code", "businessName"), "crm_code")
+    df = left_merge_large_right(people, month_visits(month, cells, kinds), "email", month, max_null_matches)
+    df = left_merge(df, customers.select("crm_code", "businessName"), "crm_code", max_null_matches)
     return df.withColumns(
         {"has_report": F.col("form_key").isNotNull(), "order_rank": category_rank(F.col("region3"), region_order)}
     )

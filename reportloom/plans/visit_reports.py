@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reportloom.functions.dates import month_to_yesterday
 from reportloom.functions.text import contact_lines, day_prefix, decode, display, sheet_title, without_quotes
-from reportloom.operators.joins import left_lookup, left_merge
+from reportloom.operators.joins import MAX_NULL_MATCHES, left_lookup, left_merge
 from reportloom.operators.project import rename_fields, underscore_names
 from reportloom.operators.reshape import composite_attribute, forms_with_attributes, with_sentinel_row
 from reportloom.operators.rollup import joined_text
@@ -79,6 +79,7 @@ def visit_reports(
     form_keys: Sequence[str] = VISIT_FORMS,
     region: str | None = None,
     ignore: Sequence[str] = (),
+    max_null_matches: int | None = MAX_NULL_MATCHES,
 ) -> DataFrame:
     """Visits with customer and comments; `comment_order` gives the order in which comments are joined. Without `attributes` the month's
     forms tell which fields there are.
@@ -89,7 +90,7 @@ def visit_reports(
     month = month_forms(forms, now, form_keys)
     ids = month.select("form_id")
     cells, comments = cells.join(ids, "form_id", "left_semi"), comments.join(ids, "form_id", "left_semi")
-    df = left_merge(with_fields(month, cells, attributes, ignore), customer_amounts(customers, states), "crm_code")
+    df = left_merge(with_fields(month, cells, attributes, ignore), customer_amounts(customers, states), "crm_code", max_null_matches)
     df = left_lookup(df, joined_text(comments, "form_id", "remark", comment_order), "form_id")
     if region is not None:
         df = df.where(F.col("region3") == region)

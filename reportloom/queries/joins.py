@@ -9,6 +9,7 @@ from reportloom.operators.joins import (
     left_lookup_where,
     left_merge,
     left_merge_large_right,
+    merged_rows,
     not_in_use,
     snowflake,
 )
@@ -108,6 +109,20 @@ def null_safe_merge_large_right(spark, base):
     return left_merge_large_right(*_null_safe_sides(spark, base), "k")
 
 
+@query(
+    "merged_rows_j6",
+    """SELECT 'documents' AS merge, CAST(count(*) AS BIGINT) AS matches FROM (SELECT CASE WHEN lang = 'de' THEN NULL ELSE doc_id END AS k FROM documents) d
+         JOIN (SELECT NULLIF(doc_id, (SELECT MIN(doc_id) FROM labels)) AS k FROM labels) l ON d.k IS NOT DISTINCT FROM l.k
+       UNION ALL SELECT 'lines', CAST(sum(n * n) AS BIGINT) FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_suppkey, NULLIF(l_returnflag, 'R'))""",
+)
+def merge_sizes(spark, base):
+    """Sizes of two merges; the second one, of all lines with all lines of their supplier and flag, is never formed."""
+    lines = S.table(spark, base, "lineitem").select("l_suppkey", F.nullif(F.col("l_returnflag"), F.lit("R")).alias("flag"))
+    sizes = {"documents": merged_rows(*_null_safe_sides(spark, base), "k"), "lines": merged_rows(lines, lines, ["l_suppkey", "flag"])}
+    parts = [df.select(F.lit(name).alias("merge"), F.col("matches").cast("bigint").alias("matches")) for name, df in sizes.items()]
+    return parts[0].unionByName(parts[1])
+
+
 @query("parts_in_use_j8", "SELECT p_partkey, p_name FROM part WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity > 49)")
 def parts_in_use(spark, base):
     used = S.table(spark, base, "lineitem").where("l_quantity > 49").select(F.col("l_partkey").alias("p_partkey"))

@@ -198,7 +198,7 @@ def test_hot_null_key_on_the_left_is_split(spark):
 def test_hot_key_on_the_right_is_split(spark):
     left = spark.range(700).select(F.when(F.col("id") > 0, F.col("id").cast("string")).alias("k"), F.col("id").alias("u"))
     with settings(spark, **SKEW):
-        out = joins.left_merge_large_right(left, hot(spark), "k", max_null_matches=100_000)
+        out = joins.left_merge_large_right(left, hot(spark), "k", max_null_matches=10**9)
         assert "skew=true" in final_plan(out)
     matched = hot(spark).where("k IS NULL OR k <> '0'").count()
     assert out.where("id IS NOT NULL").count() == matched
@@ -219,12 +219,38 @@ def test_form_with_a_third_of_the_cells_is_split(spark):
 
 
 def test_null_keys_match_up_to_a_limit(spark):
-    left = spark.createDataFrame([(None, 1), ("a", 2)], "k string, l int")
+    left = spark.createDataFrame([(None, 1), (None, 3), ("a", 2)], "k string, l int")
     right = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("a", 4), ("a", 5)], "k string, r int")
     for merge in (joins.left_merge, joins.left_merge_large_right):
-        assert merge(left, right, "k", max_null_matches=2).count() == 5
-        with pytest.raises(Exception, match="null key matches more than 1 rows"):
-            merge(left, right, "k", max_null_matches=1).collect()
+        assert merge(left, right, "k", max_null_matches=4).count() == 7
+        assert merge(left, right, "k", max_null_matches=None).count() == 7
+        with pytest.raises(Exception, match="null keys match in 4 pairs of rows, more than 3"):
+            merge(left, right, "k", max_null_matches=3).collect()
+        assert merge(left, right, "k", max_matches=7).count() == 7
+        with pytest.raises(Exception, match="keys match in 7 pairs of rows, more than 6"):
+            merge(left, right, "k", max_matches=6).collect()
+
+
+def test_null_keys_on_one_side_match_nothing(spark):
+    nulls = lambda n: spark.range(n).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("v"))
+    keyed = spark.createDataFrame([("a", 1), ("b", 2)], "k string, l int")
+    for merge in (joins.left_merge, joins.left_merge_large_right):
+        assert merge(keyed, nulls(10_001), "k").where("v IS NULL").count() == 2
+        assert merge(nulls(10_001).withColumnRenamed("v", "l"), keyed.withColumnRenamed("l", "v"), "k").count() == 10_001
+        with pytest.raises(Exception, match="null keys match in 120000 pairs"):
+            merge(nulls(300).withColumnRenamed("v", "l"), nulls(400), "k").collect()
+
+
+def test_size_of_a_merge_against_the_merge(spark):
+    rng = random.Random(9)
+    rows = lambda n: [(rng.choice(["a", "b", "c", None]), rng.choice([1, 2, None]), i) for i in range(n)]
+    left = spark.createDataFrame(rows(60), "k string, j int, l int")
+    right = spark.createDataFrame(rows(50), "k string, j int, r int")
+    matched = joins.left_merge(left, right, ["k", "j"], max_null_matches=None).where("r IS NOT NULL").count()
+    assert joins.merged_rows(left, right, ["k", "j"]).first().matches == matched
+    hot = spark.range(100_000).select(F.lit(None).cast("string").alias("k"), F.col("id"))
+    assert joins.merged_rows(hot, hot, "k").first().matches == 10**10
+    assert joins.merged_rows(left.limit(0), right, "k").first().matches == 0
 
 
 def test_too_long_indexes_are_an_error(spark):
