@@ -130,13 +130,27 @@ def occurrences_where(df: DataFrame, key: str, conditions: Mapping[str, Column])
     )
 
 
-def joined_text(df: DataFrame, key: str, text: str, order_by: str, separator: str = "\\r\\n") -> DataFrame:
+#: A cell holds at most this many bytes.
+MOST_CELL_BYTES = (1 << 31) - 64
+
+
+def joined_text(df: DataFrame, key: str, text: str, order_by: str, separator: str = "\r\n", most_bytes: int = MOST_CELL_BYTES) -> DataFrame:
     """All texts of a key as one text in `order_by` order; null texts and null keys are skipped.
 
-    `separator` is written as a SQL literal. The result of a key is one cell, so it has to fit one.
+    The rows are range-partitioned by key and order, so a key with very many texts lies in several ranges, one after the other. Each
+    range joins its texts of a key to a block, then the blocks of a key are joined in order of the ranges. A key's result is one cell: the
+    sizes are summed up before any text is joined, and more than `most_bytes` raise.
     """
-    joined = F.expr(f"listagg(`{text}`, '{separator}') WITHIN GROUP (ORDER BY `{order_by}`)")
-    return df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).groupBy(key).agg(joined.alias(text))
+    known = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, F.col(order_by).alias("__order"), F.col(text).alias("__text"))
+    sizes = known.groupBy(key).agg(F.sum(F.octet_length("__text") + len(separator.encode())).alias("bytes"))
+    largest = sizes.agg(F.coalesce(F.max("bytes"), F.lit(0)) - len(separator.encode())).scalar()
+    message = F.concat(F.lit("the texts of one key have "), largest.cast("string"), F.lit(f" bytes, more than {most_bytes} that fit one cell"))
+    checked = known.where(F.assert_true(largest <= most_bytes, message).isNull())
+    ranged = checked.repartitionByRange(key, "__order").withColumn("__range", F.spark_partition_id())
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("__order", "__text"))), lambda x: x["__text"])
+    blocks = ranged.groupBy(key, "__range").agg(F.array_join(parts, separator).alias("__text"))
+    joined = F.transform(F.array_sort(F.collect_list(F.struct("__range", "__text"))), lambda x: x["__text"])
+    return blocks.groupBy(key).agg(F.array_join(joined, separator).alias(text))
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

@@ -62,6 +62,12 @@ def cut_slices(frame: DataFrame, slices: Sequence[Slice], day: str) -> DataFrame
     return cut.select("slice_id", day, *[_owned(slices, c, f"`{c}`").alias(c) for c in shown])
 
 
+def _wanted_days(spark: SparkSession, slices: Sequence[Slice], as_of: date, day: str, days: int) -> DataFrame:
+    ids = ", ".join(_literal(s.slice_id) for s in slices)
+    wanted = spark.range(1).select(F.expr(f"explode(array({ids}))").alias("slice_id"))
+    return wanted.select("slice_id", F.explode(spine_days(as_of, days)).alias(day))
+
+
 def fill_missing_days(
     cut: DataFrame, slices: Sequence[Slice], as_of: date, day: str, days: int = 14, row_level: bool = False
 ) -> DataFrame:
@@ -71,10 +77,7 @@ def fill_missing_days(
     For a `row_level` frame, where one day of a slice may hold most rows, only the distinct (slice, day) pairs
     meet the spine and the rows themselves are not shuffled.
     """
-    spark = cut.sparkSession
-    ids = ", ".join(_literal(s.slice_id) for s in slices)
-    wanted = spark.range(1).select(F.expr(f"explode(array({ids}))").alias("slice_id"))
-    wanted = wanted.select("slice_id", F.explode(spine_days(as_of, days)).alias(day))
+    wanted = _wanted_days(cut.sparkSession, slices, as_of, day, days)
     zeros = {f.name: _zero(f, slices) for f in cut.schema.fields if f.name not in ("slice_id", day)}
     if row_level:
         missing = wanted.join(cut.select("slice_id", day).distinct(), ["slice_id", day], "left_anti")
@@ -87,3 +90,30 @@ def fill_missing_days(
 def _zero(f: T.StructField, slices: Sequence[Slice]) -> Column:
     zero = "'0'" if isinstance(f.dataType, T.StringType) else f"CAST(0 AS {f.dataType.simpleString()})"
     return _owned(slices, f.name, zero)
+
+
+def rows_and_sums(
+    frame: DataFrame, shown: Sequence[Slice], summed: Sequence[Slice], measures: Sequence[str], as_of: date, day: str, days: int = 14
+) -> DataFrame:
+    """The rows of the `shown` slices and the daily sums of the `summed` ones, both with a zero row for each day that they lack.
+
+    One aggregate over the rows tagged with all slices gives the sums (0 for all-null measures) and tells which days are there;
+    the rows themselves are not shuffled.
+    """
+    rows = cut_slices(frame, shown, day)
+    totals = cut_slices(frame, [*shown, *summed], day).where(F.col(day).isNotNull()).groupBy("slice_id", day).agg(*[F.sum(m).alias(m) for m in measures])
+    joined = _wanted_days(frame.sparkSession, [*shown, *summed], as_of, day, days).join(totals.withColumn("__present", F.lit(True)), ["slice_id", day], "full")
+    is_sum = F.col("slice_id").isin([s.slice_id for s in summed])
+    kept = joined.where(F.col("__present").isNull() | is_sum)
+    columns = []
+    for f in rows.schema.fields:
+        if f.name in ("slice_id", day):
+            continue
+        zero = _zero(f, [*shown, *summed])
+        if f.name in measures:
+            own = F.col("slice_id").isin([s.slice_id for s in summed if f.name in s.columns])
+            zero = F.when(F.col("__present"), F.when(own, F.coalesce(F.col(f.name), F.lit(0)).cast(f.dataType))).otherwise(zero)
+        else:
+            zero = F.when(F.col("__present").isNull(), zero)
+        columns.append(zero.alias(f.name))
+    return rows.unionByName(kept.select("slice_id", day, *columns))

@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 from reportloom.functions.dates import day_label, in_last_days, in_last_days_int, in_last_days_text, int_date, text_date_to_int, weekend_style
 from reportloom.functions.predicates import differs_or_null
-from reportloom.operators.rollup import LEVEL_ALL, LEVEL_DAY, LEVEL_GROUP, daily_by_category, report_sums, three_levels
-from reportloom.operators.spine import Slice, cut_slices, date_spine, fill_missing_days
+from reportloom.operators.rollup import LEVEL_ALL, LEVEL_DAY, LEVEL_GROUP, daily_by_category, three_levels
+from reportloom.operators.spine import Slice, cut_slices, date_spine, fill_missing_days, rows_and_sums
 from reportloom.plans.settings import DailyKpiNames
 
 DAYS = 14
@@ -22,28 +22,37 @@ KPI_TEXTS = ["L1Subject1", "L2Subject2", "L3Subject3", "D1"]
 KPI_COLUMNS = ["MA0", "MA1", *KPI_TEXTS]
 
 
-def trade_totals(
-    facts: Mapping[str, DataFrame], products: DataFrame, groups: Sequence[str], as_of: date, left_out_of_backlog: str
-) -> DataFrame:
-    """Three levels of daily totals per fact; facts have Date, Business_Group, product_code and the measures.
-
-    `Date` is a date, a timestamp or an integer `yyyyMMdd`.
-    """
-    recent = []
+def _plain_facts(facts: Mapping[str, DataFrame], groups: Sequence[str], as_of: date | None) -> DataFrame:
+    """The facts of the groups under each other with `Date` as a date; with `as_of` only those of the last days."""
+    parts = []
     for name, df in facts.items():
         number = isinstance(df.schema["Date"].dataType, T.IntegralType)
-        within = (in_last_days_int if number else in_last_days)(F.col("Date"), as_of, DAYS)
         day = F.to_date(F.col("Date").cast("string"), "yyyyMMdd") if number else F.col("Date").cast("date")
-        rows = df.where(within & F.col("Business_Group").isin(list(groups)))
-        recent.append(rows.select(F.lit(name).alias("fact"), day.alias("Date"), "Business_Group", "product_code", *MEASURES))
-    daily = daily_by_category(
-        reduce(DataFrame.unionByName, recent),
-        products,
-        ["fact", "Date", "Business_Group"],
-        "product_code",
-        "product_categories",
-        MEASURES,
-    ).where((F.col("fact") != "backlog") | differs_or_null(F.col("product_categories"), left_out_of_backlog))
+        rows = df.where(F.col("Business_Group").isin(list(groups)))
+        if as_of is not None:
+            rows = rows.where((in_last_days_int if number else in_last_days)(F.col("Date"), as_of, DAYS))
+        parts.append(rows.select(F.lit(name).alias("fact"), day.alias("Date"), "Business_Group", "product_code", *MEASURES))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def daily_totals(facts: Mapping[str, DataFrame], products: DataFrame, groups: Sequence[str], as_of: date | None = None) -> DataFrame:
+    """Sums per fact, day, group and category; facts have Date, Business_Group, product_code and the measures.
+
+    `Date` is a date, a timestamp or an integer `yyyyMMdd`.
+    """
+    keys = ["fact", "Date", "Business_Group"]
+    return daily_by_category(_plain_facts(facts, groups, as_of), products, keys, "product_code", "product_categories", MEASURES)
+
+
+def without_left_out(daily: DataFrame, left_out_of_backlog: str) -> DataFrame:
+    return daily.where((F.col("fact") != "backlog") | differs_or_null(F.col("product_categories"), left_out_of_backlog))
+
+
+def trade_totals(
+    facts: Mapping[str, DataFrame], products: DataFrame, groups: Sequence[str], as_of: date, left_out_of_backlog: str
+) -> DataFrame:
+    """Three levels of daily totals per fact for the last days."""
+    daily = without_left_out(daily_totals(facts, products, groups, as_of), left_out_of_backlog)
     return three_levels(daily, "Date", "Business_Group", "product_categories", MEASURES, within=["fact"])
 
 
@@ -117,16 +126,8 @@ def kpi_rows(kpis: DataFrame, as_of: date, names: DailyKpiNames) -> DataFrame:
 
 
 def kpi_series(kpis: DataFrame, as_of: date, names: DailyKpiNames) -> DataFrame:
-    rows = kpi_rows(kpis, as_of, names)
-    shown, summed = kpi_row_slices(names), kpi_sum_slices(names)
-    as_is = fill_missing_days(cut_slices(rows, shown, "Date"), shown, as_of, "Date", DAYS, row_level=True)
-    # The cut leaves a measure null in slices that do not show it; the sum turns that into 0, so mask again.
-    sums = report_sums(cut_slices(rows, summed, "Date"), ["slice_id", "Date"], ["MA0", "MA1"])
-    masked = sums.withColumns(
-        {m: F.when(F.col("slice_id").isin([s.slice_id for s in summed if m in s.columns]), F.col(m)) for m in ("MA0", "MA1")}
-    )
-    filled = fill_missing_days(masked, summed, as_of, "Date", DAYS)
-    return as_is.unionByName(filled, allowMissingColumns=True)
+    """Rows as they are and daily sums; the KPI table is read once for the rows and once for sums and missing days."""
+    return rows_and_sums(kpi_rows(kpis, as_of, names), kpi_row_slices(names), kpi_sum_slices(names), ["MA0", "MA1"], as_of, "Date", DAYS)
 
 
 def daily_series(

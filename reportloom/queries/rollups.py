@@ -1,5 +1,7 @@
 """Aggregations and set operations."""
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from reportloom.functions.dates import in_last_days
@@ -14,9 +16,11 @@ from reportloom.operators.rollup import (
     report_sums,
     three_levels,
 )
-from reportloom.plans.operations_daily import MEASURES, from_order_table, kpi_rows
+from reportloom.plans.daily_partials import add_batch, kept_totals, recount_day
+from reportloom.plans.operations_daily import DAYS, MEASURES, from_order_table, kpi_rows
 from reportloom.queries import standins as S
 from reportloom.queries.registry import query
+from reportloom.session import new_folder
 
 
 def _all_days(spark, base):
@@ -124,6 +128,26 @@ def month_pair_shipments(spark, base):
     return S.as_double(out, "last_month_sales_amount", "this_month_sales_amount")
 
 
+@query(
+    "incremental_days_a1_a3",
+    f"""WITH daily AS (SELECT * FROM ({_DAILY}) WHERE d >= DATE '2001-07-01' AND d < DATE '2001-07-15' AND g IN ('1-URGENT', '2-HIGH', '3-MEDIUM'))
+        SELECT 'orders' AS fact, d AS "Date", g AS "Business_Group", c AS product_categories, CAST(1 AS INTEGER) AS level, q AS "Total_Quantity",
+               CAST(a AS DOUBLE) AS "Total_Amount" FROM daily
+        UNION ALL SELECT 'orders', d, g, NULL, 2, SUM(q), CAST(SUM(a) AS DOUBLE) FROM daily GROUP BY d, g
+        UNION ALL SELECT 'orders', d, NULL, NULL, 3, SUM(q), CAST(SUM(a) AS DOUBLE) FROM daily GROUP BY d""",
+)
+def incremental_days(spark, base):
+    """14 days, a batch each; lines of small quantity come two days late, those of the last days in a batch of their own."""
+    folder, groups = new_folder(spark, "partials"), list(S.GROUPS.values())
+    lines = from_order_table(S.order_lines(spark, base)).withColumn("Date", F.col("Date").cast("date"))
+    arrived = F.when(F.col("Total_Quantity") < 8, F.date_add("Date", 2)).otherwise(F.col("Date"))
+    for back in range(DAYS, -2, -1):
+        today = S.AS_OF - timedelta(days=back)
+        add_batch({"orders": lines.where(arrived == F.lit(today))}, S.products(spark, base), groups, folder, f"{today:%Y%m%d}")
+    recount_day({"orders": lines}, S.products(spark, base), groups, folder, S.AS_OF - timedelta(days=5))
+    return S.as_double(kept_totals(spark, folder, S.AS_OF, S.KPI_NAMES.left_out_of_backlog), "Total_Amount")
+
+
 @query(
     "occurrences_a8",
     """SELECT 'C' || user_id AS crm_code, COUNT(*) AS visit_nums FROM events WHERE value >= 1 GROUP BY user_id""",

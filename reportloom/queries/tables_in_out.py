@@ -1,22 +1,19 @@
 """Sources and sinks: feeds, file choice, appended and replaced tables, written reports."""
 
-import uuid
 from datetime import UTC, datetime
 
 from pyspark.sql import functions as F
 
+from reportloom.functions.dates import in_month
 from reportloom.operators.keys import upsert_latest
 from reportloom.operators.ordering import with_dense_index, with_position
 from reportloom.queries import standins as S
 from reportloom.queries.registry import query
-from reportloom.session import shared_dir
-from reportloom.sinks.files import append_rows, read_snapshot, store_latest, write_report
+from reportloom.session import new_folder
+from reportloom.sinks.files import append_rows, facts_of_days, read_snapshot, store_latest, write_by_month, write_report
 from reportloom.sources.feed import feed_rows, limit_feed, read_feed
 from reportloom.sources.files import newest_file
-
-
-def new_folder(spark, name):
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+from reportloom.sources.ranges import equal_depth_predicates, union_of
 
 
 @query("warehouse_read_s1", "SELECT p_partkey, p_name, p_retailprice FROM part")
@@ -24,6 +21,35 @@ def warehouse_read(spark, base):
     return S.table(spark, base, "part").select("p_partkey", "p_name", "p_retailprice")
 
 
+@query(
+    "equal_depth_read_s1",
+    "SELECT event_id, CASE WHEN event_type = 'error' THEN NULL WHEN event_type IN ('view', 'click') THEN 7 ELSE user_id END AS k FROM events",
+)
+def equal_depth_read(spark, base):
+    """Events read in parts by a key that is often 7 and often null; both are cut further by the event's id."""
+    kind, user = F.col("event_type"), F.col("user_id")
+    k = F.when(kind.isin("view", "click"), F.lit(7).cast("bigint")).when(kind != "error", user).alias("k")
+    events = S.table(spark, base, "events").select("event_id", k)
+    return union_of(events, equal_depth_predicates(events, "k", 16, "event_id"))
+
+
+@query(
+    "facts_of_days_j1_f4",
+    """SELECT l_orderkey, l_linenumber, l_quantity, p_type FROM lineitem JOIN part ON p_partkey = l_partkey
+       WHERE CAST(l_shipdate AS DATE) IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderdate >= DATE '2001-07-01' AND o_orderdate < DATE '2001-08-01' AND o_orderpriority = '1-URGENT')""",
+)
+def facts_of_chosen_days(spark, base):
+    """Shipments stored by month, of the days in July on which urgent orders came, with their products."""
+    folder = new_folder(spark, "shipments")
+    lines = S.table(spark, base, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate")
+    write_by_month(lines, folder, "l_shipdate")
+    july = S.table(spark, base, "orders").where(in_month(F.col("o_orderdate"), S.AS_OF) & (F.col("o_orderpriority") == "1-URGENT"))
+    days = july.select(F.col("o_orderdate").alias("l_shipdate"))
+    kept = facts_of_days(spark.read.parquet(folder), days, "l_shipdate")
+    parts = S.table(spark, base, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    return kept.join(parts, "l_partkey").select("l_orderkey", "l_linenumber", "l_quantity", "p_type")
+
+
 def feed_payloads(spark, base):
     """One payload per event: a single order object, or for views a list of two orders."""
     end = F.when(F.col("event_type") == "error", "0000-00-00").otherwise(F.date_format("ts", "yyyy-MM-dd"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +41,11 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[context.applicationId]
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the shared one."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows and their partitions are fixed and survive lost executors."""
     context = df.sparkSession.sparkContext

@@ -36,6 +36,23 @@ def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("append").save(path)
 
 
+PERIOD = "period"
+
+
+def write_by_month(df: DataFrame, path: str, day: str, mode: str = "error") -> None:
+    """Write facts in a folder per month of `day` (column `period`, the first of the month)."""
+    placed = df.withColumn(PERIOD, F.trunc(F.col(day).cast("date"), "MM"))
+    placed.hint("rebalance", PERIOD).write.mode(mode).partitionBy(PERIOD).parquet(path)
+
+
+def facts_of_days(facts: DataFrame, days: DataFrame, day: str) -> DataFrame:
+    """Facts written by month whose day is in `days`. Only the months of those days are read: Spark looks them up first and prunes
+    the folders with them (dynamic partition pruning)."""
+    wanted = days.select(F.col(day).cast("date").alias("__day")).distinct().withColumn("__period", F.trunc("__day", "MM"))
+    joined = facts.join(wanted, (F.col(PERIOD) == F.col("__period")) & (F.col(day).cast("date") == F.col("__day")), "left_semi")
+    return joined.drop(PERIOD)
+
+
 class Stored(NamedTuple):
     """A snapshot of a table, and its rows."""
 
