@@ -25,6 +25,12 @@ def category_rank(c: Column, order: Sequence[str]) -> Column:
     return F.when(position > 0, position - 1)
 
 
+def in_category_order(df: DataFrame, column: str, order: Sequence, *rest: Column | str) -> DataFrame:
+    """Sorted by the position of `column` in a given order, values outside it last, then by `rest`; the rank itself is dropped."""
+    ranked = df.withColumn("__rank", category_rank(F.col(column), order))
+    return ranked.orderBy(F.col("__rank").asc_nulls_last(), *rest).drop("__rank")
+
+
 def urgency_order(days: Column) -> list[Column]:
     """Expired first, -1 before -2, then valid ones ascending."""
     return [(days >= 0).asc_nulls_last(), F.abs(days).asc_nulls_last()]

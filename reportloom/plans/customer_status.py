@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from reportloom.functions.dates import before_day, month_texts, report_header, yesterday
 from reportloom.functions.predicates import text_contains
 from reportloom.operators.joins import left_lookup, left_lookup_where, left_merge
-from reportloom.operators.ordering import category_rank
+from reportloom.operators.ordering import in_category_order
 from reportloom.operators.project import with_header
 from reportloom.operators.rollup import occurrences_where
 from reportloom.plans.settings import DATE_OF_VISIT, LARGE_REGIONS, SALES_DEPARTMENT, VISIT_FORMS
@@ -56,12 +56,13 @@ def customer_status(
     ).select("customerName", "ownerUserName", "region3", "region4", "crm_code", "bos_code")
     df = left_lookup(base, states.select("bos_code", *_AMOUNTS), "bos_code")
     df = left_merge(df, visit_counts(forms, cells, now, visit_forms), "crm_code", max_null_matches=None)
-    df = df.fillna(0, subset=_AMOUNTS + _VISITS).withColumn("order", category_rank(F.col("region3"), region_order))
-    df = df.orderBy(
-        F.col("order").asc_nulls_last(),
+    df = in_category_order(
+        df.fillna(0, subset=_AMOUNTS + _VISITS),
+        "region3",
+        region_order,
         F.col("region4").asc_nulls_last(),
         F.col("ownerUserName").asc_nulls_last(),
         F.col("month_order_amount").desc_nulls_last(),
         F.col("crm_code").asc_nulls_last(),
-    ).drop("order")
+    )
     return with_header(df, report_header(now, SHEET))

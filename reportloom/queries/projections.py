@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from reportloom.functions.dates import report_header
 from reportloom.operators.project import rename_fields, underscore_names, with_header
+from reportloom.operators.ordering import in_category_order
 from reportloom.operators.reshape import composite_attribute, pivot_attributes
+from reportloom.operators.rollup import occurrences
 from reportloom.plans.settings import BACK_LINK
 from reportloom.queries import standins as S
 from reportloom.queries.registry import query
@@ -52,8 +54,9 @@ def renamed_pivot_columns(spark, base):
 
 @query("counted_and_named_p5_p6", "SELECT user_id AS crm_code, COUNT(*) AS visit_nums FROM events GROUP BY user_id")
 def counted_and_named(spark, base):
-    helper = S.table(spark, base, "events").withColumn("helper", F.lit(1))
-    return helper.drop("helper").groupBy(F.col("user_id").alias("crm_code")).agg(F.count(F.lit(1)).alias("visit_nums"))
+    """Counts named where they are made, in an order whose rank column is dropped again, as the status report does it."""
+    visits = S.table(spark, base, "events").select(F.col("user_id").alias("crm_code"))
+    return in_category_order(occurrences(visits, "crm_code", "visit_nums"), "crm_code", [7, 3, 11], F.col("visit_nums").desc(), "crm_code")
 
 
 @query(

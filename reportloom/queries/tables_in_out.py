@@ -12,7 +12,7 @@ from reportloom.queries.registry import query
 from reportloom.session import new_folder
 from reportloom.sinks.files import append_rows, facts_of_days, read_snapshot, store_latest, write_by_month, write_report
 from reportloom.sources.feed import feed_rows, limit_feed, read_feed
-from reportloom.sources.files import newest_file
+from reportloom.sources.files import last_file, newest_file
 from reportloom.sources.ranges import equal_depth_predicates, union_of
 
 
@@ -146,6 +146,32 @@ def newest(spark, base):
     return newest_file(listing)
 
 
+#: Events in a file of the folder that is searched for its newest one.
+EVENTS_PER_FILE = 400
+
+
+@query(
+    "last_file_s4",
+    f"""SELECT event_id, event_type, user_id FROM events
+        WHERE event_id // {EVENTS_PER_FILE} = (SELECT max(event_id // {EVENTS_PER_FILE}) FROM events WHERE event_id // {EVENTS_PER_FILE} < (SELECT max(event_id // {EVENTS_PER_FILE}) FROM events))""",
+)
+def newest_real_file(spark, base):
+    """Files of some events each, with times that follow their ids; the name of the newest begins with `~`. The folder is listed, and
+    the newest other file is read."""
+    folder = new_folder(spark, "files")
+    events = S.table(spark, base, "events").select("event_id", "event_type", "user_id")
+    events.withColumn("block", F.floor(F.col("event_id") / EVENTS_PER_FILE)).repartition("block").write.partitionBy("block").parquet(folder)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    blocks = {int(s.getPath().getParent().getName().removeprefix("block=")): s.getPath() for s in fs.globStatus(path(f"{folder}/block=*/part-*"))}
+    fs.mkdirs(path(f"{folder}/files"))
+    for block, found in blocks.items():
+        place = path(f"{folder}/files/{'~' if block == max(blocks) else ''}events-{block}.parquet")
+        fs.rename(found, place)
+        fs.setTimes(place, (1_700_000_000 + block) * 1000, -1)
+    return spark.read.parquet(last_file(spark, f"{folder}/files/*"))
+
+
 @query(
     "appended_batches_k1",
     "SELECT event_id, user_id FROM events WHERE event_type <> 'view' UNION ALL SELECT event_id, user_id FROM events WHERE event_type <> 'click'",
