@@ -16,7 +16,7 @@ import pyarrow as pa
 from .kernels import LOWER, strings
 
 #: Text worked on at a time. A longer single text is taken alone.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 WORD = 8
 
 TERM_BYTE = np.array([b >= 0x80 or chr(b).isalpha() for b in range(256)])
