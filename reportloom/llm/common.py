@@ -10,6 +10,8 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -94,5 +96,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of the map behind `maybe_among`: 2 MB, whatever the number of keys.
+KEY_BITS = 1 << 24
+
+
+def maybe_among(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """Rows whose hash in `column` is in the first column of `keys`, and a few others, so that the others are not shuffled for a join.
+
+    The keys' bits are set in a map of a fixed size, which is all that the driver and the tasks get; more keys make it less selective.
+    """
+    place = F.pmod(F.col(keys.columns[0]), F.lit(KEY_BITS))
+    words = keys.select(place.alias("place")).selectExpr("cast(place div 64 as int) AS word", "shiftleft(1L, cast(place % 64 as int)) AS bit")
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bits = np.zeros(KEY_BITS // 64, np.uint64)
+    bits[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    shared = df.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def among(hashes: pd.Series) -> pd.Series:
+        at = hashes.to_numpy() % KEY_BITS
+        return pd.Series((shared.value[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1) > 0)
+
+    return df.where(among(F.col(column)))
+
+
 def sha256_text(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8")).hexdigest()

@@ -11,14 +11,14 @@ from .common import written
 def _large_star(edges: DataFrame) -> DataFrame:
     """Larger neighbours of each node move to the least node around it."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least"))
+    least = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least")), "star-centres")
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours move to the least of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
-    least = down.groupBy("a").agg(F.min("b").alias("least"))
+    least = written(down.groupBy("a").agg(F.min("b").alias("least")), "star-centres")
     moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b")
     return moved.unionByName(least.select("a", F.col("least").alias("b"))).distinct()
 

@@ -6,11 +6,16 @@ all registers. Two texts agree in a register with the probability Jaccard simila
 into bands; texts that share a band are candidates, and a candidate pair counts if its similarity, computed from both whole
 texts, is at least `THRESHOLD`. Classes are the connected components of the verified links.
 
-Texts that are equal are one node, so copies are never paired. Within a band bucket each member is compared with a leader, a
-linear number of pairs, and in further turns with other leaders as long as it is in another class than they are. The turns only
-save work. Buckets that still hold several classes are then cut into blocks of bounded size, and each two blocks are compared
-as a whole: shared weights, by products of matrices, bound the similarity of each pair from above, and pairs that the bound
-does not exclude are computed from both texts. So each two texts that share a band are in one class or known to have no link.
+Texts that are equal are one node, so copies are never paired, and band buckets of the same members are one. Within a bucket each
+member is compared with a leader, a linear number of pairs, and in further turns with other leaders as long as it is in another class
+than they are. The turns only save work. Buckets that still hold several classes are then cut into blocks of bounded size, and each
+two blocks are compared as a whole: shared weights, by products of matrices, bound the similarity of each pair from above, and
+pairs that the bound does not exclude are computed from both texts.
+
+No text is shipped before the registers speak for it: the low 16 bits of all registers, 288 bytes for a text, tell in how many of them
+two texts agree. A link agrees in each register with a probability of at least `THRESHOLD`, so fewer than `AGREEING` of them come with a
+probability of 6e-8, against 1e-3 of sharing no band. Every pair that shares a band is in one class, verified, or excluded by one of the
+two bounds.
 
 Cases: a null text is empty; texts without words are one class; texts of fewer than five words have one shingle of all words;
 rows that agree in doc_id and text are one document; a null doc_id is the last of its class; an empty table gives an empty
@@ -27,13 +32,15 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
-from .common import arrow_step, text_key, texts, written
+from .common import arrow_step, maybe_among, text_key, texts, written
 from .components import components
 from .kernels import as_long, mix, running_sums, slices, spans, strings, words_of
 
 SHINGLE_WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 6
 REGISTERS = BANDS * ROWS
+#: Registers in which candidates agree at least: fewer have a probability of 5.5e-8 at a similarity of 0.8.
+AGREEING = 88
 #: Turns of comparison with leaders, and leaders of a bucket in each turn after the first.
 TURNS, LEADERS = 3, 3
 #: Texts and bytes of a block, about, and shingles in a product of matrices.
@@ -76,7 +83,7 @@ def registers_of(text: np.ndarray, hashes: np.ndarray, weights: np.ndarray, n: i
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """`doc_id`, `key` of the text, `bands`: a hash for each band of registers, and `size`: bytes of the text."""
+    """`doc_id`, `key` of the text, `bands`: a hash for each band of registers, `codes`: 16 bits of each register, and `size`: bytes of the text."""
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         data, offsets = strings(batch["text"])
@@ -88,9 +95,30 @@ def signatures(docs: DataFrame) -> DataFrame:
             bands = mix(spans(running_sums(values), starts, starts + ROWS) + numbers, 3)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(bands) + 1, BANDS), pa.int32()), pa.array(as_long(bands)))
             sizes = pa.array(np.diff(offsets[i : j + 1]))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(i, j - i), batch["key"].slice(i, j - i), lists, sizes], ["doc_id", "key", "bands", "size"])
+            codes = pa.array([row.tobytes() for row in mix(held, 9).astype(np.uint16)], pa.binary())
+            columns = [batch["doc_id"].slice(i, j - i), batch["key"].slice(i, j - i), lists, codes, sizes]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "bands", "codes", "size"])
+
+    return arrow_step(texts(docs).withColumn("key", text_key(F.col("text"))), step, "doc_id long, key long, bands array<long>, codes binary, size long")
+
+
+def _codes(column: pa.Array | list[bytes]) -> np.ndarray:
+    """Codes of the registers, a row for each text."""
+    values = column if isinstance(column, list) else column.to_pylist()
+    return np.frombuffer(b"".join(values), np.uint16).reshape(len(values), REGISTERS)
+
+
+def agreeing(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The `pairs` (`a`, `b` and more) that agree in enough registers; `sketches` has `key` and `codes`."""
+    left = sketches.select(F.col("key").alias("a"), F.col("codes").alias("codes_a"))
+    right = sketches.select(F.col("key").alias("b"), F.col("codes").alias("codes_b"))
 
-    return arrow_step(texts(docs).withColumn("key", text_key(F.col("text"))), step, "doc_id long, key long, bands array<long>, size long")
+    def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        enough = (_codes(batch["codes_a"]) == _codes(batch["codes_b"])).sum(1) >= AGREEING
+        yield batch.select(names).filter(pa.array(enough))
+
+    names = pairs.columns
+    return arrow_step(pairs.join(left, "a").join(right, "b").select(*names, "codes_a", "codes_b"), step, pairs.schema)
 
 
 def probability_jaccard(a: dict[int, float] | tuple, b: dict[int, float] | tuple) -> float:
@@ -124,9 +152,12 @@ def _by_text(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def similarities(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """`a`, `b` and their `similarity`; `nodes` has `key` and `text`. A hot `a` or `b` is split by adaptive execution."""
-    left = nodes.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
-    right = nodes.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
+    """`a`, `b` and their `similarity`; `nodes` has `key` and `text`, of which only those in `pairs` are shuffled.
+
+    A hot `a` or `b` is split by adaptive execution.
+    """
+    left = maybe_among(nodes, "key", pairs.select("a")).select(F.col("key").alias("a"), F.col("text").alias("text_a"))
+    right = maybe_among(nodes, "key", pairs.select("b")).select(F.col("key").alias("b"), F.col("text").alias("text_b"))
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         values = [probability_jaccard(x, y) for x, y in zip(_by_text(batch["text_a"]), _by_text(batch["text_b"]), strict=True)]
@@ -198,9 +229,37 @@ def links_between(classes: list[int], texts: list[str], split: int, threshold: f
     return found
 
 
-def remaining_links(now: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+def promising(classes: list[int], codes: np.ndarray, split: int) -> np.ndarray:
+    """Which texts agree in enough registers with a text of another class: texts below `split` with the others, or all if there are no others."""
+    n = len(classes)
+    shift = split if split < n else 0
+    agree = np.zeros((split, n - shift), np.uint8)
+    for r in range(REGISTERS):
+        agree += codes[:split, r, None] == codes[None, shift:, r]
+    own = np.array(classes)
+    open_ones = (agree >= AGREEING) & (own[:split, None] != own[None, shift:])
+    found = np.zeros(n, bool)
+    found[:split] |= open_ones.any(1)
+    found[shift:] |= open_ones.any(0)
+    return found
+
+
+def _by_task(rows: DataFrame, *columns: str) -> DataFrame:
+    return rows.repartition("task").sortWithinPartitions("task", "side").select("task", "side", *columns)
+
+
+def _tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The columns of each task's rows, one task after the other; a task's rows are at most two blocks."""
+    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+    for _, group in groupby(rows, key=lambda r: r[0]):
+        yield tuple(zip(*group, strict=True))
+
+
+def remaining_links(now: DataFrame, nodes: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
     """`a`, `b`: classes that a link within a bucket joins, all of them or as it follows from others.
 
+    Blocks meet by their registers first, and only texts with a partner that agrees in enough of them meet as texts.
+
     `now` has `bucket`, `key`, `size` of the text and `class`. A class that fills more than one block gets blocks of its own, which
     are not compared with each other; the other classes are dealt into blocks as a whole. So different blocks hold different
     classes, and the work is a product of two classes' sizes, never the square of one.
@@ -225,18 +284,28 @@ def remaining_links(now: DataFrame, nodes: DataFrame, threshold: float) -> DataF
     sides = F.array_distinct(F.array(F.struct(F.lit(0).alias("side"), F.col("block_x").alias("block")), F.struct(F.when(F.col("block_x") < F.col("block_y"), 1).otherwise(0).alias("side"), F.col("block_y").alias("block"))))
     tasks = two.select("bucket", F.xxhash64("bucket", "block_x", "block_y").alias("task"), F.explode(sides).alias("one"))
     tasks = written(tasks.select("bucket", "task", "one.side", "one.block"), "block-pairs")
-    dealt_out = placed.join(tasks, ["bucket", "block"]).select("task", "side", "key", "class").join(nodes.select("key", "text"), "key")
-    dealt_out = dealt_out.repartition("task").sortWithinPartitions("task", "side").select("task", "side", "class", "text")
+    members = placed.join(tasks, ["bucket", "block"]).select("task", "side", "key", "class")
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for task, side, key, own, codes in _tasks(batches):
+            found = promising(own, _codes(list(codes)), side.count(0))
+            if found.any():
+                yield pa.RecordBatch.from_arrays([pa.array(c, k).filter(pa.array(found)) for c, k in zip((task, side, key, own), _MEMBER, strict=True)], ["task", "side", "key", "class"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
-        for _, group in groupby(rows, key=lambda r: r[0]):
-            _, side, own, held = zip(*group, strict=True)
+    open_ones = _by_task(members.join(sketches, "key"), "key", "class", "codes").mapInArrow(sketched, "task long, side int, key long, class long")
+    open_ones = written(open_ones, "open-members")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, side, own, held in _tasks(batches):
             found = links_between(own, held, side.count(0), threshold)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
 
-    return dealt_out.mapInArrow(run, "a long, b long")
+    held = maybe_among(nodes, "key", open_ones.select("key")).select("key", "text")
+    return _by_task(open_ones.join(held, "key"), "class", "text").mapInArrow(compared, "a long, b long")
+
+
+_MEMBER = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
 
 
 def _relabelled(labels: DataFrame, joined: DataFrame) -> DataFrame:
@@ -252,11 +321,17 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     rows = written(signatures(docs), "signatures")
     buckets = rows.dropDuplicates(["key"]).select("key", "size", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    # Of buckets with the same members (told by 128 bits of their keys) one is enough.
+    same = [F.bit_xor(F.xxhash64(F.lit(i), "key")).alias(f"same_{i}") for i in range(2)]
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), *same).where("n > 1")
+    shared = shared.groupBy("n", "same_0", "same_1").agg(F.min("bucket").alias("bucket")).select("bucket")
     shared = written(shared, "shared-buckets")
     members = written(buckets.join(shared, "bucket"), "band-members")
-    source = texts(docs).withColumn("key", text_key(F.col("text")))
-    nodes = written(source.join(members.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "candidate-texts")
+    keys = written(members.select("key").distinct(), "candidate-keys")
+    sketches = maybe_among(rows.select("key", "codes"), "key", keys).dropDuplicates(["key"])
+    sketches = written(sketches.join(keys, "key", "left_semi"), "sketches")
+    source = maybe_among(texts(docs).withColumn("key", text_key(F.col("text"))), "key", keys)
+    nodes = written(source.join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "candidate-texts")
     tested = labels = None
 
     def classed() -> DataFrame:
@@ -282,14 +357,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "candidate-pairs")
         if pairs.isEmpty():
             break
-        found = written(similarities(pairs, nodes).where(F.col("similarity") >= threshold), "links")
+        close = written(agreeing(pairs.select("a", "b"), sketches), "close-pairs")
+        found = written(similarities(close, nodes).where(F.col("similarity") >= threshold), "links")
         tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
         if not found.isEmpty():
             joined = components(found.join(pairs, ["a", "b"]).select(F.col("class_a").alias("a"), F.col("class_b").alias("b")))
             labels = joined if labels is None else written(_relabelled(labels, joined), "labels")
         elif turn:
             break
-    rest = written(remaining_links(classed(), nodes, threshold), "remaining-links")
+    rest = written(remaining_links(classed(), nodes, sketches, threshold), "remaining-links")
     if not rest.isEmpty():
         joined = components(rest)
         labels = joined if labels is None else written(_relabelled(labels, joined), "labels")

@@ -4,9 +4,10 @@ import collections
 import itertools
 import random
 
+import numpy as np
 import pytest
 
-from fixtures import CLASHING, corpus, frame, sha
+from fixtures import CLASHING, corpus, frame, sha, words
 from reportloom.llm import near_duplicates as near
 from reportloom.llm import repeated_lines, repeated_passages
 from reportloom.llm import suffix_duplicates as suffix
@@ -82,6 +83,54 @@ def test_bytes_of_many_variants_of_one_text(spark):
     assert sorted(map(tuple, got), key=str) == plain_bytes(rows, 400)
 
 
+def common(x, y):
+    return next((k for k, (a, b) in enumerate(zip(x, y, strict=False)) if a != b), min(len(x), len(y)))
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_shared_windows_against_all_pairs(seed):
+    """Windows of 12 bytes around an anchor of 4: all pairs of contexts, all distances."""
+    rng = random.Random(seed)
+    length, gram = 12, b"GRAM"
+    contexts = set()
+    while len(contexts) < 60:
+        far, near = rng.randrange(0, 9), 0
+        near = rng.randrange(0, far + 1)
+        contexts.add((gram + bytes(rng.choices(b"ab", k=length - near - 4)), near, far, bytes(rng.choices(b"ab", k=far))))
+    block = sorted((s, (1, i, rng.random() < 0.8, near, far, before)) for i, (s, near, far, before) in enumerate(sorted(contexts)))
+    prefixes = [0, *(suffix.common_prefix(x[0], y[0]) for x, y in itertools.pairwise(block))]
+    got = {f: {d for least, most in windows for d in range(least, most + 1)} for _, f, windows in suffix.shared_windows(block, prefixes, length)}
+    want = {}
+    for s, (_, f, alone, near, far, before) in block:
+        mine = {d for d in range(near, far + 1) for s2, (_, g, *_, before2) in block if g != f and common(before, before2) >= d and common(s, s2) >= length - d}
+        if alone and mine:
+            want[f] = mine
+    assert got == want
+
+
+def test_many_contexts_of_one_anchor_take_about_linear_time():
+    """A passage of 250 bytes between left parts that occur twice, in 3,000 and in 24,000 documents."""
+    import time
+
+    def seconds(n):
+        rng = random.Random(n)
+        passage = bytes(rng.choices(b"abcdefgh", k=250))
+        block = []
+        for i in range(n):
+            left = random.Random(i // 2).randbytes(300)
+            block.append((passage + rng.randbytes(100), (1, i, True, 40, 300, left)))
+        block.sort()
+        prefixes = [0, *(suffix.common_prefix(x[0], y[0]) for x, y in itertools.pairwise(block))]
+        start = time.perf_counter()
+        found = list(suffix.shared_windows(block, prefixes, 400))
+        assert len(found) == n and all(w == [(150, 300)] or w[0][0] <= 150 for *_, w in found)
+        return time.perf_counter() - start
+
+    seconds(500)
+    few, many = min(seconds(3000) for _ in range(3)), seconds(24_000)
+    assert many < 24 * few  # eight times the contexts; all pairs would take 64 times as long
+
+
 def test_merge_of_runs_keeps_order_and_prefixes():
     rng = random.Random(2)
     for n in (0, 1, 2, 3, 7, 16):
@@ -217,6 +266,65 @@ def test_registers_estimate_the_similarity():
     assert abs(np.mean(agreed) - np.mean(true)) < 0.02
 
 
+def test_registers_exclude_pairs_without_a_link(spark):
+    """Texts that agree in few registers are told apart without their texts; those over the threshold never are."""
+    rng = random.Random(8)
+    base = words(rng, 300, 5000)
+    texts_of = lambda share: " ".join(w if rng.random() > share else f"new{rng.randrange(10**6)}" for w in base)
+    rows = [(0, " ".join(base)), *((i, texts_of(0.01 if i < 20 else 0.2)) for i in range(1, 40))]
+    signed = near.signatures(frame(spark, rows)).select("doc_id", "key", "codes").collect()
+    key_of = {r.doc_id: r.key for r in signed}
+    sketches = spark.createDataFrame([(r.key, r.codes) for r in signed], "key long, codes binary")
+    pairs = spark.createDataFrame([(key_of[0], key_of[i], i) for i in range(1, 40)], "a long, b long, i int")
+    kept = {r.i for r in near.agreeing(pairs, sketches).collect()}
+    sets = [shingle_set(t) for _, t in rows]
+    values = {i: similarity(sets[0], sets[i]) for i in range(1, 40)}
+    assert {i for i, v in values.items() if v >= 0.8} <= kept and not {i for i, v in values.items() if v < 0.45} & kept
+    codes = near._codes([r.codes for r in sorted(signed, key=lambda r: r.doc_id)])
+    assert near.promising([1] * 40, codes, 40).sum() == 0
+    found = near.promising(list(range(40)), codes, 40)
+    assert found[[i for i, v in values.items() if v >= 0.8]].all()
+    assert (near.promising(list(range(40)), codes, 1)[1:] == [i in kept for i in range(1, 40)]).all()
+
+
+def test_probability_of_losing_a_link_by_its_registers():
+    from math import comb
+
+    lost = sum(comb(near.REGISTERS, k) * 0.8**k * 0.2 ** (near.REGISTERS - k) for k in range(near.AGREEING))
+    assert lost < 6e-8
+
+
+def test_key_map_loses_no_key(spark, monkeypatch):
+    from reportloom.llm import common as shared
+
+    df = spark.range(3000).selectExpr("xxhash64(id) AS h", "id")
+    keys = df.where("id % 10 = 3").select("h")
+    for bits in (64, 1 << 12, shared.KEY_BITS):
+        monkeypatch.setattr(shared, "KEY_BITS", bits)
+        found = {r.id for r in shared.maybe_among(df, "h", keys).collect()}
+        assert {i for i in range(3000) if i % 10 == 3} <= found
+    assert len(found) < 310
+    assert shared.maybe_among(df, "h", keys.limit(0)).count() == 0
+
+
+def test_recall_against_all_pairs_of_a_generated_table(spark):
+    """All links of sf0.01, found by the upper bound over all pairs and computed exactly."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    distinct = sorted({r.text for r in docs})
+    each = list(near._by_text(near.pa.array(distinct, near.pa.string())))
+    text = np.repeat(np.arange(len(each)), [len(h) for h, _ in each])
+    bounds = near.upper_bounds(text, np.concatenate([h for h, _ in each]), np.concatenate([w for _, w in each]), len(each), len(each))
+    i, j = np.nonzero(np.triu(bounds >= 0.8 - near.ROUNDING, 1))
+    links = [(x, y) for x, y in zip(i, j, strict=True) if near.probability_jaccard(each[x], each[y]) >= 0.8]
+    got = {r.doc_id: r.class_id for r in near.classes(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()}
+    ids = collections.defaultdict(list)
+    for r in docs:
+        ids[r.text].append(r.doc_id)
+    joined = sum(got[ids[distinct[x]][0]] == got[ids[distinct[y]][0]] for x, y in links)
+    assert len(links) >= 5 and joined >= 0.99 * len(links)
+    assert all(len({got[d] for d in same}) == 1 for same in ids.values())
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     assert {r.key: r.label for r in components(edges).collect()} == {**{i: 0 for i in range(1, 41)}, 101: 100}
