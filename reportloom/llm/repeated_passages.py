@@ -88,7 +88,7 @@ def repeated_passages(docs: DataFrame, words: int = WINDOW_WORDS) -> DataFrame:
     )
     contexts = written(contexts, "contexts")
     several = contexts.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
-    lists = contexts.join(several, "a").groupBy("seen.rank", "seen.key").agg(F.collect_list(F.struct("a", "f", "first_rank", "seen.low", "seen.high")).alias("contexts"))
+    lists = contexts.join(written(several, "several-contexts"), "a").groupBy("seen.rank", "seen.key").agg(F.collect_list(F.struct("a", "f", "first_rank", "seen.low", "seen.high")).alias("contexts"))
     windows = written(_windows(source.select("rank", "key", "text").join(lists, ["rank", "key"]).select("text", "contexts"), words), "context-windows")
     earliest = windows.groupBy("a", "h").agg(F.min("first_rank").alias("least"), F.max("first_rank").alias("most")).where("least < most").select("a", "h", "least")
     early = windows.join(earliest, ["a", "h"]).where("least < first_rank").groupBy("a", "f").agg(F.collect_list("k").alias("early"))

@@ -213,42 +213,58 @@ def shared_windows(block: list[tuple], prefixes: list[int], length: int) -> Iter
     """For the contexts of one anchor in sorted order: a, f and the distances (least, largest) of windows that others share.
 
     `block`: (suffix, (a, f, alone, near, far, before)); `prefixes[i]`: common prefix of entries i - 1 and i. A context that
-    occurs more than once is shared as a whole and only serves the others. From each context the neighbours are visited
-    outwards while a longer common part to the left could still add a window.
+    occurs more than once is shared as a whole and only serves the others.
+
+    Neighbours in sorted order are joined to groups, those with the longest common prefix first: at a prefix of x bytes, a group
+    holds contexts that agree in x bytes to the right. A group is kept in the order of its left parts, where the longest common left
+    part of a context is with a neighbour. The smaller group goes into the larger one, so a context moves and is compared a
+    logarithmic number of times, however many share the anchor.
     """
     n = len(block)
-    order = sorted(range(n), key=lambda i: block[i][1][5])
-    most_left = [0] * n
-    for x, y in itertools.pairwise(order):
-        left = common_prefix(block[x][1][5], block[y][1][5])
-        most_left[x], most_left[y] = max(most_left[x], left), max(most_left[y], left)
-    for i, (_, (a, f, alone, near, far, before)) in enumerate(block):
-        if not alone:
-            continue
-        limit, found = min(far, most_left[i]), []
-        up, down = i, i + 1
-        right_up = prefixes[i] if i else -1
-        right_down = prefixes[i + 1] if i + 1 < n else -1
-        best = -1
-        while max(right_up, right_down) >= 0:
-            right = max(right_up, right_down)
-            if length - right > limit or best >= limit:
-                break
-            if right_up >= right_down:
-                up -= 1
-                other = up
-                right_up = min(right_up, prefixes[up]) if up else -1
-            else:
-                other = down
-                down += 1
-                right_down = min(right_down, prefixes[down]) if down < n else -1
-            left = min(far, common_prefix(before, block[other][1][5]))
-            if left > best:
-                best = left
-                if (least := max(near, length - right)) <= left:
-                    found.append((least, left))
-        if found:
-            yield a, f, found
+    left_order = sorted(range(n), key=lambda i: block[i][1][5])
+    rank = [0] * n
+    for place, i in enumerate(left_order):
+        rank[i] = place
+    before = [block[i][1][5] for i in left_order]  # by rank, as are the following
+    near, far = ([block[i][1][k] for i in left_order] for k in (3, 4))
+    best = [-1] * n
+    found: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+    group = [[rank[i]] for i in range(n)]
+    root = list(range(n))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    def meet(x: int, y: int, right: int) -> None:
+        """Two contexts that agree in `right` bytes to the right, and are neighbours in their group."""
+        left = common_prefix(before[x], before[y])
+        for k in (x, y):
+            if left > best[k]:
+                best[k] = left
+                least, most = max(near[k], length - right), min(far[k], left)
+                if least <= most:
+                    found[k].append((least, most))
+
+    for i in sorted(range(1, n), key=lambda i: -prefixes[i]):
+        right = prefixes[i]
+        x, y = find(i - 1), find(i)
+        if len(group[x]) < len(group[y]):
+            x, y = y, x
+        into = group[x]
+        for k in group[y]:
+            at = bisect.bisect(into, k)
+            into.insert(at, k)
+            if at:
+                meet(into[at - 1], k, right)
+            if at + 1 < len(into):
+                meet(k, into[at + 1], right)
+        root[y], group[y] = x, []
+    for i in range(n):
+        a, f, alone, *_ = block[i][1]
+        if alone and found[rank[i]]:
+            yield a, f, found[rank[i]]
 
 
 SHARED = "a long, f long, windows array<struct<near: int, far: int>>"
@@ -287,12 +303,12 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """`doc_id`, `key` and `runs` (first byte, byte after the last) that go, for documents with any; runs may overlap."""
     every = _anchors(docs, length)
     repeated = every.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
-    survivors = written(every.join(repeated, "a"), "repeated-anchors")
+    survivors = written(every.join(written(repeated, "repeated-keys"), "a"), "repeated-anchors")
     place = F.struct("doc_id", "key", "at", "low", "high")
     contexts = survivors.groupBy("a", "f").agg((F.count(F.lit(1)) == 1).alias("alone"), F.min_by(place, F.struct("key", "at")).alias("seen"))
     contexts = written(contexts, "contexts")
     open_ones = contexts.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.bool_or("alone").alias("any")).where("n > 1 and any").select("a")
-    seen = contexts.join(open_ones, "a").select(
+    seen = contexts.join(written(open_ones, "open-anchors"), "a").select(
         F.col("seen.doc_id").alias("seen_id"), F.col("seen.key").alias("seen_key"), F.struct("a", "f", "alone", "seen.at", "seen.low", "seen.high").alias("context")
     )
     lists = seen.groupBy("seen_id", "seen_key").agg(F.collect_list("context").alias("contexts"))
