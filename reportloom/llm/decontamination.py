@@ -1,15 +1,18 @@
 """Benchmark decontamination by template canonicalisation, which also finds re-parameterised questions.
 
 Numbers, names and units become typed placeholders, all other words are taken without case. Windows of `WINDOW` such tokens of the
-benchmark items are hash-joined with those of the documents. Hits of a document and an item that lie on one diagonal (same
-distance of places) belong together. They count if they cover `MIN_COVER` of the item and their slots are consistent: each value in
-the item always stands for the same value in the document, and different names for different names.
+benchmark items are hash-joined with those of the documents. Names that follow each other with one space in between are one
+placeholder. Hits of a document and an item that lie on one diagonal (same distance of places) belong together. They count if they
+cover `MIN_COVER` of the item and their slots are consistent: each value in the item always stands for the same value in the
+document, and different names for different names. Windows with more placeholders than plain words are weak evidence: with
+them the diagonal has to cover `SLOT_COVER` of the item. Words put in between move an item to further diagonals: those that
+lie within twice the item's length, in the item's order, count together if they cover `CHAIN_COVER` of it.
 
 In front of the join stands a bit map of `MAP_BITS` bits, whatever the benchmark's size: windows whose bit is not set cannot
 join and are never shuffled. A large benchmark makes the map less selective and changes no result.
 
-An item of fewer than `WINDOW` tokens is one window of its own length. A template window needs at least `SHORTEST` tokens and plain
-words for half its length, as placeholders alone are no evidence. Beside them stand windows of the tokens without placeholders,
+An item of fewer than `WINDOW` tokens is one window of its own length. A template window needs at least `SHORTEST` tokens and
+`PLAIN_WORDS` plain words, as placeholders alone are no evidence. Beside them stand windows of the tokens without placeholders,
 whatever their length and slots, on diagonals of their own: so verbatim copies of all items are found, of the shortest ones too. Cases: null texts are empty; rows that agree in doc_id
 and text are treated alike; null ids stay; empty tables give an empty result; further columns are kept, whatever their names.
 """
@@ -21,12 +24,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from .common import arrow_step, prepare, text_key, texts, written
 from .kernels import LOWER, as_long, mix, running_sums, slices, spans, strings
 
-WINDOW, SHORTEST, MIN_COVER = 8, 4, 0.5
+WINDOW, SHORTEST, PLAIN_WORDS = 8, 4, 2
+#: Shares of an item's tokens that hits have to cover: on one diagonal, on one with weak windows, on several.
+MIN_COVER, SLOT_COVER, CHAIN_COVER = 0.5, 0.9, 0.75
 MAP_BITS = 1 << 22
 NUMBER, NAME, UNIT = 1, 2, 3
 
@@ -99,25 +104,37 @@ class Tokens:
         self.first = np.searchsorted(starts, offsets)
         after_number[self.first[:-1][self.first[:-1] < len(starts)]] = False
         unit = after_number & ~number & _among(self.value, _UNITS)
-        self.kind = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, 0))).astype(np.int8)
-        self.canon = np.where(self.kind > 0, mix(self.kind.astype(np.uint64), 5), self.value)
+        kind = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, 0))).astype(np.int8)
+        # The template's tokens: a run of names is one of them, whose value is that of the whole run.
+        one_space = np.zeros(len(starts), bool)
+        if len(starts):
+            one_space[1:] = (starts[1:] - ends[:-1] == 1) & (data[np.minimum(ends[:-1], len(data) - 1)] == ord(" ")) & ~edge[ends[:-1]] & ~edge[starts[1:]]
+        goes_on = np.zeros(len(starts), bool)
+        goes_on[1:] = (kind[1:] == NAME) & (kind[:-1] == NAME) & one_space[1:]
+        head = np.flatnonzero(~goes_on)
+        last = np.append(head[1:], len(starts)) - 1 if len(head) else head
+        self.kind = kind[head]
+        self.slot = spans(sums, starts[head], ends[last]) if len(head) else self.value[:0]
+        self.canon = np.where(self.kind > 0, mix(self.kind.astype(np.uint64), 5), self.value[head])
+        self.template_first = np.searchsorted(head, self.first)
 
     def windows(self, n: int, raw: bool = False) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and hashes of windows of `n` tokens: without placeholders (`raw`), or with them and with enough plain words."""
-        room = np.repeat(self.first[1:], np.diff(self.first)) - np.arange(len(self.canon))
-        if raw:
-            at = np.flatnonzero(room >= n)
-            return at, spans(running_sums(self.value), at, at + n, 200 + n)
-        slots = np.concatenate([[0], np.cumsum(self.kind > 0)])
+        """Starts and hashes of windows of `n` tokens: without placeholders (`raw`), or of the template and with enough plain words."""
+        first, own = (self.first, self.value) if raw else (self.template_first, self.canon)
+        room = np.repeat(first[1:], np.diff(first)) - np.arange(len(own))
         at = np.flatnonzero(room >= n)
-        at = at[2 * (slots[at + n] - slots[at]) <= n]
-        sums = running_sums(self.canon)
-        return at, spans(sums, at, at + n, 100 + n)
+        if not raw:
+            at = at[n - self.n_slots(at, n) >= PLAIN_WORDS]
+        return at, spans(running_sums(own), at, at + n, (200 if raw else 100) + n)
+
+    def n_slots(self, at: np.ndarray, n: int) -> np.ndarray:
+        slots = np.concatenate([[0], np.cumsum(self.kind > 0)])
+        return slots[at + n] - slots[at]
 
 
 _UNITS, _STARTERS = _known(UNITS), _known(SENTENCE_STARTERS)
 _SLOTS = pa.list_(pa.struct([("o", pa.int32()), ("kind", pa.int32()), ("v", pa.int64())]))
-WINDOWS = "id long, key long, h long, raw boolean, p int, n int, size int, slots array<struct<o: int, kind: int, v: long>>"
+WINDOWS = "id long, key long, h long, raw boolean, weak boolean, p int, n int, size int, slots array<struct<o: int, kind: int, v: long>>"
 
 
 def _hits(df: DataFrame, bits, lengths: list[int] | None) -> DataFrame:
@@ -127,11 +144,14 @@ def _hits(df: DataFrame, bits, lengths: list[int] | None) -> DataFrame:
         data, offsets = strings(batch["text"])
         for i, j in slices(offsets):
             tokens = Tokens(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-            counts = np.diff(tokens.first)
-            own = lengths or sorted({WINDOW, *(int(c) for c in counts if 0 < c < WINDOW)})
+            firsts = {True: tokens.first, False: tokens.template_first}
+            every = np.unique(np.concatenate([np.diff(first) for first in firsts.values()]))
+            own = lengths or sorted({WINDOW, *(int(c) for c in every if 0 < c < WINDOW)})
             for n, raw in ((n, raw) for n in own for raw in (False, True) if raw or n >= SHORTEST):
+                first = firsts[raw]
+                counts = np.diff(first)
                 at, h = tokens.windows(n, raw)
-                text = np.searchsorted(tokens.first, at, "right") - 1
+                text = np.searchsorted(first, at, "right") - 1
                 if bits is not None:
                     keep = bits.value[h % np.uint64(MAP_BITS)]
                 else:
@@ -142,11 +162,12 @@ def _hits(df: DataFrame, bits, lengths: list[int] | None) -> DataFrame:
                 slots = [[]] * len(at) if raw else []
                 for t in [] if raw else at.tolist():
                     spots = np.flatnonzero(tokens.kind[t : t + n])
-                    slots.append([{"o": int(o), "kind": int(tokens.kind[t + o]), "v": int(as_long(tokens.value)[t + o])} for o in spots])
+                    slots.append([{"o": int(o), "kind": int(tokens.kind[t + o]), "v": int(as_long(tokens.slot)[t + o])} for o in spots])
+                weak = np.zeros(len(at), bool) if raw else 2 * tokens.n_slots(at, n) > n
                 where = pa.array(i + text)
-                numbers = [(at - tokens.first[text]).astype(np.int32), np.full(len(at), n, np.int32), counts[text].astype(np.int32)]
-                columns = [batch["id"].take(where), batch["key"].take(where), pa.array(as_long(h)), pa.array(np.full(len(at), raw)), *map(pa.array, numbers), pa.array(slots, _SLOTS)]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "key", "h", "raw", "p", "n", "size", "slots"])
+                numbers = [(at - first[text]).astype(np.int32), np.full(len(at), n, np.int32), counts[text].astype(np.int32)]
+                columns = [batch["id"].take(where), batch["key"].take(where), pa.array(as_long(h)), pa.array(np.full(len(at), raw)), pa.array(weak), *map(pa.array, numbers), pa.array(slots, _SLOTS)]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "key", "h", "raw", "weak", "p", "n", "size", "slots"])
 
     return arrow_step(df, step, WINDOWS)
 
@@ -166,24 +187,46 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     source = texts(docs).select(F.col("doc_id").alias("id"), text_key(F.col("text")).alias("key"), "text")
     found = _hits(source, spark.sparkContext.broadcast(bits), lengths or [WINDOW])
     theirs = wanted.select(F.col("id").alias("item_id"), "h", "raw", "n", F.col("size"), F.col("p").alias("q"), F.col("slots").alias("item_slots"))
-    hits = found.select(F.col("id").alias("doc_id"), "key", "h", "raw", "n", "p", "slots").join(theirs, ["h", "raw", "n"])
+    hits = found.select(F.col("id").alias("doc_id"), "key", "h", "raw", "weak", "n", "p", "slots").join(theirs, ["h", "raw", "n"])
     pairs = F.zip_with(
         "slots", "item_slots", lambda x, y: F.struct(x["kind"].alias("kind"), y["v"].alias("theirs"), x["v"].alias("ours"))
     )
-    diagonal = hits.groupBy("doc_id", "key", "item_id", "size", "raw", (F.col("p") - F.col("q")).alias("shift")).agg(
-        F.collect_set(F.struct("q", "n")).alias("spots"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("slots")
+    hits = hits.withColumns({"shift": F.col("p") - F.col("q"), "pairs": pairs})
+    same = ["doc_id", "key", "item_id", "size", "raw"]
+    # A stretch of the text of twice the item's length, from each item's length on: an item with words put in lies within one.
+    zones = F.array_distinct(F.array(*(2 * F.floor((F.col("p") + k * F.col("size")) / (2 * F.col("size"))) + k for k in range(2))))
+    hits = written(hits.withColumn("zones", zones), "benchmark-hits")
+
+    def summed(rows: DataFrame, *more: str) -> DataFrame:
+        return rows.groupBy(*same, "shift", *more).agg(
+            F.collect_set(F.struct("q", "n")).alias("spots"),
+            F.collect_set(F.when(~F.col("weak"), F.struct("q", "n"))).alias("strong"),
+            F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("slots"),
+            F.min("q").alias("from_q"),
+            F.min("p").alias("from_p"),
+        )
+
+    def cover(spots: str) -> Column:
+        places = F.array_distinct(F.flatten(F.transform(spots, lambda s: F.sequence(s["q"], s["q"] + s["n"] - 1))))
+        return F.size(places) / F.col("size")
+
+    alone = summed(hits).withColumn("enough", (cover("strong") >= MIN_COVER) | (cover("spots") >= SLOT_COVER))
+    parts = summed(hits.withColumn("zone", F.explode("zones")), "zone").groupBy(*same, "zone").agg(F.sort_array(F.collect_list(F.struct("from_q", "from_p", "spots", "slots"))).alias("parts"))
+    starts = F.transform("parts", lambda part: part["from_p"])
+    chained = parts.where((F.size("parts") > 1) & (starts == F.sort_array(starts))).select(
+        *same, F.flatten("parts.spots").alias("spots"), F.array_distinct(F.flatten("parts.slots")).alias("slots")
     )
-    places_covered = F.array_distinct(F.flatten(F.transform("spots", lambda s: F.sequence(s["q"], s["q"] + s["n"] - 1))))
+    chained = chained.withColumn("enough", cover("spots") >= CHAIN_COVER)
+    columns = [*same, "spots", "slots", "enough"]
     names = F.filter("slots", lambda s: s["kind"] == NAME)
     theirs_of = lambda column: F.array_distinct(F.transform(column, lambda s: F.struct(s["kind"], s["theirs"])))
     consistent = (F.size("slots") == F.size(theirs_of("slots"))) & (F.size(names) == F.size(F.array_distinct(F.transform(names, lambda s: s["ours"]))))
-    checked = diagonal.select(
-        "doc_id", "key", "item_id", (F.size(places_covered) / F.col("size")).alias("cover"), consistent.alias("consistent"), F.exists("slots", lambda s: s["ours"] != s["theirs"]).alias("other")
-    )
     return (
-        checked.where(F.col("consistent") & (F.col("cover") >= MIN_COVER))
+        alone.select(*columns)
+        .unionByName(chained.select(*columns))
+        .where(F.col("enough") & consistent)
         .groupBy("doc_id", "key", "item_id")
-        .agg(F.max("cover").alias("cover"), F.min("other").alias("reparameterised"))
+        .agg(F.max(cover("spots")).alias("cover"), F.min(F.exists("slots", lambda s: s["ours"] != s["theirs"])).alias("reparameterised"))
     )
 
 
