@@ -2,28 +2,41 @@
 
 No piece of the model crosses from a character to a following whitespace marker, and characters outside all pieces are
 spelled as bytes by themselves. So a text falls into chunks (marked words) whose segmentation does not depend on what stands
-around them: each distinct chunk is segmented once per worker, and the ids are joined back by position. The table of a worker
-holds at most `TABLE_CHUNKS` chunks; a full one is emptied and filled anew, which costs time and changes nothing.
-`chunk_pattern` reads from the model whether these conditions hold and raises if they don't.
+around them. `chunk_pattern` reads from the model whether these conditions hold and raises if they don't.
 
-Cases: a null text is empty and has no ids; repeated rows and null ids stay; further columns are ignored.
+Documents are cut into chunks in blocks of a bounded size: a block is the list of its distinct chunks and, for each position
+of its documents, a number in that list. The lists go by hash to the buckets of one table of distinct chunks for all documents,
+where each is segmented once, whatever the number of blocks that hold it. A block gets its list's ids back and puts them at the
+positions. Texts themselves are not shuffled, and both ways carry compressed lists, one row for each block and bucket.
+A task of the table holds the distinct chunks of its buckets, whose number follows `spark.sql.shuffle.partitions`.
+
+Cases: a null text is empty and has no ids; repeated rows and null ids stay; an empty table gives an empty result; further
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import uuid
+import zlib
+from collections.abc import Callable, Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
+import pyspark.sql.functions as F
+import zstandard
 from pyspark.sql import DataFrame
 
-from .common import sha256_text, texts
+from .common import sha256_text, texts, written
 
 MARK = "▁"
-TABLE_CHUNKS = 1_000_000
-#: A longer chunk is segmented each time it occurs, so that the table's memory is bounded.
-LONGEST_KEPT = 64
+#: Characters of a block of documents; a longer document is a block of its own.
+BLOCK_CHARS = 16_000_000
+#: Buckets of the chunk table, at least; a cluster's `spark.sql.shuffle.partitions` gives more.
+LEAST_BUCKETS = 64
+#: Rows of a batch that goes out.
+ROWS_OUT = 200
 
 
 @cache
@@ -47,20 +60,16 @@ def chunk_pattern(model: str) -> re.Pattern:
     return re.compile(f"\n|[ {MARK}]+[^ {MARK}\n]*|[^ {MARK}\n]+")
 
 
-class ChunkTable:
-    """For each distinct chunk its ids as text, which take little memory and are joined as they are."""
+class Segmenter:
+    """Ids of chunks as text, which takes little memory and is joined as it is."""
 
     def __init__(self, model: str):
         self.sp = processor(model)
-        self.pattern = chunk_pattern(model)
         self.line_break = self.sp.encode("\n")[1:]
         n = self.sp.vocab_size()
         special = [self.sp.is_control(i) or self.sp.is_byte(i) or self.sp.is_unknown(i) for i in range(n)]
         self.numbers = [str(i) for i in range(n)]
         self.plain = [None if special[i] else self.sp.id_to_piece(i).replace(MARK, " ") for i in range(n)]
-        self.known: dict[str, str] = {}
-        #: Chunks whose ids decode to anything else than the chunk with spaces for markers.
-        self.changed: dict[str, str] = {}
 
     def _decode(self, ids: list[int]) -> str:
         try:
@@ -68,8 +77,11 @@ class ChunkTable:
         except TypeError:  # bytes: only the library joins them to characters
             return self.sp.decode(self.line_break + ids).removeprefix("\n")
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Segment new chunks in two calls. The library puts a marker in front; chunks without one get a line break there."""
+    def learn(self, chunks: list[str], known: dict[str, str], changed: dict[str, str]) -> None:
+        """Segment new chunks in two calls: their ids go to `known`, and to `changed` what ids decode to if not to the chunk with spaces for markers.
+
+        The library puts a marker in front; chunks without one get a line break there.
+        """
         marked = [c for c in chunks if c[0] in (" ", MARK)]
         bare = [c for c in chunks if c[0] not in (" ", MARK)]
         skip = 1 + len(self.line_break)
@@ -79,70 +91,197 @@ class ChunkTable:
         for chunk, ids in zip(marked + bare, all_ids, strict=True):
             if len(chunk) == 1 and chunk in (" ", MARK):
                 ids = [self.sp.piece_to_id(MARK)]
-            self.known[chunk] = ",".join([numbers[i] for i in ids])
+            known[chunk] = ",".join([numbers[i] for i in ids])
             if (text := self._decode(ids)) != chunk.replace(MARK, " "):
-                self.changed[chunk] = text
-
-    def encode(self, text: str) -> tuple[str, str]:
-        """The ids of a text, joined by commas, and the text that they decode to."""
-        if not text:
-            return "", ""
-        chunks = self.pattern.findall(f"{MARK}{text}")
-        known = self.known
-        new = [c for c in dict.fromkeys(chunks) if c not in known]
-        if new:
-            if len(known) > TABLE_CHUNKS:
-                known.clear()
-                self.changed.clear()
-                new = list(dict.fromkeys(chunks))
-            self._learn(new)
-        ids = ",".join(map(known.__getitem__, chunks))
-        if self.changed:
-            decoded = "".join([self.changed.get(c, c) for c in chunks]).replace(MARK, " ")[1:]
-        else:
-            decoded = text.replace(MARK, " ")
-        for chunk in new:
-            if len(chunk) > LONGEST_KEPT:
-                del known[chunk]
-                self.changed.pop(chunk, None)
-        return ids, decoded
+                changed[chunk] = text
 
 
 @cache
-def chunk_table(model: str) -> ChunkTable:
-    """One table per worker process, which its tasks share one after the other."""
-    return ChunkTable(model)
+def segmenter(model: str) -> Segmenter:
+    """One per worker process; it keeps nothing of the data."""
+    return Segmenter(model)
 
 
-def encoded(docs: DataFrame, model: str, *keep: str) -> DataFrame:
-    """`doc_id`, the columns in `keep`, `ids` and `text` decoded from the ids."""
+def squeezed(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def packed(chunks: list[str]) -> bytes:
+    """Chunks as lines. A line break is a chunk by itself and no chunk is empty, so it becomes an empty line."""
+    return squeezed("\n".join(["" if c == "\n" else c for c in chunks]).encode())
+
+
+def unpacked(data: bytes) -> list[str]:
+    return [c or "\n" for c in zstandard.decompress(data).decode().split("\n")]
+
+
+def planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, byte by byte of their rank: the high bytes are nearly all alike."""
+    return squeezed(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+class Block:
+    """Documents as numbers of their distinct chunks."""
+
+    def __init__(self, pattern: re.Pattern):
+        self.pattern, self.chars, self.numbers = pattern, 0, {}
+        self.codes: list[np.ndarray] = []
+        self.rows: list[pa.RecordBatch] = []
+
+    def add(self, text: str, row: pa.RecordBatch) -> None:
+        numbers = self.numbers
+        chunks = self.pattern.findall(f"{MARK}{text}") if text else []
+        for chunk in chunks:
+            if chunk not in numbers:
+                numbers[chunk] = len(numbers)
+        self.codes.append(np.fromiter(map(numbers.__getitem__, chunks), np.uint32, len(chunks)))
+        self.rows.append(row)
+        self.chars += len(text)
+
+    def record(self, buckets: int) -> dict:
+        chunks = list(self.numbers)
+        bucket = np.fromiter((zlib.crc32(c.encode()) % buckets for c in chunks), np.int64, len(chunks))
+        order = np.argsort(bucket, kind="stable")
+        used, starts = np.unique(bucket[order], return_index=True)
+        packs = [{"bucket": int(b), "chunks": packed([chunks[i] for i in own])} for b, own in zip(used, np.split(order, starts[1:]), strict=True)] if len(chunks) else []
+        sink = pa.BufferOutputStream()
+        table = pa.Table.from_batches(self.rows).combine_chunks()
+        table = table.append_column("chunks in a row", pa.array([len(c) for c in self.codes], pa.int64()))
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table)
+        codes = np.concatenate(self.codes)
+        return {"block": uuid.uuid4().hex, "docs": squeezed(sink.getvalue().to_pybytes()), "codes": planes(codes), "places": planes(bucket), "packs": packs}
+
+
+def blocks_of(source: DataFrame, model: str, buckets: int) -> DataFrame:
+    """A row for each block: its documents' columns, the chunk numbers, the bucket of each number, and the chunks of each bucket.
+
+    Blocks get random names, so the result has to be written before it is used twice.
+    """
+    schema = pa.schema([("block", pa.string()), ("docs", pa.binary()), ("codes", pa.binary()), ("places", pa.binary()), ("packs", pa.list_(pa.struct([("bucket", pa.int32()), ("chunks", pa.binary())])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = chunk_table(model)
+        pattern = chunk_pattern(model)
+        block = Block(pattern)
         for batch in batches:
-            rows = [chunks.encode(t) for t in batch["text"].to_pylist()]
-            ids = pa.array([list(map(int, r[0].split(","))) if r[0] else [] for r in rows], pa.list_(pa.int32()))
-            decoded = pa.array([r[1] for r in rows], pa.string())
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *(batch[c] for c in keep), ids, decoded], ["doc_id", *keep, "ids", "text"])
+            rows = batch.drop_columns(["text"])
+            for i, text in enumerate(batch["text"].to_pylist()):
+                if block.rows and block.chars + len(text) > BLOCK_CHARS:
+                    yield pa.RecordBatch.from_pylist([block.record(buckets)], schema)
+                    block = Block(pattern)
+                block.add(text, rows.slice(i, 1))
+        if block.rows:
+            yield pa.RecordBatch.from_pylist([block.record(buckets)], schema)
+
+    return source.mapInArrow(run, "block string, docs binary, codes binary, places binary, packs array<struct<bucket:int,chunks:binary>>")
 
+
+def segmented(packs: DataFrame, model: str, buckets: int) -> DataFrame:
+    """The table of distinct chunks: `packs` (`block`, `bucket`, `chunks`) with the ids of each chunk, one line each, and the chunks that decode to something else."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, str] = {}
+        changed: dict[str, str] = {}
+        for batch in batches:
+            ids, at, instead = [], [], []
+            for data in batch["chunks"].to_pylist():
+                chunks = unpacked(data)
+                if new := [c for c in chunks if c not in known]:
+                    segmenter(model).learn(new, known, changed)
+                ids.append(squeezed("\n".join([known[c] for c in chunks]).encode()))
+                other = [(i, changed[c]) for i, c in enumerate(chunks) if c in changed]
+                at.append([i for i, _ in other])
+                instead.append([t for _, t in other])
+            columns = [batch["block"], batch["bucket"], batch["chunks"], pa.array(ids, pa.binary()), pa.array(at, pa.list_(pa.int32())), pa.array(instead, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "bucket", "chunks", "ids", "changed", "instead"])
+
+    return packs.repartition(buckets, "bucket").mapInArrow(run, "block string, bucket int, chunks binary, ids binary, changed array<int>, instead array<string>")
+
+
+class Filled:
+    """A block whose chunks get their ids and texts, bucket by bucket."""
+
+    def __init__(self, docs: bytes, codes: bytes, places: bytes):
+        self.docs = pa.ipc.open_stream(zstandard.decompress(docs)).read_all()
+        self.codes, bucket = from_planes(codes), from_planes(places)
+        self.order = np.argsort(bucket, kind="stable")
+        self.sorted_buckets = bucket[self.order]
+        self.ids, self.texts = np.empty(len(bucket), object), np.empty(len(bucket), object)
+
+    def put(self, bucket: int, chunks: bytes, ids: bytes, changed: list[int], instead: list[str]) -> None:
+        low, high = np.searchsorted(self.sorted_buckets, [bucket, bucket + 1])
+        own = unpacked(chunks)
+        for i, text in zip(changed, instead, strict=True):
+            own[i] = text
+        self.ids[self.order[low:high]] = zstandard.decompress(ids).decode().split("\n")
+        self.texts[self.order[low:high]] = own
+
+    def rows(self) -> Iterator[tuple[pa.Table, list[str], list[str]]]:
+        """Some documents at a time: their columns, joined ids, and decoded texts."""
+        ends = np.cumsum(self.docs["chunks in a row"].to_numpy())
+        bounds = np.concatenate([[0], ends])
+        docs = self.docs.drop_columns(["chunks in a row"])
+        for first in range(0, docs.num_rows, ROWS_OUT):
+            ids, decoded = [], []
+            for i in range(first, min(first + ROWS_OUT, docs.num_rows)):
+                own = self.codes[bounds[i] : bounds[i + 1]]
+                ids.append(",".join(self.ids[own].tolist()))
+                decoded.append("".join(self.texts[own].tolist()).replace(MARK, " ")[1:])
+            yield docs.slice(first, ROWS_OUT), ids, decoded
+
+
+def _through_table(docs: DataFrame, model: str, keep: tuple[str, ...], finish: Callable[[list[str], list[str]], dict[str, pa.Array]], schema: str) -> DataFrame:
+    """`doc_id`, the columns in `keep`, and what `finish` makes of joined ids and decoded texts."""
     source = texts(docs, *keep)
+    buckets = max(LEAST_BUCKETS, int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    blocks = written(blocks_of(source, model, buckets), "piece-blocks")
+    answers = segmented(blocks.select("block", F.explode("packs").alias("pack")).select("block", "pack.*"), model, buckets)
+    own = blocks.select("block", F.lit(-1).alias("bucket"), "docs", "codes", "places")
+    both = own.unionByName(answers, allowMissingColumns=True).repartition(buckets, "block").sortWithinPartitions("block", "bucket")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = None
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for rows, ids, decoded in block.rows() if block else ():
+                columns = {name: rows[name].combine_chunks() for name in rows.column_names} | finish(ids, decoded)
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                value = lambda name: batch[name][i].as_py()  # noqa: B023, E731
+                if value("bucket") < 0:
+                    yield from out()
+                    block = Filled(value("docs"), value("codes"), value("places"))
+                else:
+                    block.put(*(value(name) for name in ("bucket", "chunks", "ids", "changed", "instead")))
+        yield from out()
+
     kept = "".join(f", `{c}` {t}" for c, t in source.select(*keep).dtypes) if keep else ""
-    return source.mapInArrow(run, f"doc_id long{kept}, ids array<int>, text string")
+    return both.mapInArrow(run, f"doc_id long{kept}, {schema}")
+
+
+def encoded(docs: DataFrame, model: str, *keep: str) -> DataFrame:
+    """`doc_id`, the columns in `keep`, `ids` and `text` decoded from the ids."""
+
+    def finish(ids: list[str], decoded: list[str]) -> dict[str, pa.Array]:
+        return {"ids": pa.array([list(map(int, x.split(","))) if x else [] for x in ids], pa.list_(pa.int32())), "text": pa.array(decoded, pa.string())}
+
+    return _through_table(docs, model, keep, finish, "ids array<int>, text string")
 
 
 def encoded_digest(docs: DataFrame, model: str) -> DataFrame:
     """`doc_id`, the number of ids, and digests of the ids and of the decoded text."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = chunk_table(model)
-        for batch in batches:
-            counts, ids, decoded = [], [], []
-            for text in batch["text"].to_pylist():
-                joined, again = chunks.encode(text)
-                counts.append(joined.count(",") + 1 if joined else 0)
-                ids.append(sha256_text(joined))
-                decoded.append(sha256_text(again))
-            columns = [batch["doc_id"], pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def finish(ids: list[str], decoded: list[str]) -> dict[str, pa.Array]:
+        return {
+            "n_tokens": pa.array([x.count(",") + 1 if x else 0 for x in ids], pa.int64()),
+            "ids_sha256": pa.array(map(sha256_text, ids), pa.string()),
+            "decoded_sha256": pa.array(map(sha256_text, decoded), pa.string()),
+        }
+
+    return _through_table(docs, model, (), finish, "n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -14,13 +14,41 @@ def model():
     return tokenizer_path(PIECE_MODEL)
 
 
-def test_ids_and_text_equal_the_library(model, monkeypatch):
-    monkeypatch.setattr(pieces, "TABLE_CHUNKS", 500)  # the table is emptied now and then
-    library, table, rng = pieces.processor(model), pieces.ChunkTable(model), random.Random(3)
+def test_ids_and_text_equal_the_library(model):
+    library, pattern, rng = pieces.processor(model), pieces.chunk_pattern(model), random.Random(3)
+    known, changed = {}, {}
     for _ in range(5000):
         text = "".join(rng.choice(PARTS) for _ in range(rng.randint(0, 14)))
+        chunks = pattern.findall(f"▁{text}") if text else []
+        pieces.segmenter(model).learn([c for c in dict.fromkeys(chunks) if c not in known], known, changed)
+        assert not chunks or pieces.unpacked(pieces.packed(chunks)) == chunks
         want = library.encode(text)
-        assert table.encode(text) == (",".join(map(str, want)), library.decode(want)), text
+        assert ",".join(known[c] for c in chunks) == ",".join(map(str, want))
+        assert "".join(changed.get(c, c) for c in chunks).replace("▁", " ")[1:] == library.decode(want), text
+
+
+def test_each_distinct_chunk_is_segmented_once(spark, model, monkeypatch):
+    """Many small blocks share words: the buckets hold each word in one task, and texts come back at their positions."""
+    monkeypatch.setattr(pieces, "BLOCK_CHARS", 300)
+    rng = random.Random(5)
+    rows = [(i, "".join(rng.choice(PARTS) for _ in range(rng.randint(0, 60)))) for i in range(400)]
+    df = frame(spark, rows)
+    blocks = pieces.written(pieces.blocks_of(pieces.texts(df), model, 64), "blocks")
+    assert blocks.count() > 20
+    packs = blocks.selectExpr("block", "inline(packs)").select("block", "bucket", "chunks").collect()
+    where = {}
+    for row in packs:
+        for chunk in pieces.unpacked(row.chunks):
+            where.setdefault(chunk, set()).add(row.bucket)
+    assert len(packs) > len({r.bucket for r in packs}) and all(len(b) == 1 for b in where.values())
+    library = pieces.processor(model)
+    got = {r.doc_id: (r.ids, r.text) for r in pieces.encoded(df, model).collect()}
+    assert got == {i: (library.encode(t), library.decode(library.encode(t))) for i, t in rows}
+
+
+def test_plan_brings_words_together_and_ids_back(spark, model):
+    plan = pieces.encoded_digest(frame(spark, [(1, "a b")]), model)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(bucket" in plan and "hashpartitioning(block" in plan
 
 
 def test_query_columns_and_odd_rows(spark, model):
