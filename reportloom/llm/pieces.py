@@ -7,7 +7,7 @@ around them. `chunk_pattern` reads from the model whether these conditions hold
 Documents are cut into chunks in blocks of a bounded size: a block is the list of its distinct chunks and, for each position
 of its documents, a number in that list. The lists go by hash to the buckets of one table of distinct chunks for all documents,
 where each is segmented once, whatever the number of blocks that hold it. A block gets its list's ids back and puts them at the
-positions. Texts themselves are not shuffled, and both ways carry compressed lists, one row for each block and bucket.
+positions. Blocks are written bucketed by their name, so that only the lists travel, compressed, one row for each block and bucket.
 A task of the table holds the distinct chunks of its buckets, whose number follows `spark.sql.shuffle.partitions`.
 
 Cases: a null text is empty and has no ids; repeated rows and null ids stay; an empty table gives an empty result; further
@@ -28,7 +28,7 @@ import pyspark.sql.functions as F
 import zstandard
 from pyspark.sql import DataFrame
 
-from .common import sha256_text, texts, written
+from .common import sha256_text, shared_folder, texts
 
 MARK = "▁"
 #: Characters of a block of documents; a longer document is a block of its own.
@@ -180,8 +180,16 @@ def blocks_of(source: DataFrame, model: str, buckets: int) -> DataFrame:
     return source.mapInArrow(run, "block string, docs binary, codes binary, places binary, packs array<struct<bucket:int,chunks:binary>>")
 
 
+def bucketed(blocks: DataFrame, buckets: int) -> DataFrame:
+    """`blocks` as a table in the shared folder, bucketed by `block`: what is joined by block later comes to it."""
+    spark = blocks.sparkSession
+    name = f"piece_blocks_{uuid.uuid4().hex}"
+    blocks.write.format("parquet").bucketBy(buckets, "block").option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name)
+    return spark.table(name)
+
+
 def segmented(packs: DataFrame, model: str, buckets: int) -> DataFrame:
-    """The table of distinct chunks: `packs` (`block`, `bucket`, `chunks`) with the ids of each chunk, one line each, and the chunks that decode to something else."""
+    """The table of distinct chunks: for each of `packs` (`block`, `bucket`, `chunks`) the ids of its chunks, one line each, and the chunks that decode to something else."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, str] = {}
@@ -196,29 +204,30 @@ def segmented(packs: DataFrame, model: str, buckets: int) -> DataFrame:
                 other = [(i, changed[c]) for i, c in enumerate(chunks) if c in changed]
                 at.append([i for i, _ in other])
                 instead.append([t for _, t in other])
-            columns = [batch["block"], batch["bucket"], batch["chunks"], pa.array(ids, pa.binary()), pa.array(at, pa.list_(pa.int32())), pa.array(instead, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, ["block", "bucket", "chunks", "ids", "changed", "instead"])
+            columns = [batch["block"], batch["bucket"], pa.array(ids, pa.binary()), pa.array(at, pa.list_(pa.int32())), pa.array(instead, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "bucket", "ids", "changed", "instead"])
 
-    return packs.repartition(buckets, "bucket").mapInArrow(run, "block string, bucket int, chunks binary, ids binary, changed array<int>, instead array<string>")
+    return packs.repartition(buckets, "bucket").mapInArrow(run, "block string, bucket int, ids binary, changed array<int>, instead array<string>")
 
 
 class Filled:
     """A block whose chunks get their ids and texts, bucket by bucket."""
 
-    def __init__(self, docs: bytes, codes: bytes, places: bytes):
-        self.docs = pa.ipc.open_stream(zstandard.decompress(docs)).read_all()
-        self.codes, bucket = from_planes(codes), from_planes(places)
-        self.order = np.argsort(bucket, kind="stable")
-        self.sorted_buckets = bucket[self.order]
+    def __init__(self, block: dict, answers: list[dict]):
+        self.docs = pa.ipc.open_stream(zstandard.decompress(block["docs"])).read_all()
+        self.codes, bucket = from_planes(block["codes"]), from_planes(block["places"])
+        order = np.argsort(bucket, kind="stable")
+        in_order = bucket[order]
         self.ids, self.texts = np.empty(len(bucket), object), np.empty(len(bucket), object)
-
-    def put(self, bucket: int, chunks: bytes, ids: bytes, changed: list[int], instead: list[str]) -> None:
-        low, high = np.searchsorted(self.sorted_buckets, [bucket, bucket + 1])
-        own = unpacked(chunks)
-        for i, text in zip(changed, instead, strict=True):
-            own[i] = text
-        self.ids[self.order[low:high]] = zstandard.decompress(ids).decode().split("\n")
-        self.texts[self.order[low:high]] = own
+        by_bucket = {answer["bucket"]: answer for answer in answers}
+        for pack in block["packs"]:
+            answer = by_bucket[pack["bucket"]]
+            low, high = np.searchsorted(in_order, [pack["bucket"], pack["bucket"] + 1])
+            own = unpacked(pack["chunks"])
+            for i, text in zip(answer["changed"], answer["instead"], strict=True):
+                own[i] = text
+            self.ids[order[low:high]] = zstandard.decompress(answer["ids"]).decode().split("\n")
+            self.texts[order[low:high]] = own
 
     def rows(self) -> Iterator[tuple[pa.Table, list[str], list[str]]]:
         """Some documents at a time: their columns, joined ids, and decoded texts."""
@@ -238,31 +247,19 @@ def _through_table(docs: DataFrame, model: str, keep: tuple[str, ...], finish: C
     """`doc_id`, the columns in `keep`, and what `finish` makes of joined ids and decoded texts."""
     source = texts(docs, *keep)
     buckets = max(LEAST_BUCKETS, int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    blocks = written(blocks_of(source, model, buckets), "piece-blocks")
+    blocks = bucketed(blocks_of(source, model, buckets), buckets)
     answers = segmented(blocks.select("block", F.explode("packs").alias("pack")).select("block", "pack.*"), model, buckets)
-    own = blocks.select("block", F.lit(-1).alias("bucket"), "docs", "codes", "places")
-    both = own.unionByName(answers, allowMissingColumns=True).repartition(buckets, "block").sortWithinPartitions("block", "bucket")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = None
+    kept = "".join(f", `{c}` {t}" for c, t in source.select(*keep).dtypes) if keep else ""
 
-        def out() -> Iterator[pa.RecordBatch]:
-            for rows, ids, decoded in block.rows() if block else ():
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        parts = []
+        for row in block.to_pylist():
+            for rows, ids, decoded in Filled(row, answers.to_pylist()).rows():
                 columns = {name: rows[name].combine_chunks() for name in rows.column_names} | finish(ids, decoded)
-                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+                parts.append(pa.table(columns))
+        return pa.concat_tables(parts)
 
-        for batch in batches:
-            for i in range(batch.num_rows):
-                value = lambda name: batch[name][i].as_py()  # noqa: B023, E731
-                if value("bucket") < 0:
-                    yield from out()
-                    block = Filled(value("docs"), value("codes"), value("places"))
-                else:
-                    block.put(*(value(name) for name in ("bucket", "chunks", "ids", "changed", "instead")))
-        yield from out()
-
-    kept = "".join(f", `{c}` {t}" for c, t in source.select(*keep).dtypes) if keep else ""
-    return both.mapInArrow(run, f"doc_id long{kept}, {schema}")
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, f"doc_id long{kept}, {schema}")
 
 
 def encoded(docs: DataFrame, model: str, *keep: str) -> DataFrame:

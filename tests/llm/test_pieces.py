@@ -33,7 +33,7 @@ def test_each_distinct_chunk_is_segmented_once(spark, model, monkeypatch):
     rng = random.Random(5)
     rows = [(i, "".join(rng.choice(PARTS) for _ in range(rng.randint(0, 60)))) for i in range(400)]
     df = frame(spark, rows)
-    blocks = pieces.written(pieces.blocks_of(pieces.texts(df), model, 64), "blocks")
+    blocks = pieces.bucketed(pieces.blocks_of(pieces.texts(df), model, 64), 64)
     assert blocks.count() > 20
     packs = blocks.selectExpr("block", "inline(packs)").select("block", "bucket", "chunks").collect()
     where = {}
@@ -46,9 +46,10 @@ def test_each_distinct_chunk_is_segmented_once(spark, model, monkeypatch):
     assert got == {i: (library.encode(t), library.decode(library.encode(t))) for i, t in rows}
 
 
-def test_plan_brings_words_together_and_ids_back(spark, model):
+def test_plan_moves_words_and_ids_but_no_blocks(spark, model):
     plan = pieces.encoded_digest(frame(spark, [(1, "a b")]), model)._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(bucket" in plan and "hashpartitioning(block" in plan
+    assert plan.count("Exchange hashpartitioning(") == 2 and plan.count("Exchange hashpartitioning(bucket") == 1
+    assert "Bucketed: true" in plan
 
 
 def test_query_columns_and_odd_rows(spark, model):
