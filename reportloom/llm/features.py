@@ -69,8 +69,11 @@ def bounded_sample(ids: DataFrame, rows: int) -> DataFrame:
 
 
 def sampled_texts(docs: DataFrame, sample: DataFrame, carry: str) -> DataFrame:
-    """Texts of the sampled ids. The sample's size is bounded by its parameter, so it is broadcast and no text is shuffled."""
-    return texts(docs).join(F.broadcast(sample), "doc_id").select(carry, "text")
+    """The text of each sampled id; where rows repeat an id, the least of their texts, so that the sample's bound holds for rows too.
+
+    The sample's size is bounded by its parameter, so it is broadcast, and only its texts are shuffled.
+    """
+    return texts(docs).join(F.broadcast(sample), "doc_id").groupBy("doc_id", carry).agg(F.min("text").alias("text")).select(carry, "text")
 
 
 class Sparse:

@@ -6,7 +6,7 @@ are selected. Features are words and the kinds of the last characters of each to
 
 Fitted with numpy on the driver from at most `MAX_RATED` rated texts per grade, of which only buckets are collected. Ratings are
 learnt from rows that are not held out. Cases: a null text is empty; with a single grade every text gets it; null and repeated
-ids stay; further columns are ignored.
+ids stay, but an id that rows repeat is learnt from once, by the least of its texts; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,25 +44,35 @@ def root_shares(text: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
     return np.sqrt(count / np.maximum(total, 1)[text])
 
 
+def likelihood_slopes(
+    data: Sparse, grade: np.ndarray, sample_weight: np.ndarray, weights: np.ndarray, first: float, gaps: np.ndarray
+) -> tuple[float, np.ndarray]:
+    """Weighted negative log-likelihood and its gradient by `weights`, `first` and `gaps` (logarithms), in one vector."""
+    n_grades = len(gaps) + 2
+    cuts = first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
+    tail = sigmoid(data.margins(weights)[:, None] - cuts)
+    above = np.column_stack([np.ones(data.rows), tail])  # P(grade >= k)
+    below = np.column_stack([tail, np.zeros(data.rows)])  # P(grade >= k + 1)
+    rows = np.arange(data.rows)
+    chance = np.maximum(above[rows, grade] - below[rows, grade], 1e-9)
+    slope_above, slope_below = above * (1 - above), below * (1 - below)
+    up = slope_above[rows, grade] / chance * sample_weight
+    down = slope_below[rows, grade] / chance * sample_weight
+    by_cut = np.zeros(n_grades - 1)
+    np.add.at(by_cut, grade[grade > 0] - 1, up[grade > 0])
+    np.add.at(by_cut, grade[grade < n_grades - 1], -down[grade < n_grades - 1])
+    by_gap = np.cumsum(by_cut[::-1])[::-1][1:] * np.exp(gaps)
+    return -np.sum(sample_weight * np.log(chance)), np.concatenate([data.gradient(-(up - down)), [by_cut.sum()], by_gap])
+
+
 def fit_ordinal(data: Sparse, grade: np.ndarray, n_grades: int, sample_weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds that maximise the likelihood. Thresholds are a first one and positive gaps."""
     weights, first, gaps = np.zeros(BUCKETS), 0.0, np.zeros(n_grades - 2)  # gaps hold logarithms
     optimiser = Adam(BUCKETS + 1 + len(gaps), RATE)
     for _ in range(ROUNDS):
-        cuts = first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
-        tail = sigmoid(data.margins(weights)[:, None] - cuts)
-        above = np.column_stack([np.ones(data.rows), tail])  # P(grade >= k)
-        below = np.column_stack([tail, np.zeros(data.rows)])  # P(grade >= k + 1)
-        rows = np.arange(data.rows)
-        chance = np.maximum(above[rows, grade] - below[rows, grade], 1e-9)
-        slope_above, slope_below = above * (1 - above), below * (1 - below)
-        up = slope_above[rows, grade] / chance * sample_weight
-        down = slope_below[rows, grade] / chance * sample_weight
-        by_cut = np.zeros(n_grades - 1)
-        np.add.at(by_cut, grade[grade > 0] - 1, up[grade > 0])
-        np.add.at(by_cut, grade[grade < n_grades - 1], -down[grade < n_grades - 1])
-        by_gap = np.cumsum(by_cut[::-1])[::-1][1:] * np.exp(gaps)
-        step = optimiser.step(np.concatenate([data.gradient(-(up - down)) + DECAY * weights, [by_cut.sum()], by_gap]))
+        gradient = likelihood_slopes(data, grade, sample_weight, weights, first, gaps)[1]
+        gradient[:BUCKETS] += DECAY * weights
+        step = optimiser.step(gradient)
         weights, first, gaps = weights - step[:BUCKETS], first - step[BUCKETS], gaps - step[BUCKETS + 1 :]
     return weights, first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
 
@@ -75,7 +85,7 @@ def train(docs: DataFrame, ratings: DataFrame, rating: str = "quality") -> Ordin
     grades = list(sizes)
     if len(grades) < 2:
         return OrdinalModel(grades or [0], np.zeros(BUCKETS), np.zeros(0))
-    sample = reduce(DataFrame.unionByName, (bounded_sample(rated.where(F.col("grade") == g), MAX_RATED) for g in grades))
+    sample = reduce(DataFrame.unionByName, (bounded_sample(rated.where(F.col("grade") == g).distinct(), MAX_RATED) for g in grades))
     rows = feature_rows(sampled_texts(docs, sample, "grade"), "grade", tails=True).toArrow()
     data = Sparse.collected(rows)
     data.value = root_shares(data.row, data.count, data.rows)

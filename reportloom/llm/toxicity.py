@@ -6,7 +6,8 @@ a step goes the other way. The classifier is linear on the presence of hashed wo
 at most `MAX_POSITIVE` and `MAX_UNLABELLED` texts; only their buckets are collected. Scores are made where the texts are.
 
 Labels are learnt from rows that are not held out (see `features.held_out`). Cases: a null text is empty and gets the score of
-the bias alone; without confirmed toxic texts all scores are 0; null and repeated ids stay; further columns are ignored.
+the bias alone; without confirmed toxic texts all scores are 0; null and repeated ids stay, but an id that rows repeat is learnt
+from once, by the least of its texts; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -52,22 +53,32 @@ def screen(positive: Sparse, unlabelled: Sparse) -> None:
         s.keep(kept[s.column])
 
 
+def risk_parts(positive: Sparse, unlabelled: Sparse, prior: float, weights: np.ndarray, bias: float) -> tuple[float, float, np.ndarray]:
+    """`p * R+(positive)`, `R-(unlabelled) - p * R-(positive)`, and the direction of a step (weights, bias).
+
+    The direction is the gradient of the parts' sum, or, where the second part is negative, the one that raises that part.
+    """
+    p, u = sigmoid(positive.margins(weights) + bias), sigmoid(unlabelled.margins(weights) + bias)
+    as_negative = lambda x: -np.log1p(-np.minimum(x, 1 - 1e-12))
+    n_p, n_u = max(positive.rows, 1), max(unlabelled.rows, 1)
+    positive_risk = prior * np.sum(-np.log(p)) / n_p
+    negative_risk = np.sum(as_negative(u)) / n_u - prior * np.sum(as_negative(p)) / n_p
+    if negative_risk >= 0:
+        at_p, at_u = prior * (p - 1) - prior * p, u  # slopes of the loss as positive, less the loss as negative
+    else:
+        at_p, at_u = prior * p, -u
+    at_p, at_u = at_p / n_p, at_u / n_u
+    return positive_risk, negative_risk, np.append(positive.gradient(at_p) + unlabelled.gradient(at_u), at_p.sum() + at_u.sum())
+
+
 def fit_positive_unlabelled(positive: Sparse, unlabelled: Sparse, prior: float) -> ToxicityModel:
     """Minimise the non-negative risk with the logistic loss."""
     weights, bias = np.zeros(BUCKETS), np.log(prior / (1 - prior))
     optimiser = Adam(BUCKETS + 1, RATE)
-    n_p, n_u = max(positive.rows, 1), max(unlabelled.rows, 1)
     for _ in range(ROUNDS):
-        p, u = sigmoid(positive.margins(weights) + bias), sigmoid(unlabelled.margins(weights) + bias)
-        negative_risk = np.mean(np.logaddexp(0, np.log(u) - np.log1p(-np.minimum(u, 1 - 1e-12)))) if unlabelled.rows else 0.0
-        negative_risk -= prior * np.mean(-np.log1p(-np.minimum(p, 1 - 1e-12)))
-        if negative_risk >= 0:
-            at_p, at_u = prior * (p - 1) - prior * p, u  # slopes of the loss as positive, less the loss as negative
-        else:
-            at_p, at_u = prior * p, -u
-        at_p, at_u = at_p / n_p, at_u / n_u
-        gradient = positive.gradient(at_p) + unlabelled.gradient(at_u) + DECAY * weights
-        step = optimiser.step(np.append(gradient, at_p.sum() + at_u.sum()))
+        direction = risk_parts(positive, unlabelled, prior, weights, bias)[2]
+        direction[:-1] += DECAY * weights
+        step = optimiser.step(direction)
         weights, bias = weights - step[:-1], bias - step[-1]
     return ToxicityModel(weights, float(bias))
 

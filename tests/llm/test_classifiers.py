@@ -7,7 +7,7 @@ import pytest
 from fixtures import frame
 from reportloom.llm import ordinal_quality, toxicity
 from reportloom.llm.common import table
-from reportloom.llm.features import BUCKETS, Sparse, held_out
+from reportloom.llm.features import BUCKETS, Sparse, held_out, sampled_texts
 
 BASE = "/root/testdata/sf0.01"
 
@@ -77,6 +77,80 @@ def test_non_negative_risk_finds_positives_among_unlabelled():
     assert np.mean(margins[:160] > 0) > 0.95 and np.mean(margins[160:] > 0) < 0.02
 
 
+def slope(value, x, at, width=1e-5):
+    up, down = x.copy(), x.copy()
+    up[at] += width
+    down[at] -= width
+    return (value(up) - value(down)) / (2 * width)
+
+
+def sparse(rng, rows, first=0):
+    own = [np.unique(rng.integers(first, first + 30, 6)) for _ in range(rows)]
+    return Sparse(own, [np.ones(len(b)) for b in own])
+
+
+@pytest.mark.parametrize("apart", [False, True])
+def test_direction_of_the_risk_by_finite_differences(apart):
+    """Where positive texts are far above the unlabelled ones the second part is negative: then the direction is that of its rise."""
+    rng = np.random.default_rng(5)
+    positive, unlabelled, prior = sparse(rng, 40), sparse(rng, 90, first=20), 0.4
+    x = np.append(rng.normal(0, 0.3, BUCKETS), 0.1)
+    if apart:
+        x[:20] += 2.0
+        x[20:50] -= 1.0
+    first, second, direction = toxicity.risk_parts(positive, unlabelled, prior, x[:-1], x[-1])
+    assert (second < 0) == apart and first > 0
+
+    def plain(x):
+        loss = lambda data, sign: np.mean([np.log1p(np.exp(-sign * z)) for z in data.margins(x[:-1]) + x[-1]])
+        rest = loss(unlabelled, -1) - prior * loss(positive, -1)
+        return prior * loss(positive, 1) + rest if rest >= 0 else -rest
+
+    assert np.isclose(-second if apart else first + second, plain(x), rtol=1e-9)
+    for at in [*range(50), BUCKETS]:
+        assert np.isclose(direction[at], slope(plain, x, at), rtol=1e-4, atol=1e-8)
+
+
+@pytest.mark.parametrize("grades", [2, 3, 5])
+def test_likelihood_by_finite_differences(grades):
+    rng = np.random.default_rng(grades)
+    data, grade = sparse(rng, 60), rng.integers(0, grades, 60)
+    sample_weight = rng.random(60)
+    x = np.concatenate([rng.normal(0, 0.5, BUCKETS), [-0.7], rng.normal(0, 0.4, grades - 2)])
+
+    def plain(x):
+        cuts = [-np.inf, x[BUCKETS]]
+        for gap in x[BUCKETS + 1 :]:
+            cuts.append(cuts[-1] + np.exp(gap))
+        cuts.append(np.inf)
+        total = 0.0
+        for z, g, w in zip(data.margins(x[:BUCKETS]), grade, sample_weight, strict=True):
+            total -= w * np.log(1 / (1 + np.exp(cuts[g] - z)) - 1 / (1 + np.exp(cuts[g + 1] - z)))
+        return total
+
+    value, gradient = ordinal_quality.likelihood_slopes(data, grade, sample_weight, x[:BUCKETS], x[BUCKETS], x[BUCKETS + 1 :])
+    assert np.isclose(value, plain(x), rtol=1e-9)
+    for at in [*range(30), *range(BUCKETS, len(x))]:
+        assert np.isclose(gradient[at], slope(plain, x, at), rtol=1e-4, atol=1e-8)
+
+
+def test_an_id_is_learnt_from_once_however_often_it_is_repeated(spark):
+    rows = [(7, f"text {i % 3}") for i in range(500)] + [(8, None), (8, "b")]
+    sample = spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, role long")
+    got = sorted(map(tuple, sampled_texts(frame(spark, rows), sample, "role").collect()))
+    assert got == [(0, ""), (1, "text 0")]
+
+
+def test_repeated_rows_and_ratings_leave_the_models_as_they_are(spark):
+    rows, labels, _ = labelled(spark, 200)
+    many = frame(spark, rows + rows[:40] * 3)
+    few = frame(spark, rows)
+    one, two = (ordinal_quality.train(df, labels) for df in (few, many))
+    assert np.allclose(one.weights, two.weights, atol=1e-6) and np.allclose(one.thresholds, two.thresholds, atol=1e-6)
+    one, two = (toxicity.train(df, labels) for df in (few, many))
+    assert np.allclose(one.weights, two.weights, atol=1e-6)
+
+
 def test_held_out_quality_of_the_generated_table(spark):
     docs, labels = table(spark, BASE, "documents"), table(spark, BASE, "labels")
     got = ordinal_quality.rated(docs, ordinal_quality.train(docs, labels)).join(labels, "doc_id").where(held_out(labels.doc_id)).collect()
