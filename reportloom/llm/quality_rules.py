@@ -1,9 +1,10 @@
 """Quality rules whose thresholds come from the data: quantile sketches per language and source.
 
 Each document gets a few measures. Their distribution is held in mergeable quantile sketches per language and source; from
-the quartiles follows a fence for each measure, and the documents are joined with the fences of their group. A group of fewer
-than `MIN_GROUP` documents takes the merged sketch of its language, and below that size the one of all documents. DataFrame
-operations only, no Python code.
+the quartiles follows a fence for each measure, and the documents are joined with the fences of their group. The merged sketch of
+all documents counts as `PRIOR` documents in a language's quartiles, and those of the language as `PRIOR` documents in a group's,
+whatever its size: a small group follows its language, a large one itself, and one document more moves a threshold a little.
+DataFrame operations only, no Python code.
 
 Cases: a null text has no words; null languages and sources are groups of their own; repeated rows and null ids stay; an
 empty table gives an empty result; further columns are ignored.
@@ -19,7 +20,7 @@ from .common import texts, written
 #: Fixed rules that come before the fences.
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: A fence lies so many quartile distances from the quartile, and at least the floor of its measure.
-FENCE_WIDTH, MIN_GROUP, SKETCH_K = 3.0, 100, 400
+FENCE_WIDTH, PRIOR, SKETCH_K = 3.0, 100, 400
 #: Measure: least distance between quartile and fence, and whether low values are bad too.
 MEASURES = {
     "symbols_per_word": (0.1, False),
@@ -111,10 +112,14 @@ def group_fences(counts: DataFrame) -> DataFrame:
 
     joined = groups.join(prefixed(by_lang, "lang_"), F.col("lang").eqNullSafe(F.col("lang_lang"))).join(prefixed(overall, "all_"), F.col("n") * 0 == F.col("all_level"))
 
+    def quartile(name: str, q: float) -> Column:
+        own, lang, overall = (F.kll_sketch_get_quantile_double(prefix + name, F.lit(q)) for prefix in ("", "lang_", "all_"))
+        lang = (F.col("lang_n") * lang + PRIOR * overall) / (F.col("lang_n") + PRIOR)
+        return (F.col("n") * own + PRIOR * lang) / (F.col("n") + PRIOR)
+
     def fences(name: str) -> list[Column]:
         floor, both = MEASURES[name]
-        sketch = F.when(F.col("n") >= MIN_GROUP, F.col(name)).when(F.col("lang_n") >= MIN_GROUP, F.col(f"lang_{name}")).otherwise(F.col(f"all_{name}"))
-        q1, q3 = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.75))
+        q1, q3 = quartile(name, 0.25), quartile(name, 0.75)
         reach = F.greatest(F.lit(floor), F.lit(FENCE_WIDTH) * (q3 - q1))
         low = q1 - reach if both else F.lit(None).cast("double")
         return [low.alias(f"low_{name}"), (q3 + reach).alias(f"high_{name}")]

@@ -65,10 +65,14 @@ def test_verdicts_against_exact_quartiles(spark):
     def kept(text, lang, source):
         if plain_counts(text)[-1]:
             return False
-        key = (lang, source) if len(groups[lang, source]) >= quality_rules.MIN_GROUP else (lang,) if len(groups[lang,]) >= quality_rules.MIN_GROUP else ()
         for name, value in measured(text).items():
             floor, both = quality_rules.MEASURES[name]
-            q1, q3 = np.quantile([m[name] for m in groups[key]], [0.25, 0.75], method="inverted_cdf")
+            quartiles = np.zeros(2)
+            for key in ((), (lang,), (lang, source)):
+                n = len(groups[key])
+                own = np.quantile([m[name] for m in groups[key]], [0.25, 0.75], method="inverted_cdf")
+                quartiles = own if key == () else (n * own + quality_rules.PRIOR * quartiles) / (n + quality_rules.PRIOR)
+            q1, q3 = quartiles
             reach = max(floor, quality_rules.FENCE_WIDTH * (q3 - q1))
             if value > q3 + reach or both and value < q1 - reach:
                 return False
@@ -79,3 +83,21 @@ def test_verdicts_against_exact_quartiles(spark):
     # The sketches are exact for small groups; a quartile may be the neighbouring value.
     assert sum((want - have).values()) <= 0.01 * len(rows)
     assert 0.2 < np.mean([r.kept for r in got]) < 0.95
+
+
+def test_one_document_more_moves_thresholds_a_little(spark):
+    """Around the size of the prior as at any other size: no threshold jumps from one sketch to another."""
+    rng = random.Random(4)
+
+    def row(i, source, symbol):
+        return i, " ".join(f"w{rng.randrange(500)}" + "%" * (rng.random() < symbol) for _ in range(60)), "en", source
+
+    noisy, plain = [row(i, "noisy", 0.6) for i in range(103)], [row(1000 + i, "plain", 0.02) for i in range(900)]
+
+    def high(n):
+        fences = quality_rules.group_fences(quality_rules.word_counts(frame(spark, noisy[:n] + plain)))
+        return fences.where("source = 'noisy'").first().high_symbols_per_word
+
+    at = [high(n) for n in (97, 98, 99, 100, 101, 102)]
+    assert max(abs(a - b) for a, b in zip(at, at[1:], strict=False)) < 0.02
+    assert high(5) < at[0] < 3
