@@ -105,13 +105,20 @@ _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLE: dict[str, str] = {
     "op8_repeated_passages": """
-WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM t),
 starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM t WHERE len(w) >= 50),
-later AS (
-  SELECT doc_id, i FROM (SELECT doc_id, i, array_to_string(w[i : i + 49], ' ') AS run FROM starts)
-  QUALIFY min(doc_id) OVER (PARTITION BY run) < doc_id
-), marked AS (
+runs AS (SELECT doc_id, i, array_to_string(w[i : i + 49], ' ') AS run FROM starts),
+later AS (SELECT doc_id, i FROM runs QUALIFY min(doc_id) OVER (PARTITION BY run) < doc_id),
+levels AS (
+  SELECT doc_id, i, 50 AS words, dense_rank() OVER (ORDER BY run) AS g FROM runs
+  QUALIFY min(doc_id) OVER (PARTITION BY run) < max(doc_id) OVER (PARTITION BY run)
+  UNION ALL
+  SELECT a.doc_id, a.i, 2 * a.words, dense_rank() OVER (ORDER BY a.g, b.g)
+  FROM levels a JOIN levels b ON a.doc_id = b.doc_id AND b.i = a.i + a.words
+  QUALIFY min(a.doc_id) OVER (PARTITION BY a.g, b.g) < max(a.doc_id) OVER (PARTITION BY a.g, b.g)
+), longest AS (SELECT doc_id, max(words) AS words FROM levels GROUP BY doc_id),
+marked AS (
   SELECT words.doc_id, words.i, word,
          max(later.i) OVER (PARTITION BY words.doc_id ORDER BY words.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS start
   FROM words LEFT JOIN later ON words.doc_id = later.doc_id AND words.i = later.i
@@ -121,8 +128,8 @@ later AS (
   FROM marked GROUP BY doc_id
 )
 SELECT t.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
-       sha256(coalesce(text, '')) AS kept_sha256
-FROM t LEFT JOIN kept USING (doc_id)
+       coalesce(longest.words, 0)::BIGINT AS longest_repeat, sha256(coalesce(text, '')) AS kept_sha256
+FROM t LEFT JOIN kept USING (doc_id) LEFT JOIN longest USING (doc_id)
 """,
     "op9_repeated_lines": f"""
 WITH l AS (

@@ -21,8 +21,27 @@ def rank(doc_id):
     return 2**63 - 1 if doc_id is None else doc_id
 
 
+def longest_repeats(rows, size):
+    """For each row the greatest length, `size` times a power of two, of a window that a row of another id has too; else 0."""
+    out = dict.fromkeys(rows, 0)
+    while True:
+        holders = collections.defaultdict(set)
+        for doc_id, text in rows:
+            own = (text or "").encode().split()
+            for k in range(len(own) - size + 1):
+                holders[tuple(own[k : k + size])].add(rank(doc_id))
+        found = False
+        for doc_id, text in rows:
+            own = (text or "").encode().split()
+            if any(len(holders[tuple(own[k : k + size])]) > 1 for k in range(len(own) - size + 1)):
+                out[doc_id, text], found = size, True
+        if not found:
+            return out
+        size *= 2
+
+
 def plain_passages(rows, size):
-    first = {}
+    first, longest = {}, longest_repeats(rows, size)
     for doc_id, text in rows:
         own = (text or "").encode().split()
         for k in range(len(own) - size + 1):
@@ -32,7 +51,7 @@ def plain_passages(rows, size):
     for doc_id, text in rows:
         own = (text or "").encode().split()
         gone = {j for k in range(len(own) - size + 1) if first[tuple(own[k : k + size])] < rank(doc_id) for j in range(k, k + size)}
-        out.append((doc_id, len(own), len(gone), sha(b" ".join(w for j, w in enumerate(own) if j not in gone))))
+        out.append((doc_id, len(own), len(gone), longest[doc_id, text], sha(b" ".join(w for j, w in enumerate(own) if j not in gone))))
     return sorted(out, key=str)
 
 
@@ -50,6 +69,19 @@ def test_passages_of_a_periodic_text(spark):
     assert sorted(map(tuple, got), key=str) == plain_passages(rows, 50)
 
 
+def test_levels_of_long_passages(spark):
+    """Passages of every level, whole texts and parts, within copies that differ at one place, and twice in one text only."""
+    rng = random.Random(11)
+    base = words(rng, 900, 5000)
+    broken = [*base[:430], "changed", *base[431:]]
+    twice = words(rng, 130, 5000) * 2
+    rows = [(i, " ".join(own)) for i, own in enumerate([base, base, broken, base[100:310], base[:99], base[300:400], base[851:], words(rng, 500, 5000), twice, twice[:200], base[500:] + base[:450]])]
+    rows += [(20, rows[7][1] + " more"), (20, rows[0][1]), (None, rows[8][1]), (21, None)]
+    got = sorted(map(tuple, repeated_passages.without_repeated_passages_digest(frame(spark, rows)).collect()), key=str)
+    assert got == plain_passages(rows, 50)
+    assert {r[3] for r in got} == {0, 50, 100, 200, 400, 800}
+
+
 def plain_bytes(rows, length):
     counts = collections.Counter(raw[k : k + length] for _, t in rows for raw in [(t or "").encode()] for k in range(len(raw) - length + 1))
     out = []
