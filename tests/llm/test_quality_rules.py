@@ -99,5 +99,6 @@ def test_one_document_more_moves_thresholds_a_little(spark):
         return fences.where("source = 'noisy'").first().high_symbols_per_word
 
     at = [high(n) for n in (97, 98, 99, 100, 101, 102)]
-    assert max(abs(a - b) for a, b in zip(at, at[1:], strict=False)) < 0.02
+    # Values lie 1/60 apart; each quartile may move by one of them, at half weight: 0.5 * (4 + 3) / 60 in the fence.
+    assert max(abs(a - b) for a, b in zip(at, at[1:], strict=False)) < 0.06
     assert high(5) < at[0] < 3
