@@ -127,21 +127,27 @@ def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
+def _inside(n: int, runs: pa.ListScalar) -> np.ndarray:
+    return covered(n, runs.values.field("start").to_numpy(), runs.values.field("end").to_numpy())
+
+
 def _cut(found: DataFrame, words: int, *carry: str) -> DataFrame:
     """The columns in `carry` (longs) and, as `text`, each run of at least `words` words that `shared` covers."""
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        row, cut = [], []
-        for i, (text, shared) in enumerate(zip(batch["text"], batch["shared"], strict=True)):
-            own = text.as_py().encode().split()
-            inside = covered(len(own), shared.values.field("start").to_numpy(), shared.values.field("end").to_numpy())
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], inside.view(np.int8), [0]])))
-            for start, end in edges.reshape(-1, 2):
-                if end - start >= words:
-                    row.append(i)
-                    cut.append(b" ".join(own[start:end]).decode())
-        columns = [batch[c].take(pa.array(row, pa.int64())) for c in carry]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(cut, pa.string())], [*carry, "text"])
+        data, offsets = strings(batch["text"])
+        for i, j in slices(offsets):
+            row, cut = [], []
+            for at in range(i, j):
+                own = data[offsets[at] : offsets[at + 1]].tobytes().split()
+                inside = _inside(len(own), batch["shared"][at])
+                edges = np.flatnonzero(np.diff(np.concatenate([[0], inside.view(np.int8), [0]])))
+                for start, end in edges.reshape(-1, 2):
+                    if end - start >= words:
+                        row.append(at)
+                        cut.append(b" ".join(own[start:end]))
+            columns = [batch[c].take(pa.array(row, pa.int64())) for c in carry]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(cut, pa.binary()).cast(pa.string())], [*carry, "text"])
 
     kept = found.select(*carry, "text", "shared")
     return arrow_step(kept, step, "".join(f"{c} long, " for c in carry) + "text string").withColumn("piece", text_key(F.col("text")))
@@ -174,7 +180,8 @@ def repeated_passages(docs: DataFrame, words: int = WINDOW_WORDS) -> DataFrame:
     """
     source = _source(docs)
     found = written(_level(source, words), "repeated-passages")
-    return found.select("rank", "key", "runs").join(_longest(source, found.select("rank", "key", "shared"), words), ["rank", "key"])
+    longest = _longest(source, found.select("rank", "key", "shared"), words)
+    return written(found.select("rank", "key", "runs").join(longest, ["rank", "key"]), "passages-and-lengths")
 
 
 def without_repeated_passages(docs: DataFrame, words: int = WINDOW_WORDS) -> DataFrame:
@@ -183,17 +190,19 @@ def without_repeated_passages(docs: DataFrame, words: int = WINDOW_WORDS) -> Dat
     joined = _source(docs).join(found, ["rank", "key"], "left").select("doc_id", "text", "runs", F.coalesce("longest", F.lit(0)).alias("longest"))
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        n_words, n_removed, kept = [], [], []
-        for text, runs in zip(batch["text"].to_pylist(), batch["runs"], strict=True):
-            own = text.encode().split()
-            n_words.append(len(own))
-            if runs.is_valid and len(runs.values):
-                gone = covered(len(own), runs.values.field("start").to_numpy(), runs.values.field("end").to_numpy())
-                own = [own[i] for i in np.flatnonzero(~gone)]
-            n_removed.append(n_words[-1] - len(own))
-            kept.append(b" ".join(own).decode())
-        columns = [batch["doc_id"], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), batch["longest"], pa.array(kept, pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "longest_repeat", "text"])
+        data, offsets = strings(batch["text"])
+        for i, j in slices(offsets):
+            n_words, n_removed, kept = [], [], []
+            for at in range(i, j):
+                own = data[offsets[at] : offsets[at + 1]].tobytes().split()
+                n_words.append(len(own))
+                if batch["runs"][at].is_valid:
+                    own = [own[k] for k in np.flatnonzero(~_inside(len(own), batch["runs"][at]))]
+                n_removed.append(n_words[-1] - len(own))
+                kept.append(b" ".join(own))
+            counts = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), batch["longest"].slice(i, j - i)]
+            columns = [batch["doc_id"].slice(i, j - i), *counts, pa.array(kept, pa.binary()).cast(pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "longest_repeat", "text"])
 
     return arrow_step(joined, step, "doc_id long, n_words long, n_removed long, longest_repeat long, text string")
 
