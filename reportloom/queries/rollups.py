@@ -128,6 +128,21 @@ def month_pair_shipments(spark, base):
     return S.as_double(out, "last_month_sales_amount", "this_month_sales_amount")
 
 
+#: Days after which a line of small quantity arrives.
+LATE_DAYS = 2
+
+
+def landed_lines(spark, base, first, last):
+    """Order lines that arrive from `first` to `last`, stored by that day (`arrived`); only the orders of these days are joined."""
+    folder = new_folder(spark, "landed-lines")
+    lines = from_order_table(S.order_lines(spark, base)).withColumn("Date", F.col("Date").cast("date"))
+    arrived = F.when(F.col("Total_Quantity") < 8, F.date_add("Date", LATE_DAYS)).otherwise(F.col("Date"))
+    ordered = lines.where(F.col("Date").between(F.lit(first - timedelta(days=LATE_DAYS)), F.lit(last)))
+    landed = ordered.withColumn("arrived", arrived).where(F.col("arrived").between(F.lit(first), F.lit(last)))
+    landed.hint("rebalance", "arrived").write.partitionBy("arrived").parquet(folder)
+    return spark.read.schema(landed.schema).parquet(folder)
+
+
 @query(
     "incremental_days_a1_a3",
     f"""WITH daily AS (SELECT * FROM ({_DAILY}) WHERE d >= DATE '2001-07-01' AND d < DATE '2001-07-15' AND g IN ('1-URGENT', '2-HIGH', '3-MEDIUM'))
@@ -137,14 +152,15 @@ def month_pair_shipments(spark, base):
         UNION ALL SELECT 'orders', d, NULL, NULL, 3, SUM(q), CAST(SUM(a) AS DOUBLE) FROM daily GROUP BY d""",
 )
 def incremental_days(spark, base):
-    """14 days, a batch each; lines of small quantity come two days late, those of the last days in a batch of their own."""
+    """14 days, a batch each; lines of small quantity come two days late, those of the last days in a batch of their own.
+
+    The lines of these days are joined once and land in a folder for each day on which they arrive, as batches do."""
     folder, groups = new_folder(spark, "partials"), list(S.GROUPS.values())
-    lines = from_order_table(S.order_lines(spark, base)).withColumn("Date", F.col("Date").cast("date"))
-    arrived = F.when(F.col("Total_Quantity") < 8, F.date_add("Date", 2)).otherwise(F.col("Date"))
+    lines = landed_lines(spark, base, S.AS_OF - timedelta(days=DAYS), S.AS_OF + timedelta(days=1))
     for back in range(DAYS, -2, -1):
         today = S.AS_OF - timedelta(days=back)
-        add_batch({"orders": lines.where(arrived == F.lit(today))}, S.products(spark, base), groups, folder, f"{today:%Y%m%d}")
-    recount_day({"orders": lines}, S.products(spark, base), groups, folder, S.AS_OF - timedelta(days=5))
+        add_batch({"orders": lines.where(F.col("arrived") == F.lit(today)).drop("arrived")}, S.products(spark, base), groups, folder, f"{today:%Y%m%d}")
+    recount_day({"orders": lines.drop("arrived")}, S.products(spark, base), groups, folder, S.AS_OF - timedelta(days=5))
     return S.as_double(kept_totals(spark, folder, S.AS_OF, S.KPI_NAMES.left_out_of_backlog), "Total_Amount")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from reportloom.operators.rollup import joined_text
 from reportloom.plans import daily_partials, operations_daily
+from reportloom.queries import rollups
 from reportloom.sinks.files import facts_of_days, write_by_month
 from reportloom.sources.ranges import depths, equal_depth_predicates, hot_values, range_predicates, union_of
 from reportloom.sources.warehouse import read_database
@@ -165,3 +166,16 @@ def test_too_much_text_for_a_cell_is_an_error(spark):
     with pytest.raises(Exception, match="have 1099 bytes, more than 1098"):
         joined_text(df, "k", "t", "o", ",", most_bytes=1098).collect()
     assert joined_text(df.limit(0), "k", "t", "o").collect() == []
+
+
+def test_batches_read_landed_lines_instead_of_joining_all_again(spark, monkeypatch):
+    """Orders and lines are joined once, for the days in question; a batch and the recount read what has landed."""
+    joins = []
+
+    def seen(facts, *rest):
+        joins.append("Join" in facts["orders"]._jdf.queryExecution().optimizedPlan().toString())
+
+    monkeypatch.setattr(rollups, "add_batch", lambda facts, *rest: (seen(facts), daily_partials.add_batch(facts, *rest)))
+    monkeypatch.setattr(rollups, "recount_day", lambda facts, *rest: (seen(facts), daily_partials.recount_day(facts, *rest)))
+    assert rollups.incremental_days(spark, BASE).count() > 0
+    assert joins == [False] * 17
