@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 
-from .common import prepare, written
+from .common import prepare, task_step, written
 from .quality_rules import SPACES
 from .repair_grammar import BLANK, DELETE, DUPLICATE, INSERT, KEPT, SOUND, TRUNCATED, Cells, Replay, block_cells, cheapest, illegal_pairs, whole_span
 
@@ -137,7 +137,7 @@ def parsed_blocks(turns: DataFrame, size: int = BLOCK_TURNS) -> DataFrame:
         if block is not None:
             yield _block_batch([*full, block])
 
-    return _marked(turns).mapInArrow(run, _BLOCK)
+    return task_step(_marked(turns), run, _BLOCK)
 
 
 class _Conversation:
@@ -252,7 +252,7 @@ def repaired_turns(conversations: DataFrame) -> DataFrame:
             place += letter != DELETE
 
     run, schema = _step(rows, {"conv_id": _LONG, "place": _LONG, "edit": _TEXT, "turn": _LONG, "role": _TEXT, "text": _TEXT})
-    return _in_order(conversations, plain_turns(conversations)).mapInArrow(run, schema)
+    return task_step(_in_order(conversations, plain_turns(conversations)), run, schema)
 
 
 def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -270,7 +270,7 @@ def repair_digest(conversations: DataFrame, turns: DataFrame) -> DataFrame:
     """Faults, cost, audit and the hash of the repaired text of each conversation of `conversations`, whose rows are now `turns`."""
     longs = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
     run, schema = _step(_digest_rows, {"conv_id": _LONG, **dict.fromkeys(longs, _LONG), "audit": _TEXT, "repaired_sha256": _TEXT})
-    return _in_order(conversations, turns).mapInArrow(run, schema)
+    return task_step(_in_order(conversations, turns), run, schema)
 
 
 def damaged_and_repaired(conversations: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
-from .common import arrow_step, maybe_among, text_key, texts, written
+from .common import arrow_step, maybe_among, task_step, text_key, texts, written
 from .components import components
 from .kernels import as_long, mix, running_sums, slices, spans, strings, words_of
 
@@ -292,7 +292,7 @@ def remaining_links(now: DataFrame, nodes: DataFrame, sketches: DataFrame, thres
             if found.any():
                 yield pa.RecordBatch.from_arrays([pa.array(c, k).filter(pa.array(found)) for c, k in zip((task, side, key, own), _MEMBER, strict=True)], ["task", "side", "key", "class"])
 
-    open_ones = _by_task(members.join(sketches, "key"), "key", "class", "codes").mapInArrow(sketched, "task long, side int, key long, class long")
+    open_ones = task_step(_by_task(members.join(sketches, "key"), "key", "class", "codes"), sketched, "task long, side int, key long, class long")
     open_ones = written(open_ones, "open-members")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,7 +302,7 @@ def remaining_links(now: DataFrame, nodes: DataFrame, sketches: DataFrame, thres
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
 
     held = maybe_among(nodes, "key", open_ones.select("key")).select("key", "text")
-    return _by_task(open_ones.join(held, "key"), "class", "text").mapInArrow(compared, "a long, b long")
+    return task_step(_by_task(open_ones.join(held, "key"), "class", "text"), compared, "a long, b long")
 
 
 _MEMBER = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]

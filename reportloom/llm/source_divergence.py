@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, Window
 
-from .common import prepare, written
+from .common import prepare, task_step, written
 from .term_counts import TermCounter
 
 #: A term is kept if so many documents of its language have it; so many terms of a group are reported.
@@ -50,7 +50,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
             yield from counter.take(batch)
         yield from counter.flush()
 
-    counts = _plain(docs).mapInArrow(run, TermCounter.SCHEMA)
+    counts = task_step(_plain(docs), run, TermCounter.SCHEMA)
     return counts.groupBy("lang", "source", *TERM).agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
 
 
@@ -218,7 +218,7 @@ def pair_sums(terms: DataFrame, groups: DataFrame, blocks: int = BLOCKS) -> Data
         if state is not None:
             yield from state.result()
 
-    partial = ordered.mapInArrow(run, "lang string, source string, item string, value long")
+    partial = task_step(ordered, run, "lang string, source string, item string, value long")
     return partial.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
 

@@ -28,7 +28,8 @@ def term_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     inside[1:-1] = TERM_BYTE[data]
     cut = np.zeros(len(data) + 1, bool)
     cut[offsets] = True
-    return np.flatnonzero(inside[1:] & (cut | ~inside[:-1])), np.flatnonzero(inside[:-1] & (cut | ~inside[1:]))
+    starts = np.flatnonzero(inside[1:] & (cut | ~inside[:-1])).astype(np.int32)  # Spark's texts end below 2**31 bytes
+    return starts, np.flatnonzero(inside[:-1] & (cut | ~inside[1:])).astype(np.int32)
 
 
 def packed(padded: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -40,7 +41,7 @@ def packed(padded: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
 
 def radix_order(columns: list[np.ndarray]) -> np.ndarray:
     """Stable order of rows by unsigned columns, the last one first in rank: passes over 16-bit digits, constant digits left out."""
-    order = np.arange(len(columns[0]))
+    order = np.arange(len(columns[0]), dtype=np.int32)
     for column in columns:
         for shift in range(0, column.dtype.itemsize * 8, 16):
             digit = (column >> column.dtype.type(shift)).astype(np.uint16)
@@ -68,7 +69,7 @@ def group_terms(data: np.ndarray, offsets: np.ndarray, groups: np.ndarray) -> It
     data = LOWER[data]
     starts, ends = term_places(data, offsets)
     padded = np.concatenate([data, np.zeros(2 * WORD, np.uint8)])
-    doc = (np.searchsorted(offsets, starts, "right") - 1).astype(np.int64)
+    doc = np.searchsorted(offsets, starts, "right").astype(np.int32) - np.int32(1)
     lengths = ends - starts
     group = groups.astype(np.uint32)
     for least, most in ((1, WORD), (WORD + 1, 2 * WORD)):

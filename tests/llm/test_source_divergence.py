@@ -1,12 +1,13 @@
 import collections
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
 
 from fixtures import frame
-from reportloom.llm import source_divergence, term_counts
+from reportloom.llm import common, source_divergence, term_counts
 
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -107,3 +108,31 @@ def test_radix_order_is_stable():
 def test_shares_beyond_64_bits():
     n, total = np.array([0, 10**15, 9 * 10**15 - 2], np.int64), np.array([1, 10**15 + 7, 9 * 10**15], np.int64)
     assert source_divergence._shares(n, total).tolist() == [1 + 10**9 * (int(a) + 1) // int(b) for a, b in zip(n, total, strict=True)]
+
+
+def test_counting_takes_little_memory_for_its_text():
+    """Places, documents and orders of terms are 32-bit numbers: an executor runs several counters beside its heap."""
+    text = np.frombuffer(b" ".join(b"w%da" % (i % 5000) for i in range(200_000)).replace(b"0", b"x"), np.uint8)
+    offsets = np.linspace(0, len(text), 101).astype(np.int64)
+    groups = np.zeros(100, np.int64)
+    tracemalloc.start()
+    list(term_counts.group_terms(text, offsets, groups))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25 * len(text)
+
+
+def test_a_task_gives_back_its_memory(monkeypatch):
+    """Also one that ends early, as below a limit."""
+    class Frame:
+        def mapInArrow(self, run, schema):
+            return run
+
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    run = common.task_step(Frame(), iter, "x long")
+    assert list(run(iter([1, 2]))) == [1, 2] and given == [1]
+    early = run(iter([1, 2]))
+    assert next(early) == 1
+    early.close()
+    assert given == [1, 1]
