@@ -3,8 +3,10 @@
 import collections
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fixtures import CLASHING, corpus, frame, sha, words
@@ -392,3 +394,24 @@ def test_lines(spark):
     got = repeated_lines.without_repeated_lines(df).select(F.col("doc.doc_id"), "n_lines", "n_removed", F.sha2(F.coalesce("doc.text", F.lit("")), 256))
     assert sorted(map(tuple, got.collect()), key=str) == plain_lines(rows)
     assert repeated_lines.without_repeated_lines(frame(spark, rows).limit(0)).count() == 0
+
+
+def test_anchors_take_little_memory(monkeypatch):
+    """Two megabytes of text pass in slices: an executor runs several such steps beside its heap."""
+    steps = []
+
+    class Frame:
+        def select(self, *names):
+            return self
+
+    monkeypatch.setattr(suffix, "_source", lambda docs: Frame())
+    monkeypatch.setattr(suffix, "arrow_step", lambda df, step, schema: steps.append(step))
+    suffix._anchors(None, 400)
+    rng = np.random.default_rng(1)
+    texts = ["".join(map(chr, rng.integers(97, 122, 2000))) for _ in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(1000)), pa.array(range(1000))], ["text", "doc_id", "key"])
+    tracemalloc.start()
+    found = sum(b.num_rows for b in steps[0](batch))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found > 5000 and peak < 50_000_000
