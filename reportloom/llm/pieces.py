@@ -28,7 +28,7 @@ import pyspark.sql.functions as F
 import zstandard
 from pyspark.sql import DataFrame
 
-from .common import sha256_text, shared_folder, texts
+from .common import give_back, sha256_text, shared_folder, task_step, texts
 
 MARK = "▁"
 #: Characters of a block of documents; a longer document is a block of its own.
@@ -168,7 +168,8 @@ def blocks_of(source: DataFrame, model: str, buckets: int) -> DataFrame:
         pattern = chunk_pattern(model)
         block = Block(pattern)
         for batch in batches:
-            rows = batch.drop_columns(["text"])
+            # Copied: a block's rows would hold the whole message that their batch came in, texts included.
+            rows = batch.drop_columns(["text"]).take(pa.array(range(batch.num_rows), pa.int64()))
             for i, text in enumerate(batch["text"].to_pylist()):
                 if block.rows and block.chars + len(text) > BLOCK_CHARS:
                     yield pa.RecordBatch.from_pylist([block.record(buckets)], schema)
@@ -177,7 +178,7 @@ def blocks_of(source: DataFrame, model: str, buckets: int) -> DataFrame:
         if block.rows:
             yield pa.RecordBatch.from_pylist([block.record(buckets)], schema)
 
-    return source.mapInArrow(run, "block string, docs binary, codes binary, places binary, packs array<struct<bucket:int,chunks:binary>>")
+    return task_step(source, run, "block string, docs binary, codes binary, places binary, packs array<struct<bucket:int,chunks:binary>>")
 
 
 def bucketed(blocks: DataFrame, buckets: int) -> DataFrame:
@@ -207,7 +208,7 @@ def segmented(packs: DataFrame, model: str, buckets: int) -> DataFrame:
             columns = [batch["block"], batch["bucket"], pa.array(ids, pa.binary()), pa.array(at, pa.list_(pa.int32())), pa.array(instead, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays(columns, ["block", "bucket", "ids", "changed", "instead"])
 
-    return packs.repartition(buckets, "bucket").mapInArrow(run, "block string, bucket int, ids binary, changed array<int>, instead array<string>")
+    return task_step(packs.repartition(buckets, "bucket"), run, "block string, bucket int, ids binary, changed array<int>, instead array<string>")
 
 
 class Filled:
@@ -257,6 +258,7 @@ def _through_table(docs: DataFrame, model: str, keep: tuple[str, ...], finish: C
             for rows, ids, decoded in Filled(row, answers.to_pylist()).rows():
                 columns = {name: rows[name].combine_chunks() for name in rows.column_names} | finish(ids, decoded)
                 parts.append(pa.table(columns))
+        give_back()
         return pa.concat_tables(parts)
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, f"doc_id long{kept}, {schema}")

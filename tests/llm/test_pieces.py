@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 
 from fixtures import frame, sha
@@ -68,3 +69,31 @@ def test_query_columns_and_odd_rows(spark, model):
         (3, "en", [], ""),
     ]
     assert pieces.encoded_digest(frame(spark, rows).limit(0), model).count() == 0
+
+
+def test_a_block_does_not_hold_the_texts_of_its_documents(model, monkeypatch):
+    """Rows kept for a block are copies: a batch that came as one message stays whole as long as a slice of it does."""
+    class Frame:
+        def mapInArrow(self, run, schema):
+            return run
+
+    held = []
+    record = pieces.Block.record
+
+    def seen(block, buckets):
+        held.append(pa.total_allocated_bytes())
+        return record(block, buckets)
+
+    monkeypatch.setattr(pieces.Block, "record", seen)
+
+    def batches():
+        for k in range(20):
+            batch = pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array(["word " * 100_000])], ["doc_id", "text"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema) as out:
+                out.write_batch(batch)
+            yield from pa.ipc.open_stream(sink.getvalue())
+
+    before = pa.total_allocated_bytes()
+    blocks = list(pieces.blocks_of(Frame(), model, 64)(batches()))
+    assert sum(b.num_rows for b in blocks) == 1 and held[0] - before < 3_000_000
