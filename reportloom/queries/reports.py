@@ -18,7 +18,7 @@ from reportloom.queries import standins as S
 from reportloom.queries.calendars import trade_sql
 from reportloom.queries.registry import query
 from reportloom.queries.reshaping import _PIVOT, _TALK
-from reportloom.queries.tables_in_out import feed_payloads, land_feed, new_folder
+from reportloom.queries.tables_in_out import dated_payloads, land_feed, new_folder
 from reportloom.sinks.files import read_snapshot
 
 _LINK = BACK_LINK.replace("'", "''")
@@ -396,8 +396,7 @@ _LOADS = (("2024-01-15", "<", datetime(2024, 1, 30, 10, 30)), ("2024-01-10", ">=
 def work_order_load(spark, base):
     """Payload files of one day each, landed twice and loaded into a table of snapshots; later loads of an order win."""
     folder = new_folder(spark, "orders")
-    days = S.table(spark, base, "events").select("event_id", F.col("ts").cast("date").alias("day"))
-    payloads = feed_payloads(spark, base).join(days, "event_id")
+    payloads = dated_payloads(spark, base)
     for i, (day, side, now) in enumerate(_LOADS):
         landed = f"{folder}/feed-{i}"
         land_feed(payloads.where(f"day {side} DATE '{day}'"), landed)

@@ -50,8 +50,8 @@ def facts_of_chosen_days(spark, base):
     return kept.join(parts, "l_partkey").select("l_orderkey", "l_linenumber", "l_quantity", "p_type")
 
 
-def feed_payloads(spark, base):
-    """One payload per event: a single order object, or for views a list of two orders."""
+def feed_payloads(spark, base, *more):
+    """One payload per event: a single order object, or for views a list of two orders; `more` are further columns."""
     end = F.when(F.col("event_type") == "error", "0000-00-00").otherwise(F.date_format("ts", "yyyy-MM-dd"))
 
     def order(suffix):
@@ -65,7 +65,12 @@ def feed_payloads(spark, base):
         )
 
     data = F.when(F.col("event_type") == "view", F.concat(F.lit("["), order("a"), F.lit(","), order("b"), F.lit("]"))).otherwise(order(""))
-    return S.table(spark, base, "events").select("event_id", data.alias("DATA"))
+    return S.table(spark, base, "events").select("event_id", data.alias("DATA"), *more)
+
+
+def dated_payloads(spark, base):
+    """Payloads of events that have an id, with their day."""
+    return feed_payloads(spark, base, F.col("ts").cast("date").alias("day")).where(F.col("event_id").isNotNull())
 
 
 #: Payloads in a landed file.
@@ -113,8 +118,7 @@ def order_feed(spark, base):
 def order_documents(spark, base):
     """The feed landed as one document per day and block, and read back in byte ranges; `place` counts through the day's documents."""
     folder = new_folder(spark, "documents")
-    days = S.table(spark, base, "events").select("event_id", F.col("ts").cast("date").alias("day"))
-    land_feed(feed_payloads(spark, base).join(days, "event_id"), folder)
+    land_feed(dated_payloads(spark, base), folder)
     rows = read_feed(spark, f"{folder}/*/*", ["AUFNR", "MATNR", "AUART"])
     day = F.to_date(F.regexp_extract("__file", r"day=([0-9-]+)", 1))
     placed = with_position(rows.withColumn("day", day), "day", "__file", "__pos", first_row=0, name="place")

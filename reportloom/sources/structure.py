@@ -7,7 +7,7 @@ numbers, one for each state it may start in. These changes compose, so pieces ar
 for each range), and then every piece knows its place. Pieces up to one that ends at depth 2 or less make a group: an order, with what
 stands before it. A task never holds more than a range of pieces, and no value is larger than one order.
 
-Built from windows over a byte range and grouped sums; the text is read once for each level of sums and once for the groups.
+Built from windows over a byte range and grouped sums; the text is read once for the sums and once for the groups.
 """
 
 from __future__ import annotations
@@ -42,14 +42,17 @@ def json_pieces(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("__at"),
         F.col("value").alias("__text"),
     )
-    parts = F.split(_without_escapes(F.col("__text")), '"', -1)
-    every_other = lambda odd: F.array_join(F.filter("__parts", lambda _, i: i % 2 == odd), "")
-    shaped = raw.withColumn("__parts", parts).select(
-        "*", ((F.size("__parts") - 1) % 2).alias("__flip"), every_other(0).alias("__outside"), every_other(1).alias("__inside")
+    without_quoted = lambda c: F.regexp_replace(c, '"[^"]*"?', "")
+    shaped = raw.withColumn("__bare", _without_escapes(F.col("__text"))).select(
+        "*",
+        (_count(F.col("__bare"), '"') % 2).alias("__flip"),
+        without_quoted(F.col("__bare")).alias("__outside"),
+        without_quoted(F.concat(F.lit('"'), "__bare")).alias("__inside"),
+        (F.octet_length("__text") + 1).alias("__bytes"), F.is_valid_utf8("__text").alias("__readable"),
     )
     change = lambda c: _count(c, "{[") - _count(c, "}]")
     return shaped.select(
-        "__file", "__arrived", "__size", "__block", "__at", "__text", "__flip",
+        "__file", "__arrived", "__size", "__block", "__at", "__text", "__flip", "__bytes", "__readable",
         (change(F.col("__outside")) - F.when(F.col("__flip") == 0, 1).otherwise(0)).alias("__out"),
         (change(F.col("__inside")) - F.when(F.col("__flip") == 1, 1).otherwise(0)).alias("__in"),
     )
@@ -87,29 +90,42 @@ def _placed(pieces: DataFrame, ranges: DataFrame) -> DataFrame:
     return known.withColumns({"__end": end, "__closes": F.when(outside & (end <= ORDER_DEPTH), 1).otherwise(0)})
 
 
-def _checked_files(placed: DataFrame) -> DataFrame:
-    """One row per file; a file that is not one complete document is an error."""
-    files = placed.groupBy("__file").agg(
-        (F.sum(F.octet_length("__text") + 1) - F.max("__size")).alias("__open_end"),
-        F.sum("__change").alias("__depth"),
-        (F.sum("__flip") % 2).alias("__in_text"),
-        F.bool_and(F.is_valid_utf8("__text")).alias("__readable"),
+def _checked_ranges(placed: DataFrame, ranges: DataFrame) -> DataFrame:
+    """`ranges` with the number of the first group that ends in each (`__first`); a file that is not one complete document is an error."""
+    sums = placed.groupBy(*_RANGE).agg(
+        F.sum("__closes").alias("__n"),
+        F.sum("__bytes").alias("__bytes"),
+        F.max("__size").alias("__size"),
+        F.sum("__change").alias("__change"),
+        F.sum("__flip").alias("__flip"),
+        F.bool_and("__readable").alias("__readable"),
+    )
+    file = W.partitionBy("__file")
+    checked = sums.withColumns(
+        {
+            "__first": _before(F.col("__n"), ["__file"], "__block"),
+            "__open_end": F.sum("__bytes").over(file) - F.max("__size").over(file),
+            "__depth": F.sum("__change").over(file),
+            "__in_text": F.sum("__flip").over(file) % 2,
+            "__readable": F.bool_and("__readable").over(file),
+        }
     )
     # The last piece has no `}` behind it unless the file ends with one; then it is counted as closing all the same.
     complete = F.col("__readable") & (F.col("__in_text") == 0) & F.col("__open_end").isin(0, 1) & (F.col("__depth") == -F.col("__open_end"))
     message = F.concat(F.col("__file"), F.lit(" is not one complete JSON document in UTF-8"))
-    return files.where(F.assert_true(complete, message).isNull()).select("__file")
+    return ranges.join(checked.where(F.assert_true(complete, message).isNull()).select(*_RANGE, "__first"), _RANGE)
 
 
 def json_groups(spark: SparkSession, path: str) -> DataFrame:
     """Groups in order (`__group` from 0) with their text, and the depth at their start and end. Stored, as several steps read them."""
     pieces = json_pieces(spark, path)
-    ranges = _ranges(pieces.drop("__text", "__arrived", "__size"))
-    closes = _placed(pieces.drop("__text", "__arrived", "__size"), ranges).groupBy(*_RANGE).agg(F.sum("__closes").alias("__n"))
-    first = closes.select(*_RANGE, _before(F.col("__n"), ["__file"], "__block").alias("__first"))
-    placed = _placed(pieces, ranges).withColumn("__own", _before(F.col("__closes"), _RANGE, "__at"))
-    files = _checked_files(_placed(pieces, ranges))
-    numbered = placed.join(first, _RANGE).join(files, "__file").withColumn("__group", F.col("__first") + F.col("__own"))
+    shapes = pieces.drop("__text", "__arrived")
+    # One row for each byte range, stored. Both levels of sums are in one job, so that they share the shuffled shapes.
+    ranges = _ranges(shapes)
+    ranges = materialise(_checked_ranges(_placed(shapes, ranges), ranges))
+    # Only here do texts leave their tasks: once to their range, once to their groups.
+    placed = _placed(pieces.drop("__size", "__bytes", "__readable"), ranges).withColumn("__own", _before(F.col("__closes"), _RANGE, "__at"))
+    numbered = placed.withColumn("__group", F.col("__first") + F.col("__own"))
     place = F.struct("__block", "__at")
     grouped = numbered.groupBy("__file", "__group").agg(
         F.max("__arrived").alias("__arrived"),

@@ -2,10 +2,13 @@
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from reportloom.queries import tables_in_out
+from reportloom.sources import structure
 from reportloom.sources.feed import read_feed, read_small_feed
 
 FIELDS = ["AUFNR", "MAKTX", "SUB"]
@@ -125,3 +128,19 @@ def test_one_large_document_is_read_by_many_tasks(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert tuple(got) == (n, n * (n - 1) // 2, n, len(pad))
+
+
+def test_groups_read_and_shuffle_texts_once(spark, tmp_path, monkeypatch):
+    """The sums over byte ranges and files are stored before; nothing sums them up again beside the texts."""
+    plans = []
+    stored = structure.materialise
+    monkeypatch.setattr(structure, "materialise", lambda df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), stored(df))[1])
+    path = landed(tmp_path / "in", TRICKY)
+    assert structure.json_groups(spark, path).count() > len(TRICKY)
+    assert len(re.findall(r"Relation \[.*\] text", plans[-1])) == 1
+
+
+def test_payloads_get_their_day_without_a_join(spark):
+    payloads = tables_in_out.dated_payloads(spark, "/root/testdata/sf0.001")
+    assert "Join" not in payloads._jdf.queryExecution().optimizedPlan().toString()
+    assert payloads.columns == ["event_id", "DATA", "day"]
