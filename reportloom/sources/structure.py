@@ -7,7 +7,7 @@ numbers, one for each state it may start in. These changes compose, so pieces ar
 for each range), and then every piece knows its place. Pieces up to one that ends at depth 2 or less make a group: an order, with what
 stands before it. A task never holds more than a range of pieces, and no value is larger than one order.
 
-Built from windows over a byte range and grouped sums; the text is read once for the sums and once for the groups.
+Built from windows over a byte range and grouped sums; the text is read once for each level of sums and once for the groups.
 """
 
 from __future__ import annotations
@@ -120,7 +120,7 @@ def json_groups(spark: SparkSession, path: str) -> DataFrame:
     """Groups in order (`__group` from 0) with their text, and the depth at their start and end. Stored, as several steps read them."""
     pieces = json_pieces(spark, path)
     shapes = pieces.drop("__text", "__arrived")
-    # One row for each byte range, stored. Both levels of sums are in one job, so that they share the shuffled shapes.
+    # One row for each byte range, stored: the text pass does not sum them up again.
     ranges = _ranges(shapes)
     ranges = materialise(_checked_ranges(_placed(shapes, ranges), ranges))
     # Only here do texts leave their tasks: once to their range, once to their groups.
