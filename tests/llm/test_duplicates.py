@@ -117,6 +117,35 @@ def test_bytes_of_many_variants_of_one_text(spark):
     assert sorted(map(tuple, got), key=str) == plain_bytes(rows, 400)
 
 
+def test_bytes_of_repeated_rows_in_two_tasks(spark):
+    """Both tasks have the same least context, so runs named by it would be taken for one."""
+    rng = random.Random(4)
+    base, rows = words(rng, 160, 900), []
+    for i in range(40):
+        own = list(base)
+        for _ in range(rng.randrange(1, 4)):
+            own[rng.randrange(len(own))] = f"other{rng.randrange(5)}"
+        rows.append((i, " ".join(own[rng.randrange(30) :])))
+    rows += rows[::2]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "doc_id long, text string")
+    got = suffix.without_repeated_bytes_digest(docs).collect()
+    assert sorted(map(tuple, got), key=str) == plain_bytes(rows, 400)
+
+
+def test_runs_of_two_tasks_stay_apart(spark):
+    rng = random.Random(5)
+    rows = [(1, f, f > 0, 0, 340, b"x" * 64 + bytes(rng.choices(b"ab", k=20)), b"") for f in range(60)]
+    rows[30] = rows[0]
+    runs = suffix.sorted_runs(spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), suffix.SUFFIXES), [])
+    out = []
+    for _, own in itertools.groupby(runs.orderBy("run", "position").collect(), key=lambda r: r.run):
+        last = b""
+        for r in own:
+            last = last[: r.prefix] + bytes(r.rest)
+            out.append(last)
+    assert sorted(out) == sorted(r[5] for r in rows)
+
+
 def common(x, y):
     return next((k for k, (a, b) in enumerate(zip(x, y, strict=False)) if a != b), min(len(x), len(y)))
 
